@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from tillsight.workload import relational  # noqa: F401
+from tillsight.workload import relational, texts  # noqa: F401
 from tillsight.workload.registry import ORACLE, QUERIES  # noqa: F401
