@@ -72,8 +72,9 @@ def recommend(purchases: DataFrame, members: DataFrame, favourites: DataFrame, u
 
 
 def atv_points_recommend(txn: DataFrame, sku: DataFrame, members: DataFrame, favourites: DataFrame, users: DataFrame,
-                         items: DataFrame, rate: float, start: float, end: float, n: int, **options) -> DataFrame:
+                         items: DataFrame, rate: float, start: float, end: float, n: int,
+                         band: tuple[float, float] = (0.7, 1.3), **options) -> DataFrame:
     """Recommendations from the purchases priced around the member's ticket-plus-points value."""
     value = atv_points(txn, rate, start, end)
-    lines = price_band(lines_with_value(sku, value)).drop("value", "net")
+    lines = price_band(lines_with_value(sku, value), low=band[0], high=band[1]).drop("value", "net")
     return recommend(lines, members, favourites, users, items, n, **options)

@@ -1,0 +1,193 @@
+"""Queries for composite insights, sources, sinks and the batch run."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from tillsight.operators import aggregates as A
+from tillsight.operators.filters import project_members
+from tillsight.plans import batch as B
+from tillsight.plans import insights as I
+from tillsight.session import new_path
+from tillsight.sources import readers as SR
+from tillsight.sources import writers as SW
+from tillsight.workload.registry import query, round6
+from tillsight.workload.relational import COMMON
+from tillsight.workload.texts import RULES
+from tillsight.workload.views import Views
+
+
+def sql_query(name, sql=None):
+    return query(name, sql, COMMON)
+
+
+@sql_query("c1_nps_reply", """
+    SELECT mobile, typed.type, l.language, coalesce(
+        (SELECT min(q.question) FROM questions AS q WHERE q.type = typed.type AND q.language = l.language),
+        (SELECT min(q.question) FROM questions AS q WHERE q.type = typed.type AND q.language =
+            (SELECT min(f.language) FROM questions AS f WHERE f.type = typed.type))) AS question
+    FROM typed, (SELECT DISTINCT language FROM questions) AS l""")
+def _(v):
+    questions = v.small("questions")
+    return I.nps_reply(v.nps, questions, questions.select("language"))
+
+
+@sql_query("c2_clv", """
+    SELECT value.mobile, CAST(trunc(value) AS BIGINT) AS value, t.segment
+    FROM value LEFT JOIN (SELECT mobile, max(segment) AS segment FROM member_segments GROUP BY mobile) AS t
+      ON value.mobile = t.mobile
+    WHERE trunc(value) BETWEEN 300000 AND 600000""")
+def _(v):
+    tags = {"segment": v.segments.select("mobile", F.col("run_id").alias("value"))}
+    return I.clv(I.default_value(v.txn), 300000, 600000, tags)
+
+
+NPV = """SELECT value.mobile, round(CASE WHEN response IS NULL THEN value
+                ELSE response * 0.5e0 + value * 0.5e0 END, 6) AS value
+         FROM value LEFT JOIN mean_nps ON mean_nps.mobile = value.mobile"""
+
+
+@sql_query("c3_nps_value", f"SELECT * FROM ({NPV}) WHERE value BETWEEN 300000 AND 600000")
+def _(v):
+    return round6(I.nps_value(v.nps, I.default_value(v.txn), 300000, 600000), "value")
+
+
+@sql_query("c4_atv_points", "SELECT mobile, round(value, 6) AS value FROM atv_value")
+def _(v):
+    return round6(I.atv_points(v.txn, 0.5, 0.5, 2), "value")
+
+
+# ---- sources and sinks
+
+
+@sql_query("s1_read_table", """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
+           AS o_orderdate, o_orderpriority FROM orders""")
+def _(v):
+    orders = SR.read_table(v.spark, SR.Source(base=v.folder), "orders.parquet")
+    return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+
+
+@sql_query("s2_read_keyed_table", "SELECT * FROM part")
+def _(v):
+    base, keyspace = os.path.split(v.folder)
+    return SR.read_keyed_table(v.spark, SR.Source(base=base), keyspace, "part.parquet")
+
+
+@sql_query("s3_read_features", "SELECT * FROM member")
+def _(v):
+    path = SW.write_features(v.member, new_path(v.spark, "features"), "csv")
+    return SR.read_features(v.spark, path, v.member.schema)
+
+
+@sql_query("s4_write_features", "SELECT mobile, item, name, txns FROM favourites")
+def _(v):
+    return SR.read_features(v.spark, SW.write_features(v.favourites, new_path(v.spark, "features")))
+
+
+@sql_query("s5_read_or_empty", "SELECT * FROM customer")
+def _(v):
+    source = SR.Source(base=v.folder)
+    customer = SR.read_or_empty(v.spark, source, "customer.parquet", v.table("customer").schema)
+    return customer.unionByName(SR.read_or_empty(v.spark, source, "feed_master.parquet", customer.schema))
+
+
+@sql_query("s6_append_insight", """
+    SELECT mobile, round(value, 6) AS value, '14' AS insight_id FROM value
+    UNION ALL SELECT mobile, round(value, 6), '16' FROM atv_value""")
+def _(v):
+    path = new_path(v.spark, "insights")
+    for insight_id, df in (("14", I.default_value(v.txn)), ("16", I.atv_points(v.txn, 0.5, 0.5, 2))):
+        SW.append_insight(round6(df, "value").withColumn("insight_id", F.lit(insight_id)), path)
+    return v.spark.read.parquet(path).withColumn("insight_id", F.col("insight_id").cast("string"))
+
+
+@sql_query("s7_upsert_latest", """
+    SELECT mobile, CAST(txn_date AS VARCHAR) AS txn_date, bill, CAST(amount AS DOUBLE) AS amount FROM (
+        SELECT *, row_number() OVER (PARTITION BY mobile ORDER BY txn_date DESC, is_new DESC, bill DESC, amount DESC)
+                  AS rn
+        FROM (SELECT mobile, txn_date, bill, amount, 0 AS is_new FROM past
+              UNION ALL SELECT mobile, txn_date, bill, amount, 1 FROM since))
+    WHERE rn = 1""")
+def _(v):
+    from tillsight.operators.filters import observation_window, trailing_window
+    from tillsight.workload.views import ASOF, CW, PW
+
+    rows = v.txn.select("mobile", "txn_date", "bill", "amount")
+    old = observation_window(rows, "txn_date", ASOF, PW, CW)
+    return SW.upsert_latest(old, trailing_window(rows, "txn_date", ASOF, CW), ["mobile"], "txn_date")
+
+
+@sql_query("s9_append_run_log", """
+    SELECT DISTINCT run_id, '14' AS insight_id, 'done' AS status FROM segments
+    UNION ALL SELECT DISTINCT run_id, '16', 'failed' FROM segments""")
+def _(v):
+    path = new_path(v.spark, "log")
+    runs = v.segments.select("run_id").distinct()
+    for insight_id, status in (("14", "done"), ("16", "failed")):
+        SW.append_run_log(runs.select("run_id", F.lit(insight_id).alias("insight_id"), F.lit(status).alias("status")), path)
+    return v.spark.read.parquet(path)
+
+
+@sql_query("s10_column_availability", """
+    SELECT 'Mobile' AS column_name, TRUE AS present, count(mobile) AS non_null FROM member
+    UNION ALL SELECT 'tier', TRUE, count(tier) FROM member
+    UNION ALL SELECT 'gender', TRUE, count(gender) FROM member
+    UNION ALL SELECT 'EnrolledStoreCode', FALSE, 0""")
+def _(v):
+    return A.column_availability(v.member, ["Mobile", "tier", "gender", "EnrolledStoreCode"])
+
+
+# ---- batch
+
+# The insight specs of the batch query, one that fails among them.
+SPECS = """
+    SELECT * FROM (VALUES
+        ('12,npv,-,Range,300000,600000,-,,,-,,,value,BUILDING'),
+        ('13,NPS,-,Varchar,,,-,,,-,,,nps,MACHINERY'),
+        ('14,clv,-,Range,300000,600000,-,,,-,,,value,FURNITURE'),
+        ('16,ticket,-,Double,0.5,2,-,0.5,10,-,,,value,BUILDING'),
+        ('99,unknown,-,Double,0,1,-,,,-,,,none,BUILDING'),
+        ('14,clv,-,Range,0,100000000,-,,,-,,,value,BUILDING')
+    ) AS t(line)"""
+
+
+def batch_tables(v: Views):
+    return {
+        "member": project_members(v.member), "txn": v.txn, "nps": v.nps, "feedback": v.feedback,
+        "questions": v.small("questions"), "replies": v.small("replies"), "lexicon": v.small("lexicon"),
+        "segments": v.segments, "rules": RULES,
+        "member_segments": v.segments.select("mobile", F.col("run_id").alias("segment")),
+    }
+
+
+@sql_query("c10_run_batch", f"""
+    SELECT * FROM (
+        SELECT '12' AS insight_id, 'BUILDING' AS run_id, 'done' AS status, count(*) AS members
+        FROM ({NPV}) WHERE value BETWEEN 300000 AND 600000 AND mobile IN (SELECT mobile FROM building)
+        UNION ALL
+        SELECT '13', 'MACHINERY', 'done', 3 * count(*) FROM nps
+        WHERE mobile IN (SELECT mobile FROM segments WHERE run_id = 'MACHINERY')
+        UNION ALL
+        SELECT '14', 'FURNITURE', 'done', count(*) FROM value
+        WHERE trunc(value) BETWEEN 300000 AND 600000
+          AND mobile IN (SELECT mobile FROM segments WHERE run_id = 'FURNITURE')
+        UNION ALL
+        SELECT '14', 'BUILDING', 'done', count(*) FROM value WHERE mobile IN (SELECT mobile FROM building)
+        UNION ALL
+        SELECT '16', 'BUILDING', 'done', count(*) FROM atv_value WHERE mobile IN (SELECT mobile FROM building)
+        UNION ALL
+        SELECT '99', 'BUILDING', 'failed', NULL)""")
+def _(v):
+    path = new_path(v.spark, "batch")
+    log = B.run_batch(v.spark, B.parse_specs(v.spark.sql(SPECS)), batch_tables(v), path)
+    counts = None
+    for name in ("npv", "NPS", "clv", "ticket"):
+        rows = v.spark.read.parquet(f"{path}/insights/name={name}")
+        part = rows.groupBy(F.col("insight_id").cast("string").alias("insight_id"), "run_id").agg(
+            F.count("*").alias("members")
+        )
+        counts = part if counts is None else counts.unionByName(part)
+    return log.select("run_id", "insight_id", "status").join(counts, ["insight_id", "run_id"], "left")
