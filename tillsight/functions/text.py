@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What cleaning strips, and what counts as a token of two or more characters.
+# What cleaning strips, what parts tokens, and the least length of a token.
 NOT_LETTERS = r"[^A-Za-z\s]+"
-TOKEN = r"[\p{L}\p{N}_]{2,}"
+BETWEEN_TOKENS = r"[^\p{L}\p{N}_]+"
+MIN_TOKEN = 2
 
 
 def _column(c: Column | str) -> Column:
@@ -19,13 +20,26 @@ def _column(c: Column | str) -> Column:
 
 def clean_text(c: Column | str) -> Column:
     """Letters and white space only, lower case; null when no letter is left."""
-    kept = F.lower(F.regexp_replace(_column(c), NOT_LETTERS, ""))
-    return F.when(kept.rlike("[a-z]"), kept)
+    c = _column(c)
+    return F.when(has_letter(c), F.lower(F.regexp_replace(c, NOT_LETTERS, "")))
+
+
+def has_letter(c: Column | str) -> Column:
+    """The text is not blank after cleaning; stops at the first letter."""
+    return _column(c).rlike("[A-Za-z]")
+
+
+def words(c: Column | str) -> Column:
+    """Lower-case word parts of a text, single characters and empty edges included.
+
+    Splitting is linear in the text; extracting all matches copies the text once per match.
+    """
+    return F.split(F.lower(_column(c)), BETWEEN_TOKENS)
 
 
 def token_array(c: Column | str) -> Column:
     """Lower-case tokens of a text, in order."""
-    return F.regexp_extract_all(F.lower(_column(c)), F.lit(TOKEN), F.lit(0))
+    return F.filter(words(c), lambda word: F.length(word) >= MIN_TOKEN)
 
 
 def text_id(c: Column | str) -> Column:

@@ -167,7 +167,7 @@ def column_availability(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return rows.select("column_name", present.alias("present"), F.coalesce("non_null", F.lit(0)).alias("non_null"))
 
 
-def popular_items(fav: DataFrame, text: str, column: str = "item") -> DataFrame:
+def popular_items(fav: DataFrame, text: str, column: str = "item", within: Sequence[str] = ()) -> DataFrame:
     """Purchases per cohort and item for all three popularity levels at once.
 
     A row counts for its bracket and gender, for its gender alone, or, when neither is known,
@@ -176,7 +176,7 @@ def popular_items(fav: DataFrame, text: str, column: str = "item") -> DataFrame:
     base = (
         exclude_items(fav, text, column)
         .withColumn("bracket", age_bracket("age"))
-        .groupBy("bracket", "gender", "item")
+        .groupBy(*within, "bracket", "gender", "item")
         .agg(F.sum("txns").alias("txns"))
     )
     both = F.concat_ws(",", "bracket", "gender")
@@ -186,5 +186,5 @@ def popular_items(fav: DataFrame, text: str, column: str = "item") -> DataFrame:
         .when(F.col("gender").isNotNull(), F.array(gender))
         .when(F.col("bracket").isNull(), F.array(F.lit(",")))
     )
-    levels = base.select(F.explode(feeds).alias("cohort"), "item", "txns")
-    return levels.groupBy("cohort", "item").agg(F.sum("txns").alias("txns"))
+    levels = base.select(*within, F.explode(feeds).alias("cohort"), "item", "txns")
+    return levels.groupBy(*within, "cohort", "item").agg(F.sum("txns").alias("txns"))

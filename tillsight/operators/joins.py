@@ -6,7 +6,7 @@ threshold and shuffles otherwise, and the adaptive skew join splits hot keys.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,9 +100,9 @@ def member_demographics(favourites: DataFrame, members: DataFrame, cohort: DataF
     return chosen.join(members.select("mobile", "age", "gender"), "mobile")
 
 
-def cohort_lists(members: DataFrame, lists: DataFrame) -> DataFrame:
+def cohort_lists(members: DataFrame, lists: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Members with the item list of their cohort; no list, no row."""
-    return members.join(lists, "cohort").select("mobile", "cohort", "items")
+    return members.join(lists, [*within, "cohort"]).select("mobile", *within, "cohort", "items")
 
 
 def add_tags(df: DataFrame, tags: Mapping[str, DataFrame]) -> DataFrame:

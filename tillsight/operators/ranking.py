@@ -75,11 +75,12 @@ def max_line_amount(sku: DataFrame) -> DataFrame:
     return sku.join(peak, "mobile")
 
 
-def ranked_list(df: DataFrame, key: str, rank: str, item: str, n: int, name: str = "items") -> DataFrame:
+def ranked_list(df: DataFrame, key: str | Sequence[str], rank: str, item: str, n: int, name: str = "items") -> DataFrame:
     """Items ranked 1 to n per key as one comma-joined text, in rank order."""
     pairs = F.sort_array(F.collect_list(F.struct(rank, F.col(item).cast("string").alias("code"))))
     joined = F.array_join(F.transform(pairs, lambda p: p["code"]), ",")
-    return df.filter(F.col(rank) <= n).groupBy(key).agg(joined.alias(name))
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.filter(F.col(rank) <= n).groupBy(*keys).agg(joined.alias(name))
 
 
 def scale_scores(df: DataFrame, user: str = "user", score: str = "score") -> DataFrame:

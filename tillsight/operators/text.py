@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions.text import contains_all, contains_none, text_id, token_array
+from tillsight.functions.text import MIN_TOKEN, contains_all, contains_none, text_id, token_array, words
 from tillsight.operators.ranking import first_match
 
 
@@ -51,9 +51,13 @@ FEEDBACK_RULES = (
 )
 
 
-def tokens(df: DataFrame, text: str = "response", keep: Sequence[str] = ("mobile",)) -> DataFrame:
-    """One row per token, with the kept key columns."""
-    return df.select(*keep, F.explode(token_array(text)).alias("token"))
+def tokens(df: DataFrame, text: str = "response", keep: Sequence[str | Column] = ("mobile",)) -> DataFrame:
+    """One row per token, with the kept key columns.
+
+    The outer form of explode spares a second split: for the inner one Spark adds a filter on
+    the array's size, which computes the array again.
+    """
+    return df.select(*keep, F.explode_outer(words(text)).alias("token")).filter(F.length("token") >= MIN_TOKEN)
 
 
 def stem_tokens(token_rows: DataFrame, stems: DataFrame) -> DataFrame:
@@ -80,8 +84,7 @@ def sentiment(df: DataFrame, lexicon: DataFrame, text: str = "response") -> Data
 
     The lexicon is a (token, polarity, subjectivity) table of decimals.
     """
-    words = df.select(text_id(text).alias("text_id"), F.explode(token_array(text)).alias("token"))
-    hits = words.join(first_match(lexicon, ["token"], ["polarity", "subjectivity"]), "token")
+    hits = tokens(df, text, [text_id(text).alias("text_id")]).join(first_match(lexicon, ["token"], ["polarity", "subjectivity"]), "token")
     # copies of a text share its id; they add to sum and count alike, so the means stay
     means = hits.groupBy("text_id").agg(
         *[F.try_divide(F.sum(c).cast("double"), F.count(c)).alias(c) for c in ("polarity", "subjectivity")]
@@ -90,17 +93,19 @@ def sentiment(df: DataFrame, lexicon: DataFrame, text: str = "response") -> Data
     return scored.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("polarity", "subjectivity")})
 
 
+def label_slots(rules: Iterable[Rule], text: str = "response") -> Column:
+    """Array with a rule's label where the response meets the rule and null elsewhere."""
+    return F.array(*[F.when(r.matches(F.col(text)), F.lit(r.label)) for r in rules])
+
+
 def with_labels(df: DataFrame, rules: Iterable[Rule], text: str = "response") -> DataFrame:
     """Add the array of labels whose rule a response meets."""
-    rules = list(rules)
-    hits = F.array(*[F.when(r.matches(F.col(text)), F.lit(r.label)) for r in rules])
-    return df.withColumn("labels", F.filter(hits, lambda label: label.isNotNull()))
+    return df.withColumn("labels", F.filter(label_slots(rules, text), lambda label: label.isNotNull()))
 
 
 def rule_labels(df: DataFrame, rules: Iterable[Rule] = FEEDBACK_RULES, text: str = "response") -> DataFrame:
     """One row per response and label met."""
-    labelled = with_labels(df, rules, text)
-    return labelled.withColumn("label", F.explode("labels")).drop("labels")
+    return df.withColumn("label", F.explode_outer(label_slots(rules, text))).filter("label is not null")
 
 
 def bag_of_words(train: DataFrame, rest: DataFrame, key: str = "text_id") -> DataFrame:
@@ -112,8 +117,7 @@ def bag_of_words(train: DataFrame, rest: DataFrame, key: str = "text_id") -> Dat
     parts = train.select(key, "label", "response").unionByName(
         rest.select(key, F.lit(None).cast("string").alias("label"), "response")
     )
-    rows = parts.select(key, "label", F.explode(token_array("response")).alias("token"))
-    return rows.groupBy(key, "label", "token").agg(F.count("*").alias("n"))
+    return tokens(parts, keep=(key, "label")).groupBy(key, "label", "token").agg(F.count("*").alias("n"))
 
 
 def class_statistics(train: DataFrame, rest: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -143,8 +147,7 @@ def class_statistics(train: DataFrame, rest: DataFrame) -> tuple[DataFrame, Data
 def naive_bayes_scores(train: DataFrame, rest: DataFrame, key: str = "text_id") -> DataFrame:
     """Log score of every class for each response of the rest."""
     classes, weights = class_statistics(train, rest)
-    bag = rest.select(key, F.explode(token_array("response")).alias("token"))
-    bag = bag.groupBy(key, "token").agg(F.count("*").alias("n"))
+    bag = tokens(rest, keep=(key,)).groupBy(key, "token").agg(F.count("*").alias("n"))
     hits = bag.join(weights, "token").groupBy(key, "label").agg(F.sum(F.col("n") * F.col("weight")).alias("hit"))
     # the classes are as few as the labels, so they come in as one array per response
     table = classes.agg(F.collect_list(F.struct("label", "log_prior", "log_size"))).scalar()

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions.text import clean_text, text_id
+from tillsight.functions.text import clean_text, has_letter, text_id
 from tillsight.operators.filters import filter_text, negative_only
 from tillsight.operators.joins import label_reply
 from tillsight.operators.sets import stack
@@ -17,8 +17,8 @@ from tillsight.session import settle
 
 def clean_feedback(feed: DataFrame, min_length: int = 5) -> DataFrame:
     """(mobile, response) with cleaned text; too short and blank responses are dropped."""
-    long_enough = filter_text(feed, "response", min_length)
-    return long_enough.select("mobile", clean_text("response").alias("response")).filter("response is not null")
+    usable = filter_text(feed, "response", min_length).filter(has_letter("response"))
+    return usable.select("mobile", clean_text("response").alias("response"))
 
 
 def feedback_reply(feed: DataFrame, lexicon: DataFrame, replies: DataFrame, rules: Iterable[Rule] = FEEDBACK_RULES,

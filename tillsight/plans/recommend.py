@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.functions.scalars import age_bracket, cohort_key, lenient_number
-from tillsight.operators.aggregates import only_excluded_item, popular_items, purchase_days
+from tillsight.operators.aggregates import popular_items
 from tillsight.operators.factors import recommend_unbought
 from tillsight.operators.filters import filter_code_length, known_pairs, null_strings, price_band, require
-from tillsight.operators.joins import cohort_lists, lines_with_value, member_demographics
+from tillsight.operators.joins import cohort_lists, lines_with_value, restrict_to_segment
 from tillsight.operators.ranking import ranked_list, top_n
 from tillsight.operators.sets import stack, uncovered
 from tillsight.plans.insights import atv_points
@@ -24,24 +26,30 @@ def clean_demographics(members: DataFrame) -> DataFrame:
     return cleaned.withColumn("age", lenient_number(F.col("age").cast("string")))
 
 
-def popular_lists(fav: DataFrame, n: int, excluded: str = EXCLUDED, column: str = "item") -> DataFrame:
+def popular_lists(fav: DataFrame, n: int, excluded: str = EXCLUDED, column: str = "item",
+                  within: Sequence[str] = ()) -> DataFrame:
     """Top n items of each cohort as a comma-joined text."""
-    best = top_n(popular_items(fav, excluded, column), ["cohort"], "txns", ["item"], n)
-    return ranked_list(best, "cohort", "rank", "item", n)
+    key = [*within, "cohort"]
+    return ranked_list(top_n(popular_items(fav, excluded, column, within), key, "txns", ["item"], n), key, "rank", "item", n)
 
 
 def cohort_recommend(favourites: DataFrame, members: DataFrame, n: int, excluded: str = EXCLUDED,
-                     column: str = "item") -> DataFrame:
+                     column: str = "item", within: Sequence[str] = ()) -> DataFrame:
     """Popular items for the members with favourites: by age and gender, by gender, or overall.
 
-    A member whose only favourite is the excluded item gets the overall list.
+    A member whose only favourite is the excluded item gets the overall list. ``within`` names
+    member columns whose groups are ranked apart from each other.
     """
-    fav = member_demographics(favourites, clean_demographics(members), members)
-    shared = only_excluded_item(fav, excluded, column).filter("only_excluded").select("mobile", "only_excluded")
-    keyed = fav.withColumn("own", cohort_key(age_bracket("age"), "gender"))
-    own = keyed.groupBy("mobile").agg(F.min("own").alias("own")).join(shared, "mobile", "left")
-    cohort = F.when(F.col("only_excluded"), F.lit(",")).otherwise(F.col("own"))
-    return cohort_lists(own.select("mobile", cohort.alias("cohort")), popular_lists(fav, n, excluded, column))
+    people = clean_demographics(members).select("mobile", "age", "gender", *within)
+    fav = favourites.join(people, "mobile")
+    own = fav.groupBy("mobile", *within).agg(
+        F.min(cohort_key(age_bracket("age"), "gender")).alias("own"),
+        F.count("*").alias("rows"),
+        F.max(F.col(column).contains(excluded)).alias("is_excluded"),
+    )
+    cohort = F.when((F.col("rows") == 1) & F.col("is_excluded"), F.lit(",")).otherwise(F.col("own"))
+    keyed = own.select("mobile", *within, cohort.alias("cohort"))
+    return cohort_lists(keyed, popular_lists(fav, n, excluded, column, within), within)
 
 
 def recommend(purchases: DataFrame, members: DataFrame, favourites: DataFrame, users: DataFrame, items: DataFrame,
@@ -50,25 +58,27 @@ def recommend(purchases: DataFrame, members: DataFrame, favourites: DataFrame, u
     """(mobile, items, tier): factor lists for repeat buyers, cohort lists for the others.
 
     Tiers: ``repeat`` bought on several days and is known to the model, ``once`` bought on one
-    day, ``rest`` are the remaining buyers. Everything a member bought is kept out of a factor list.
+    day, ``rest`` are the remaining buyers. Everything a member bought is kept out of a factor
+    list. One pass over the purchases leaves a row per member and item, from which the tiers
+    follow: a member bought on several days when the first and the last day differ.
     """
     favourites = filter_code_length(require(favourites, ["mobile", "item"]), "item", *code_length)
-    bought = purchases.join(members.select("mobile"), "mobile", "left_semi")
-    days = purchase_days(bought)
-    repeat = bought.join(days.filter("repeat_buyer"), "mobile", "left_semi")
-    pairs = settle(known_pairs(repeat.select(F.col("mobile").alias("user"), "item"), users, items).distinct(), "pairs")
-    buyers = pairs.select("user").distinct()
-    scored = recommend_unbought(users.join(buyers, "user", "left_semi"), items, pairs, n, digits)
+    bought = restrict_to_segment(purchases, members).groupBy("mobile", "item").agg(
+        F.min("txn_date").alias("first"), F.max("txn_date").alias("last")
+    )
+    bought = settle(bought, "bought")
+    buyers = bought.groupBy("mobile").agg((F.min("first") < F.max("last")).alias("repeat_buyer"))
+    repeat = restrict_to_segment(bought, buyers.filter("repeat_buyer"))
+    pairs = settle(known_pairs(repeat.select(F.col("mobile").alias("user"), "item"), users, items), "pairs")
+    known = pairs.select("user").distinct()
+    scored = recommend_unbought(users.join(known, "user", "left_semi"), items, pairs, n, digits)
     by_factor = scored.select(F.col("user").alias("mobile"), "items", F.lit("repeat").alias("tier"))
 
-    once = days.filter("not repeat_buyer").select("mobile")
-    rest = uncovered(days.select("mobile"), buyers.withColumnRenamed("user", "mobile"), once)
-    parts = [by_factor]
-    for tier, group in (("once", once), ("rest", rest)):
-        chosen = members.join(group, "mobile", "left_semi")
-        lists = cohort_recommend(favourites, chosen, n, excluded, column)
-        parts.append(lists.select("mobile", "items", F.lit(tier).alias("tier")))
-    return stack(*parts)
+    tier = F.when(F.col("repeat_buyer"), "rest").otherwise("once")
+    others = uncovered(buyers, known.withColumnRenamed("user", "mobile")).select("mobile", tier.alias("tier"))
+    people = members.select("mobile", "age", "gender").join(others, "mobile")
+    by_cohort = cohort_recommend(favourites, people, n, excluded, column, ["tier"])
+    return stack(by_factor, by_cohort.select("mobile", "items", "tier"))
 
 
 def atv_points_recommend(txn: DataFrame, sku: DataFrame, members: DataFrame, favourites: DataFrame, users: DataFrame,
