@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.text import MIN_TOKEN, contains_all, contains_none, text_id, token_array, words
 from tillsight.operators.ranking import first_match
+from tillsight.session import settle
 
 
 @dataclass(frozen=True)
@@ -51,9 +52,11 @@ FEEDBACK_RULES = (
 )
 
 
-def tokens(df: DataFrame, text: str = "response", keep: Sequence[str | Column] = ("mobile",)) -> DataFrame:
+def tokens(df: DataFrame, text: str = "response", keep: Sequence[str] = ("mobile",)) -> DataFrame:
     """One row per token, with the kept key columns.
 
+    Keys are columns, not expressions: an expression would be computed again for every token.
+
     The outer form of explode spares a second split: for the inner one Spark adds a filter on
     the array's size, which computes the array again.
     """
@@ -84,7 +87,8 @@ def sentiment(df: DataFrame, lexicon: DataFrame, text: str = "response") -> Data
 
     The lexicon is a (token, polarity, subjectivity) table of decimals.
     """
-    hits = tokens(df, text, [text_id(text).alias("text_id")]).join(first_match(lexicon, ["token"], ["polarity", "subjectivity"]), "token")
+    texts = df.select(text_id(text).alias("text_id"), text)
+    hits = tokens(texts, text, ["text_id"]).join(first_match(lexicon, ["token"], ["polarity", "subjectivity"]), "token")
     # copies of a text share its id; they add to sum and count alike, so the means stay
     means = hits.groupBy("text_id").agg(
         *[F.try_divide(F.sum(c).cast("double"), F.count(c)).alias(c) for c in ("polarity", "subjectivity")]
@@ -130,11 +134,12 @@ def class_statistics(train: DataFrame, rest: DataFrame) -> tuple[DataFrame, Data
         rest.select(F.lit(None).cast("string").alias("label"), "response")
     )
     counts = tokens(everything, keep=("label",)).groupBy("label", "token").agg(F.count("*").alias("n"))
+    counts = settle(counts, "token-counts")  # far smaller than the texts, and read three times
     vocabulary = counts.agg(F.countDistinct("token")).scalar()
     learned = counts.filter("label is not null")
     totals = learned.groupBy("label").agg(F.sum("n").alias("total"))
     sizes = train.groupBy("label").agg(F.count("*").alias("docs"))
-    all_docs = train.agg(F.count("*")).scalar()
+    all_docs = sizes.agg(F.sum("docs")).scalar()
     classes = sizes.join(totals, "label", "left").select(
         "label",
         F.log(F.col("docs") / all_docs).alias("log_prior"),
