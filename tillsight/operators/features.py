@@ -23,7 +23,10 @@ DEFAULTS = {"gender": "Male", "latency": 999.0}
 
 
 def churn_label(features: DataFrame, churn_window: DataFrame) -> DataFrame:
-    """Label 0 for members seen in the churn window, 1 for the others."""
+    """Label 0 for members seen in the churn window, 1 for the others.
+
+    Both sides hold one row per member and are grouped by it, so the join needs no shuffle.
+    """
     seen = churn_window.select("mobile").distinct().withColumn("labels", F.lit(0))
     return features.join(seen, "mobile", "left").withColumn("labels", F.coalesce("labels", F.lit(1)))
 

@@ -1,7 +1,7 @@
 """Joins on members, items and labels.
 
 No side carries a broadcast hint: Spark broadcasts a side whose measured size is below its
-threshold and shuffles otherwise, and the adaptive skew join splits hot keys.
+threshold and shuffles otherwise, and its adaptive skew join splits hot keys (see matching).
 """
 
 from __future__ import annotations
@@ -11,12 +11,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillsight.operators.matching import many_to_one, matched
 from tillsight.operators.ranking import first_match
 
 
 def restrict_to_segment(df: DataFrame, segment: DataFrame) -> DataFrame:
     """Rows of members in the segment."""
-    return df.join(segment.select("mobile"), "mobile", "left_semi")
+    return matched(df, segment, ["mobile"])
 
 
 only_members = restrict_to_segment
@@ -28,8 +29,8 @@ def add_segment_columns(df: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def join_points(atv: DataFrame, points: DataFrame) -> DataFrame:
-    """Average ticket with the points balance."""
-    return atv.join(points, "mobile")
+    """Average ticket with the points balance; a member may have several rows of points."""
+    return many_to_one(points, atv, ["mobile"])
 
 
 def join_response(nps_avg: DataFrame, value: DataFrame) -> DataFrame:
@@ -64,7 +65,7 @@ def unlabelled(negative: DataFrame, labelled: DataFrame) -> DataFrame:
 def label_reply(df: DataFrame, replies: DataFrame, default: str = "none") -> DataFrame:
     """Reply message of each label, or the default; the first message by text if several."""
     lookup = first_match(replies.select(F.col("type").alias("label"), "message"), ["label"], ["message"])
-    return df.join(lookup, "label", "left").withColumn("message", F.coalesce("message", F.lit(default)))
+    return many_to_one(df, lookup, ["label"], "left").withColumn("message", F.coalesce("message", F.lit(default)))
 
 
 def reply_matrix(typed: DataFrame, questions: DataFrame, languages: DataFrame) -> DataFrame:
@@ -79,30 +80,32 @@ def reply_matrix(typed: DataFrame, questions: DataFrame, languages: DataFrame) -
         "type", F.col("question").alias("general"), F.explode(all_languages).alias("language")
     )
     lookup = general.join(own, ["type", "language"], "left")
-    lookup = lookup.select("type", "language", F.coalesce("own", "general").alias("question"))
-    return typed.join(lookup, "type").select("mobile", "type", "language", "question")
+    texts = F.collect_list(F.struct("language", F.coalesce("own", "general").alias("question")))
+    by_type = lookup.groupBy("type").agg(texts.alias("texts"))  # as many as there are languages
+    matrix = many_to_one(typed.select("mobile", "type"), by_type, ["type"])
+    return matrix.select("mobile", "type", F.inline("texts"))
 
 
 def seen_flag(df: DataFrame, seen: DataFrame, name: str = "seen") -> DataFrame:
     """Flag rows whose member occurs in ``seen``."""
     keys = seen.select("mobile").distinct().withColumn(name, F.lit(True))
-    return df.join(keys, "mobile", "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return many_to_one(df, keys, ["mobile"], "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def lines_with_value(sku: DataFrame, value: DataFrame) -> DataFrame:
     """Basket lines of the valued members, with the value."""
-    return sku.join(value.select("mobile", "value"), "mobile")
+    return many_to_one(sku, value.select("mobile", "value"), ["mobile"])
 
 
 def member_demographics(favourites: DataFrame, members: DataFrame, cohort: DataFrame) -> DataFrame:
     """Favourites of the cohort's members with their age and gender."""
-    chosen = favourites.join(cohort.select("mobile"), "mobile", "left_semi")
+    chosen = matched(favourites, cohort, ["mobile"])
     return chosen.join(members.select("mobile", "age", "gender"), "mobile")
 
 
 def cohort_lists(members: DataFrame, lists: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Members with the item list of their cohort; no list, no row."""
-    return members.join(lists, [*within, "cohort"]).select("mobile", *within, "cohort", "items")
+    return many_to_one(members, lists, [*within, "cohort"]).select("mobile", *within, "cohort", "items")
 
 
 def add_tags(df: DataFrame, tags: Mapping[str, DataFrame]) -> DataFrame:

@@ -11,8 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Spark cuts a ranking to n rows before the shuffle up to this n (its default threshold).
-MAP_SIDE_LIMIT = 1000
+from tillsight.operators.matching import many_to_one
+
+# Up to this n the rows Spark leaves per key and map task are few enough for one reduce task.
+MAP_SIDE_LIMIT = 100
 SALTS = 64
 
 
@@ -20,8 +22,8 @@ def top_n(df: DataFrame, partition: Sequence[str], score: str | Column, tie: Seq
           n: int, rank: str = "rank") -> DataFrame:
     """Best n rows per key: highest score first, then the tie columns.
 
-    Up to the threshold Spark's group limit prunes each key to n rows in the map stage. For a
-    larger n a salted first pass does so, which keeps every row that can reach the result.
+    Spark's group limit prunes each key to n rows in every map task. For a larger n a salted
+    first pass ranks parts of a key, which keeps every row that can reach the result.
     """
     best = F.desc(score) if isinstance(score, str) else score
     order = [best, *tie]
@@ -54,7 +56,7 @@ def by_date(df: DataFrame, day: str = "txn_date", tie: Sequence[str] = ("mobile"
 def latest_points(txn: DataFrame) -> DataFrame:
     """Points balance on the last date of each member; several rows on that date are kept."""
     last = txn.groupBy("mobile").agg(F.max("txn_date").alias("txn_date"))
-    return txn.join(last, ["mobile", "txn_date"]).select("mobile", "txn_date", "bill", "available")
+    return many_to_one(txn, last, ["mobile", "txn_date"]).select("mobile", "txn_date", "bill", "available")
 
 
 def visit_gaps(txn: DataFrame) -> DataFrame:
@@ -72,7 +74,7 @@ def with_gaps(visits: DataFrame) -> DataFrame:
 def max_line_amount(sku: DataFrame) -> DataFrame:
     """Each line with the largest line amount of its member."""
     peak = sku.groupBy("mobile").agg(F.max("net").alias("max_net"))
-    return sku.join(peak, "mobile")
+    return many_to_one(sku, peak, ["mobile"])
 
 
 def ranked_list(df: DataFrame, key: str | Sequence[str], rank: str, item: str, n: int, name: str = "items") -> DataFrame:
@@ -87,5 +89,5 @@ def scale_scores(df: DataFrame, user: str = "user", score: str = "score") -> Dat
     """Min-max scaled score per user; 0 where a user's scores are all equal."""
     edges = df.groupBy(user).agg(F.min(score).alias("low"), F.max(score).alias("high"))
     spread = F.try_divide((F.col(score) - F.col("low")).cast("double"), (F.col("high") - F.col("low")).cast("double"))
-    scaled = df.join(edges, user).withColumn("scaled", F.coalesce(spread, F.lit(0.0)))
+    scaled = many_to_one(df, edges, [user]).withColumn("scaled", F.coalesce(spread, F.lit(0.0)))
     return scaled.drop("low", "high")

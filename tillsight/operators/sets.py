@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.operators.joins import reply_matrix
+from tillsight.operators.matching import unmatched
 
 
 def stack(*parts: DataFrame) -> DataFrame:
@@ -28,10 +29,10 @@ def segment_members(segments: DataFrame, run_id: str) -> DataFrame:
 def uncovered(df: DataFrame, *covered: DataFrame) -> DataFrame:
     """Rows of members none of the covered frames holds."""
     for part in covered:
-        df = df.join(part.select("mobile"), "mobile", "left_anti")
+        df = unmatched(df, part, ["mobile"])
     return df
 
 
 def unbought(scores: DataFrame, purchases: DataFrame) -> DataFrame:
     """Scored pairs the user has not bought."""
-    return scores.join(purchases.select("user", "item"), ["user", "item"], "left_anti")
+    return unmatched(scores, purchases, ["user", "item"])

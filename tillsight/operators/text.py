@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.functions.text import MIN_TOKEN, contains_all, contains_none, text_id, token_array, words
+from tillsight.operators.matching import many_to_one, matched
 from tillsight.operators.ranking import first_match
 from tillsight.session import settle
 
@@ -66,7 +67,7 @@ def tokens(df: DataFrame, text: str = "response", keep: Sequence[str] = ("mobile
 def stem_tokens(token_rows: DataFrame, stems: DataFrame) -> DataFrame:
     """Replace tokens by their stem where the (token, stem) table has one."""
     lookup = first_match(stems, ["token"], ["stem"])
-    stemmed = token_rows.join(lookup, "token", "left")
+    stemmed = many_to_one(token_rows, lookup, ["token"], "left")
     others = [c for c in token_rows.columns if c != "token"]
     return stemmed.select(*others, F.coalesce("stem", "token").alias("token"))
 
@@ -79,7 +80,7 @@ def frequent_terms(token_rows: DataFrame, min_count: int = 15, n: int = 50) -> D
 
 def frequent_nouns(token_rows: DataFrame, nouns: DataFrame, n: int = 50, min_count: int = 15) -> DataFrame:
     """Frequent terms among the listed nouns."""
-    return frequent_terms(token_rows.join(nouns.select("token"), "token", "left_semi"), min_count, n)
+    return frequent_terms(matched(token_rows, nouns, ["token"]), min_count, n)
 
 
 def sentiment(df: DataFrame, lexicon: DataFrame, text: str = "response") -> DataFrame:
@@ -88,12 +89,13 @@ def sentiment(df: DataFrame, lexicon: DataFrame, text: str = "response") -> Data
     The lexicon is a (token, polarity, subjectivity) table of decimals.
     """
     texts = df.select(text_id(text).alias("text_id"), text)
-    hits = tokens(texts, text, ["text_id"]).join(first_match(lexicon, ["token"], ["polarity", "subjectivity"]), "token")
+    lookup = first_match(lexicon, ["token"], ["polarity", "subjectivity"])
+    hits = many_to_one(tokens(texts, text, ["text_id"]), lookup, ["token"])
     # copies of a text share its id; they add to sum and count alike, so the means stay
     means = hits.groupBy("text_id").agg(
         *[F.try_divide(F.sum(c).cast("double"), F.count(c)).alias(c) for c in ("polarity", "subjectivity")]
     )
-    scored = df.withColumn("text_id", text_id(text)).join(means, "text_id", "left").drop("text_id")
+    scored = many_to_one(df.withColumn("text_id", text_id(text)), means, ["text_id"], "left").drop("text_id")
     return scored.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("polarity", "subjectivity")})
 
 

@@ -133,7 +133,7 @@ def run_batch(spark: SparkSession, specs: DataFrame, tables: Mapping[str, DataFr
             replace_run(insight, f"{path}/insights/name={spec.name}")
             log.append((spec.run_id, spec.id, "done", None))
         except Exception as error:  # any insight may fail in its own way; the others must run
-            log.append((spec.run_id, spec.id, "failed", str(error).splitlines()[0]))
+            log.append((spec.run_id, spec.id, "failed", (str(error) or type(error).__name__).splitlines()[0]))
     rows = spark.createDataFrame(log, LOG_SCHEMA).withColumn("ts", F.current_timestamp())
     append_run_log(rows, f"{path}/log")
     return rows

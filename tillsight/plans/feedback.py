@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.text import clean_text, has_letter, text_id
 from tillsight.operators.filters import filter_text, negative_only
 from tillsight.operators.joins import label_reply
+from tillsight.operators.matching import many_to_one
 from tillsight.operators.sets import stack
 from tillsight.operators.text import FEEDBACK_RULES, Rule, naive_bayes_label, sentiment, with_labels
 from tillsight.session import settle
@@ -36,7 +37,7 @@ def feedback_reply(feed: DataFrame, lexicon: DataFrame, replies: DataFrame, rule
     # copies of a text get the same label, so the model sees each text of the rest once
     texts = rest.groupBy("text_id").agg(F.first("response").alias("response"))
     predicted = naive_bayes_label(by_rule.select("text_id", "response", "label"), texts)
-    labelled = rest.select("mobile", "text_id").join(predicted, "text_id").select("mobile", "label")
+    labelled = many_to_one(rest.select("mobile", "text_id"), predicted, ["text_id"]).select("mobile", "label")
     if include_rules:
         labelled = stack(labelled, by_rule.select("mobile", "label"))
     return label_reply(labelled, replies, default).select("mobile", "label", "message")

@@ -12,6 +12,7 @@ from tillsight.operators.aggregates import popular_items
 from tillsight.operators.factors import recommend_unbought
 from tillsight.operators.filters import filter_code_length, known_pairs, null_strings, price_band, require
 from tillsight.operators.joins import cohort_lists, lines_with_value, restrict_to_segment
+from tillsight.operators.matching import many_to_one
 from tillsight.operators.ranking import ranked_list, top_n
 from tillsight.operators.sets import stack, uncovered
 from tillsight.plans.insights import atv_points
@@ -41,7 +42,7 @@ def cohort_recommend(favourites: DataFrame, members: DataFrame, n: int, excluded
     member columns whose groups are ranked apart from each other.
     """
     people = clean_demographics(members).select("mobile", "age", "gender", *within)
-    fav = favourites.join(people, "mobile")
+    fav = many_to_one(favourites, people, ["mobile"])
     own = fav.groupBy("mobile", *within).agg(
         F.min(cohort_key(age_bracket("age"), "gender")).alias("own"),
         F.count("*").alias("rows"),
