@@ -26,6 +26,20 @@ def frame(spark):
     return lambda rows, schema: spark.createDataFrame(rows, schema)
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as they are when no side is small enough to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def plan(df):
+    """Physical plan as text."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def values(df, *columns):
     """Sorted rows as tuples."""
     return sorted((tuple(row) for row in df.select(*columns).collect()), key=repr)

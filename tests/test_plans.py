@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from conftest import plan
 from tillsight.operators import joins as J
 from tillsight.operators import ranking as W
 from tillsight.operators.aggregates import average_ticket, member_profile
@@ -11,21 +11,6 @@ from tillsight.operators.filters import trailing_window
 from tillsight.workload.views import Views
 
 FOLDER = "/root/testdata/sf0.001"
-# fitting happens while these are built, and what they return is a small result
-FITTED = ("c8", "s8", "m8", "m9", "m10", "m11", "m12", "m15")
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.fixture
-def no_broadcast(spark):
-    """Plans as they are when no side is small enough to broadcast."""
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.fixture(scope="module")
@@ -33,12 +18,6 @@ def v(spark):
     return Views(spark, FOLDER)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith(FITTED)])
-def test_no_query_needs_a_cross_join(spark, no_broadcast, name):
-    text = plan(entry.queries()[name](spark, FOLDER))
-    assert "NestedLoop" not in text and "Cartesian" not in text and "PythonUDF" not in text
-
-
 def test_rankings_are_cut_in_the_map_stage(v):
     ranked = plan(W.top_n(v.sku, ["mobile"], "qty", ["item"], 5))
     assert ranked.count("WindowGroupLimit") == 2
