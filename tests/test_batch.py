@@ -73,6 +73,13 @@ def test_member_segments_are_added(frame, tables):
     assert values(B.compute(spec, tables), "mobile", "segment") == [("a", "s1"), ("a", "s2")]
 
 
+def test_tags_go_to_insights_and_not_to_replies(spark, frame, tables, tmp_path):
+    tags = {"r1": {"city": frame([("a", "x"), ("a", "y")], "mobile string, value string")}}
+    B.run_batch(spark, specs(frame, CLV, NPS), tables, str(tmp_path), tags=tags)
+    assert values(spark.read.parquet(f"{tmp_path}/insights/name=clv"), "mobile", "city") == [("a", "y"), ("b", None)]
+    assert "city" not in spark.read.parquet(f"{tmp_path}/insights/name=NPS").columns
+
+
 def test_jdbc_options():
     source = SR.Source("jdbc", options={"url": "jdbc:x"}, partition=("id", "1", "9", 4))
     assert SR.jdbc_options(source, "member") == {

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.operators.filters import stamp_insight
-from tillsight.operators.joins import add_segment_columns, restrict_to_segment
+from tillsight.operators.joins import add_segment_columns, add_tags, restrict_to_segment
 from tillsight.operators.sets import segment_members
 from tillsight.plans.feedback import feedback_reply
 from tillsight.plans.insights import atv_points, clv, default_value, nps_reply, nps_value
@@ -100,10 +100,12 @@ def dispatch(spec: Row, registry: Mapping[str, Registration] = REGISTRY) -> Insi
     return entry.run
 
 
-def compute(spec: Row, tables: Mapping[str, DataFrame], registry: Mapping[str, Registration] = REGISTRY) -> DataFrame:
+def compute(spec: Row, tables: Mapping[str, DataFrame], registry: Mapping[str, Registration] = REGISTRY,
+            tags: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """One insight for the members of the run's segments, stamped with insight and run.
 
-    Every insight starts from the base tables; none sees what another one left behind.
+    Every insight starts from the base tables; none sees what another one left behind. Tags go to
+    the insights dispatched by id, not to the replies selected by name.
     """
     segment = segment_members(tables["segments"], spec.run_id)
     # the rule list is data of the feedback insight, not a table
@@ -113,6 +115,8 @@ def compute(spec: Row, tables: Mapping[str, DataFrame], registry: Mapping[str, R
         for name, table in tables.items()
     }
     result = dispatch(spec, registry)(restricted, spec)
+    if spec.name not in BY_NAME:
+        result = add_tags(result, tags or {})
     if "member_segments" in tables:
         result = add_segment_columns(result, tables["member_segments"])
     result = result.withColumns({"value": F.col("value").cast("string"), "insight_name": F.lit(spec.name)})
@@ -120,16 +124,18 @@ def compute(spec: Row, tables: Mapping[str, DataFrame], registry: Mapping[str, R
 
 
 def run_batch(spark: SparkSession, specs: DataFrame, tables: Mapping[str, DataFrame], path: str,
-              registry: Mapping[str, Registration] = REGISTRY) -> DataFrame:
+              registry: Mapping[str, Registration] = REGISTRY,
+              tags: Mapping[str, Mapping[str, DataFrame]] | None = None) -> DataFrame:
     """Compute and write every spec, and return the run log.
 
-    The specs are a control list of a few rows, which the driver walks. A failing insight leaves
+    The specs are a control list of a few rows, which the driver walks; ``tags`` holds the tag
+    tables by run. A failing insight leaves
     a log row and the run goes on; running again replaces the rows of the run.
     """
     log = []
     for spec in specs.collect():
         try:
-            insight = compute(spec, tables, registry)
+            insight = compute(spec, tables, registry, (tags or {}).get(spec.run_id))
             replace_run(insight, f"{path}/insights/name={spec.name}")
             log.append((spec.run_id, spec.id, "done", None))
         except Exception as error:  # any insight may fail in its own way; the others must run

@@ -67,7 +67,7 @@ def read_keyed_table(spark: SparkSession, source: Source, keyspace: str, table:
     reader = spark.read.format(source.format)
     if source.base is None:
         return reader.options(**keyed_options(source, keyspace, table)).load()
-    return reader.options(**source.options).load(f"{source.base}/{keyspace}/{table}".replace("//", "/"))
+    return reader.options(**source.options).load(f"{source.base}/{keyspace}/{table}")
 
 
 def read_features(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
