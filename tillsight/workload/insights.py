@@ -13,7 +13,7 @@ from tillsight.plans import insights as I
 from tillsight.session import new_path
 from tillsight.sources import readers as SR
 from tillsight.sources import writers as SW
-from tillsight.workload.registry import query, round6
+from tillsight.workload.registry import query
 from tillsight.workload.relational import COMMON
 from tillsight.workload.texts import RULES
 from tillsight.workload.views import Views
@@ -44,19 +44,19 @@ def _(v):
     return I.clv(I.default_value(v.txn), 300000, 600000, tags)
 
 
-NPV = """SELECT value.mobile, round(CASE WHEN response IS NULL THEN value
-                ELSE response * 0.5e0 + value * 0.5e0 END, 6) AS value
+NPV = """SELECT value.mobile, CASE WHEN response IS NULL THEN value
+                ELSE response * 0.5e0 + value * 0.5e0 END AS value
          FROM value LEFT JOIN mean_nps ON mean_nps.mobile = value.mobile"""
 
 
 @sql_query("c3_nps_value", f"SELECT * FROM ({NPV}) WHERE value BETWEEN 300000 AND 600000")
 def _(v):
-    return round6(I.nps_value(v.nps, I.default_value(v.txn), 300000, 600000), "value")
+    return I.nps_value(v.nps, I.default_value(v.txn), 300000, 600000)
 
 
-@sql_query("c4_atv_points", "SELECT mobile, round(value, 6) AS value FROM atv_value")
+@sql_query("c4_atv_points", "SELECT mobile, value FROM atv_value")
 def _(v):
-    return round6(I.atv_points(v.txn, 0.5, 0.5, 2), "value")
+    return I.atv_points(v.txn, 0.5, 0.5, 2)
 
 
 # ---- sources and sinks
@@ -95,12 +95,12 @@ def _(v):
 
 
 @sql_query("s6_append_insight", """
-    SELECT mobile, round(value, 6) AS value, '14' AS insight_id FROM value
-    UNION ALL SELECT mobile, round(value, 6), '16' FROM atv_value""")
+    SELECT mobile, value, '14' AS insight_id FROM value
+    UNION ALL SELECT mobile, value, '16' FROM atv_value""")
 def _(v):
     path = new_path(v.spark, "insights")
     for insight_id, df in (("14", I.default_value(v.txn)), ("16", I.atv_points(v.txn, 0.5, 0.5, 2))):
-        SW.append_insight(round6(df, "value").withColumn("insight_id", F.lit(insight_id)), path)
+        SW.append_insight(df.withColumn("insight_id", F.lit(insight_id)), path)
     return v.spark.read.parquet(path).withColumn("insight_id", F.col("insight_id").cast("string"))
 
 

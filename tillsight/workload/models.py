@@ -11,7 +11,7 @@ from tillsight.operators.filters import observation_window, trailing_window
 from tillsight.plans import churn as C
 from tillsight.session import new_path, settle
 from tillsight.sources.writers import load_model, save_model
-from tillsight.workload.registry import query, round6
+from tillsight.workload.registry import query, rounded
 from tillsight.workload.relational import COMMON, profile_sql
 from tillsight.workload.views import ASOF, CW, PW, Views
 
@@ -20,7 +20,7 @@ def features_sql(txn: str, sku: str, reference: str, label: str = "") -> str:
     return f"""
     SELECT p.mobile, gender, tier, state, city, total_txn, total_visits, total_amount, pointscollected, lapsedpoints,
            availablepoints, max_latency, {reference} - last_date AS recency, {reference} - first_date AS tenure,
-           round(CASE WHEN total_visits > 1 THEN CAST(last_date - first_date AS DOUBLE) / (total_visits - 1) END, 6)
+           CASE WHEN total_visits > 1 THEN CAST(last_date - first_date AS DOUBLE) / (total_visits - 1) END
                AS latency,
            uniqueitems, qty, ndept, nstores{label}
     FROM ({profile_sql(txn)}) AS p
@@ -100,12 +100,12 @@ def positions(df: DataFrame, column: str) -> DataFrame:
 
 @sql_query("c7_churn_features", "SELECT * FROM features")
 def _(v):
-    return round6(training_features(v), "latency")
+    return training_features(v)
 
 
 @sql_query("c7_churn_features_scoring", features_sql("late_txn", "late_sku", f"DATE '{ASOF}'"))
 def _(v):
-    return round6(scoring_features(v), "latency")
+    return scoring_features(v)
 
 
 @sql_query("m1_churn_label", """
@@ -168,7 +168,7 @@ def _(v):
     df = ready(v)
     train, _ = M.hash_split(df)
     model = M.scaled(M.feature_pipeline()).fit(train)
-    return round6(positions(M.to_features(df, model), "features"), "value")
+    return rounded(positions(M.to_features(df, model), "features"), 6, "value")
 
 
 def fitted(v: Views, method: str) -> DataFrame:
@@ -221,12 +221,12 @@ def recency_auc(v: Views) -> float:
 
 @sql_query("m13_auc", AUC.format(head=""))
 def _(v):
-    return round6(M.score_record(v.spark, "recency", recency_auc(v)).select("auc"), "auc")
+    return rounded(M.score_record(v.spark, "recency", recency_auc(v)).select("auc"), 6, "auc")
 
 
 @sql_query("m14_score_record", AUC.format(head="'recency' AS method,"))
 def _(v):
-    return round6(M.score_record(v.spark, "recency", recency_auc(v)).drop("ts"), "auc")
+    return rounded(M.score_record(v.spark, "recency", recency_auc(v)).drop("ts"), 6, "auc")
 
 
 @sql_query("m15_score_churn")

@@ -49,6 +49,9 @@ def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None
     return register
 
 
-def round6(df: DataFrame, *columns: str) -> DataFrame:
-    """Round columns to six decimals for comparison between engines."""
-    return df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in columns})
+def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """Round columns the engines sum up in different orders.
+
+    Everything else is compared to the last bit, so that no tie in rounding can tell them apart.
+    """
+    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})

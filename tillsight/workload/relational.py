@@ -13,7 +13,7 @@ from tillsight.operators import ranking as W
 from tillsight.operators import sets as U
 from tillsight.operators.text import frequent_terms, tokens
 from tillsight.plans.insights import default_value
-from tillsight.workload.registry import query, round6
+from tillsight.workload.registry import query
 from tillsight.workload.views import ASOF, CW, EXCLUDED, PW
 
 COHORTS = [f"{b},{g}" for b in ("(0-15]", "(15-25]", "(25-35]", "(35-45]", "(45-100]") for g in ("Female", "Male")]
@@ -67,16 +67,16 @@ def _(v):
 
 
 @sql_query("p2_filter_value_range",
-           "SELECT mobile, round(value, 6) AS value FROM value WHERE value BETWEEN 300000 AND 600000")
+           "SELECT mobile, value FROM value WHERE value BETWEEN 300000 AND 600000")
 def _(v):
-    return round6(P.filter_value_range(default_value(v.txn), "value", 300000, 600000), "value")
+    return P.filter_value_range(default_value(v.txn), "value", 300000, 600000)
 
 
 @sql_query("p3_filter_points_ratio",
-           "SELECT mobile, round(atv, 6) AS atv, available FROM ticket "
+           "SELECT mobile, atv, available FROM ticket "
            "WHERE available * 0.5e0 * 100.0e0 / atv BETWEEN 0.5 AND 2")
 def _(v):
-    return round6(P.filter_points_ratio(ticket(v), 0.5, 0.5, 2), "atv")
+    return P.filter_points_ratio(ticket(v), 0.5, 0.5, 2)
 
 
 @sql_query("p4_filter_text",
@@ -112,9 +112,9 @@ def _(v):
 
 
 @sql_query("p9_stamp_insight",
-           "SELECT mobile, round(atv, 6) AS atv, '16' AS insight_id, 'value' AS insight_group FROM atv")
+           "SELECT mobile, atv, '16' AS insight_id, 'value' AS insight_group FROM atv")
 def _(v):
-    return round6(P.stamp_insight(A.average_ticket(v.txn), "16", "value"), "atv")
+    return P.stamp_insight(A.average_ticket(v.txn), "16", "value")
 
 
 @sql_query("p10_lower_columns", "SELECT mobile, tier, store FROM member")
@@ -172,11 +172,11 @@ def _(v):
 
 
 @sql_query("j2_add_segment_columns",
-           "SELECT atv.mobile, round(atv, 6) AS atv, segment FROM atv "
+           "SELECT atv.mobile, atv, segment FROM atv "
            "JOIN member_segments ON atv.mobile = member_segments.mobile")
 def _(v):
     segments = v.segments.select("mobile", F.col("run_id").alias("segment"))
-    return round6(J.add_segment_columns(A.average_ticket(v.txn), segments), "atv")
+    return J.add_segment_columns(A.average_ticket(v.txn), segments)
 
 
 LATEST = """SELECT mobile, txn_date, bill, available FROM (
@@ -185,18 +185,18 @@ LATEST = """SELECT mobile, txn_date, bill, available FROM (
 
 
 @sql_query("j3_join_points", f"""
-    SELECT atv.mobile, round(atv, 6) AS atv, bill, available
+    SELECT atv.mobile, atv, bill, available
     FROM atv JOIN ({LATEST}) AS points ON atv.mobile = points.mobile""")
 def _(v):
     points = W.latest_points(v.txn).drop("txn_date")
-    return round6(J.join_points(A.average_ticket(v.txn), points), "atv")
+    return J.join_points(A.average_ticket(v.txn), points)
 
 
 @sql_query("j4_join_response", """
-    SELECT value.mobile, round(response, 6) AS response, round(value, 6) AS value
+    SELECT value.mobile, response, value
     FROM mean_nps RIGHT JOIN value ON mean_nps.mobile = value.mobile""")
 def _(v):
-    return round6(J.join_response(A.mean_response(v.nps), default_value(v.txn)), "response", "value")
+    return J.join_response(A.mean_response(v.nps), default_value(v.txn))
 
 
 @sql_query("j5_member_store",
@@ -249,11 +249,11 @@ def _(v):
 
 
 @sql_query("j12_lines_with_value", """
-    SELECT sku.mobile, bill, item, qty, round(value, 6) AS value
+    SELECT sku.mobile, bill, item, qty, value
     FROM sku JOIN value ON sku.mobile = value.mobile""")
 def _(v):
     lines = J.lines_with_value(v.sku, default_value(v.txn)).drop("net", "txn_date")
-    return round6(lines, "value")
+    return lines
 
 
 @sql_query("j13_member_demographics", """
@@ -266,7 +266,7 @@ def _(v):
 
 
 @sql_query("j14_add_tags", """
-    SELECT mobile, round(atv, 6) AS atv, s.days, t.points
+    SELECT mobile, atv, s.days, t.points
     FROM atv
     LEFT JOIN (SELECT mobile AS m, count(DISTINCT txn_date) AS days FROM since GROUP BY mobile) AS s ON mobile = s.m
     LEFT JOIN (SELECT mobile AS m, max(available) AS points FROM past GROUP BY mobile) AS t ON mobile = t.m""")
@@ -277,7 +277,7 @@ def _(v):
         "days": since.groupBy("mobile").agg(F.countDistinct("txn_date").alias("value")),
         "points": past.select("mobile", F.col("available").alias("value")),
     }
-    return round6(J.add_tags(A.average_ticket(v.txn), tags), "atv")
+    return J.add_tags(A.average_ticket(v.txn), tags)
 
 
 @sql_query("j15_cohort_lists", """
@@ -292,22 +292,22 @@ def _(v):
 
 
 @sql_query("j16_only_members",
-           "SELECT mobile, round(value, 6) AS value FROM value WHERE mobile IN (SELECT mobile FROM mean_nps)")
+           "SELECT mobile, value FROM value WHERE mobile IN (SELECT mobile FROM mean_nps)")
 def _(v):
-    return round6(J.only_members(default_value(v.txn), v.nps), "value")
+    return J.only_members(default_value(v.txn), v.nps)
 
 
 # ---- aggregations
 
 
-@sql_query("a1_average_ticket", "SELECT mobile, round(atv, 6) AS atv FROM atv")
+@sql_query("a1_average_ticket", "SELECT mobile, atv FROM atv")
 def _(v):
-    return round6(A.average_ticket(v.txn), "atv")
+    return A.average_ticket(v.txn)
 
 
-@sql_query("a2_mean_response", "SELECT mobile, round(response, 6) AS response FROM mean_nps")
+@sql_query("a2_mean_response", "SELECT mobile, response FROM mean_nps")
 def _(v):
-    return round6(A.mean_response(v.nps), "response")
+    return A.mean_response(v.nps)
 
 
 @sql_query("a3_basket_totals", """
@@ -376,11 +376,11 @@ def _(v):
 @sql_query("a10_matrix_sparsity", """
     SELECT count(DISTINCT "user") AS users, count(DISTINCT item) AS items,
            count(*) FILTER (WHERE qty <> 0) AS filled,
-           round(100.0e0 * (1.0e0 - CAST(count(*) FILTER (WHERE qty <> 0) AS DOUBLE)
-                 / (CAST(count(DISTINCT "user") AS DOUBLE) * count(DISTINCT item))), 6) AS sparsity
+           100.0e0 * (1.0e0 - CAST(count(*) FILTER (WHERE qty <> 0) AS DOUBLE)
+                 / (CAST(count(DISTINCT "user") AS DOUBLE) * count(DISTINCT item))) AS sparsity
     FROM user_item""")
 def _(v):
-    return round6(A.matrix_sparsity(A.user_item_qty(v.sku)), "sparsity")
+    return A.matrix_sparsity(A.user_item_qty(v.sku))
 
 
 @sql_query("a11_popular_by_age_gender", """
@@ -552,31 +552,31 @@ def _(v):
 
 
 @sql_query("f2_blend", """
-    SELECT value.mobile, round(CASE WHEN response IS NULL THEN value ELSE response * 0.5e0 + value * 0.5e0 END, 6)
+    SELECT value.mobile, CASE WHEN response IS NULL THEN value ELSE response * 0.5e0 + value * 0.5e0 END
            AS blended
     FROM value LEFT JOIN mean_nps ON mean_nps.mobile = value.mobile""")
 def _(v):
     joined = J.join_response(A.mean_response(v.nps), default_value(v.txn))
-    return round6(joined.select("mobile", S.blend("response", "value").alias("blended")), "blended")
+    return joined.select("mobile", S.blend("response", "value").alias("blended"))
 
 
-@sql_query("f3_ticket_plus_points", "SELECT mobile, round(atv + available * 0.5e0, 6) AS value FROM ticket")
+@sql_query("f3_ticket_plus_points", "SELECT mobile, atv + available * 0.5e0 AS value FROM ticket")
 def _(v):
-    return round6(ticket(v).select("mobile", S.ticket_plus_points("atv", "available", 0.5).alias("value")), "value")
+    return ticket(v).select("mobile", S.ticket_plus_points("atv", "available", 0.5).alias("value"))
 
 
 @sql_query("f4_day_differences", f"""
     SELECT mobile, DATE '{ASOF}' - max(txn_date) AS recency, DATE '{ASOF}' - min(txn_date) AS tenure,
-           round(CASE WHEN count(DISTINCT txn_date) > 1 THEN CAST(max(txn_date) - min(txn_date) AS DOUBLE)
-                      / (count(DISTINCT txn_date) - 1) END, 6) AS latency
+           CASE WHEN count(DISTINCT txn_date) > 1 THEN CAST(max(txn_date) - min(txn_date) AS DOUBLE)
+                      / (count(DISTINCT txn_date) - 1) END AS latency
     FROM txn GROUP BY mobile""")
 def _(v):
     profile = A.member_profile(v.txn)
-    return round6(profile.select(
+    return profile.select(
         "mobile", S.recency("last_date", S.asof(ASOF)).alias("recency"),
         S.tenure("first_date", S.asof(ASOF)).alias("tenure"),
         S.mean_latency("first_date", "last_date", "total_visits").alias("latency"),
-    ), "latency")
+    )
 
 
 @sql_query("f5_shift_days", "SELECT bill, CAST(txn_date - 30 AS VARCHAR) AS day FROM txn")
@@ -648,11 +648,11 @@ def _(v):
 
 
 @sql_query("f14_scale_scores", """
-    SELECT "user", item, qty, round(coalesce(CAST(qty - low AS DOUBLE) / nullif(high - low, 0), 0.0e0), 6) AS scaled
+    SELECT "user", item, qty, coalesce(CAST(qty - low AS DOUBLE) / nullif(high - low, 0), 0.0e0) AS scaled
     FROM (SELECT *, min(qty) OVER (PARTITION BY "user") AS low, max(qty) OVER (PARTITION BY "user") AS high
           FROM user_item)""")
 def _(v):
-    return round6(W.scale_scores(A.user_item_qty(v.sku), "user", "qty"), "scaled")
+    return W.scale_scores(A.user_item_qty(v.sku), "user", "qty")
 
 
 @sql_query("f15_as_text", """

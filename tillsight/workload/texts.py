@@ -9,7 +9,7 @@ from tillsight.operators import filters as P
 from tillsight.operators import joins as J
 from tillsight.operators import text as T
 from tillsight.plans.feedback import clean_feedback, feedback_reply
-from tillsight.workload.registry import query, round6
+from tillsight.workload.registry import query, rounded
 from tillsight.workload.views import Views
 
 # Rules on words that occur in the test texts, of every shape a rule can have.
@@ -115,9 +115,9 @@ def graded(v: Views):
     return keyed.join(labels, "doc_id").drop("doc_id"), keyed.join(labels, "doc_id", "left_anti").drop("doc_id")
 
 
-@sql_query("p17_negative_only", "SELECT mobile, round(polarity, 6) AS polarity FROM scored WHERE polarity < 0")
+@sql_query("p17_negative_only", "SELECT mobile, round(polarity, 12) AS polarity FROM scored WHERE polarity < 0")
 def _(v):
-    return round6(P.negative_only(scored(v)).select("mobile", "polarity"), "polarity")
+    return rounded(P.negative_only(scored(v)).select("mobile", "polarity"), 12, "polarity")
 
 
 @sql_query("t1_tokens", f"""
@@ -130,9 +130,9 @@ def _(v):
 
 
 @sql_query("t2_sentiment",
-           "SELECT mobile, round(polarity, 6) AS polarity, round(subjectivity, 6) AS subjectivity FROM scored")
+           "SELECT mobile, round(polarity, 12) AS polarity, round(subjectivity, 12) AS subjectivity FROM scored")
 def _(v):
-    return round6(scored(v).drop("response"), "polarity", "subjectivity")
+    return rounded(scored(v).drop("response"), 12, "polarity", "subjectivity")
 
 
 @sql_query("t3_frequent_nouns", """
