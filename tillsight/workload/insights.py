@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from tillsight.operators import aggregates as A
-from tillsight.operators.filters import project_members
+from tillsight.operators.filters import observation_window, project_members, trailing_window
 from tillsight.plans import batch as B
 from tillsight.plans import insights as I
 from tillsight.session import new_path
@@ -16,7 +16,7 @@ from tillsight.sources import writers as SW
 from tillsight.workload.registry import query
 from tillsight.workload.relational import COMMON
 from tillsight.workload.texts import RULES
-from tillsight.workload.views import Views
+from tillsight.workload.views import ASOF, CW, PW, Views
 
 
 def sql_query(name, sql=None):
@@ -112,9 +112,6 @@ def _(v):
               UNION ALL SELECT mobile, txn_date, bill, amount, 1 FROM since))
     WHERE rn = 1""")
 def _(v):
-    from tillsight.operators.filters import observation_window, trailing_window
-    from tillsight.workload.views import ASOF, CW, PW
-
     rows = v.txn.select("mobile", "txn_date", "bill", "amount")
     old = observation_window(rows, "txn_date", ASOF, PW, CW)
     return SW.upsert_latest(old, trailing_window(rows, "txn_date", ASOF, CW), ["mobile"], "txn_date")
