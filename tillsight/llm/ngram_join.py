@@ -8,7 +8,9 @@ the band below, by that one's. An empty fragment is equal in many sets, so there
 decides as well: if no other fragment is equal, each differs in exactly one shingle, and the keys
 are that fragment's hash whole and with any one shingle left out.
 
-Met pairs are verified exactly: the sets are cut into fragments again, overlaps are counted per
+Every set also has a sketch of ``BITS`` parities: each shingle flips the bit it hashes to. Two
+sketches differ in at most as many bits as the sets in shingles, so that pairs too different are
+left out at the join, without loss. Met pairs are verified exactly: the sets are cut into fragments again, overlaps are counted per
 pair and fragment, and summed per pair. Equal sets are one class, of which only one takes part.
 Under a key, every class is first paired with the smallest one only. What these links connect needs
 no further pair; only classes of different components under one key are paired in later rounds.
@@ -30,6 +32,8 @@ from tillsight.operators.matching import many_to_one
 
 BAND = 1.3  # ratio of successive size bands
 SLICES = 4  # fragments in which overlaps are counted
+BITS = 512  # of a sketch
+SKETCH = [f"s{i}" for i in range(BITS // 64)]
 
 
 def band_starts(limit: int) -> list[int]:
@@ -96,17 +100,26 @@ def set_signature(shingles: np.ndarray) -> tuple[int, int]:
     return int(pair[0].view(np.int64)[0]) or 1, int(pair[1].view(np.int64)[0])
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """BITS parities as 64-bit numbers."""
+    places = (mix(shingles, 41) & U64(BITS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _profiles(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, names = [], []
+            sizes, names, sketches = [], [], []
             for _, texts in chunks(batch.column(1)):
                 for shingles in shingle_sets(texts, width):
                     sizes.append(len(shingles))
                     names.append(set_signature(shingles)[0])
+                    sketches.append(parity_sketch(shingles))
+            bits = np.array(sketches, np.int64).reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())],
-                ["doc_id", "n_shingles", "class"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
+                 *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(SKETCH))]],
+                ["doc_id", "n_shingles", "class", *SKETCH])
 
     return run
 
@@ -167,7 +180,8 @@ class NgramJoin:
         self.texts = self.docs.select("text").filter("text is not null")
         kind = dict(self.docs.dtypes)["doc_id"]
         self.profiles = settle(self.docs.mapInArrow(
-            _profiles(width), f"doc_id {kind}, n_shingles bigint, class bigint"), "profiles")
+            _profiles(width), f"doc_id {kind}, n_shingles bigint, class bigint" + "".join(
+                f", {name} bigint" for name in SKETCH)), "profiles")
 
     def shared_keys(self) -> DataFrame:
         """(key, class) of the keys that at least two classes have."""
@@ -175,6 +189,20 @@ class NgramJoin:
         met = keys.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
         return settle(many_to_one(keys, met.select("key"), ["key"], "left_semi").distinct(), "keys")
 
+    def sketched(self, rows: DataFrame, node: str, end: str) -> DataFrame:
+        """Rows with the size and sketch of the class in column ``node``, their names ending in ``end``."""
+        used = sized(settle(rows.select(F.col(node).alias("class")).distinct(), "used"))
+        own = self.profiles.join(used, "class", "left_semi").groupBy("class").agg(
+            *[F.first(c).alias(c + end) for c in ("n_shingles", *SKETCH)])
+        return many_to_one(rows, own.withColumnRenamed("class", node), [node])
+
+    def able(self, a: str, b: str):
+        """Whether two classes may reach the threshold, going by their sketches."""
+        apart = sum((F.bit_count(F.col(c + a).bitwiseXOR(F.col(c + b))) for c in SKETCH[1:]),
+                    F.bit_count(F.col(SKETCH[0] + a).bitwiseXOR(F.col(SKETCH[0] + b))))
+        # J >= num/den is (den - num) * (sizes together) >= (den + num) * shingles in one set only
+        return apart * (self.den + self.num) <= (F.col("n_shingles" + a) + F.col("n_shingles" + b)) * (self.den - self.num)
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes whose Jaccard reaches the threshold."""
         pairs = settle(pairs, "pairs")
@@ -203,8 +231,11 @@ class NgramJoin:
         """Verified links between classes; their components are those of all links."""
         shared = self.shared_keys()
         centre = shared.groupBy("key").agg(F.min("class").alias("a"))
-        stars = many_to_one(shared, centre, ["key"]).select("a", F.col("class").alias("b")).filter("a < b").distinct()
-        first = settle(self.verified(stars), "stars")
+        met = settle(many_to_one(shared, centre, ["key"]).select("a", F.col("class").alias("b")).filter("a < b").distinct(),
+                     "met")
+        stars = settle(self.sketched(self.sketched(met, "a", "_a"), "b", "_b").filter(self.able("_a", "_b")).select("a", "b"),
+                       "stars")
+        first = settle(self.verified(stars), "linked")
         labels = components(first)
         placed = many_to_one(shared.withColumnRenamed("class", "node"), labels, ["node"], "left").select(
             "key", "node", F.coalesce("label", "node").alias("label"))
@@ -213,8 +244,11 @@ class NgramJoin:
             "low < high").select("key")
         rest = settle(many_to_one(placed, open_keys, ["key"], "left_semi"), "open")
         # Under an open key, a component's classes meet those of other components only.
-        other = rest.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
-        pairs = rest.join(other, "key").filter("label <> label_b and node < b").select(
+        rest = settle(self.sketched(rest, "node", "_a"), "sketched")
+        other = rest.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"),
+                            *[F.col(c + "_a").alias(c + "_b") for c in ("n_shingles", *SKETCH)]).withColumnRenamed("key", "key_b")
+        meet = (F.col("key") == F.col("key_b")) & (F.col("label") != F.col("label_b")) & (F.col("node") < F.col("b"))
+        pairs = rest.join(other, meet & self.able("_a", "_b")).select(
             F.col("node").alias("a"), "b").distinct().join(stars, ["a", "b"], "left_anti")
         return first.unionByName(self.verified(pairs))
 
