@@ -187,7 +187,8 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, id_column: str = "d
     hits = settle(hits.withColumn(token, F.col("id").isNull()).withColumn("id", F.coalesce("id", F.lit(0))), "hits")
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     keyed = docs.select(*keep).withColumn(token, F.col(id_column).isNull())
-    joined = keyed.join(
+    # Both sides are shuffled at every size: the lists grow with the documents.
+    joined = keyed.hint("merge").join(
         hits.select(F.col("id").alias(scratch_id := scratch("id")), F.col(token).alias(flag := scratch("flag")), gone),
         (F.coalesce(keyed[id_column], F.lit(0)) == F.col(scratch_id)) & (F.col(token) == F.col(flag)), "left")
     others = [c for c in keep if c != text_column]
