@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.session import settle, shared_folder, tune
+from tillsight.session import new_path, shared_folder, tune
 
 # A side of at most this many rows may be broadcast; anything larger is shuffled.
 BROADCAST_ROWS = 2_000_000
@@ -28,6 +28,23 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a result to the shared folder and read it back; ``release`` can delete it later."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.settled_path = path
+    return back
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete settled frames that nothing reads any more: all that depends on them has been written itself."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.settled_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint for a settled frame whose row count is within the limit, else the frame as it is."""
     return F.broadcast(df) if df.count() <= limit else df
@@ -38,4 +55,4 @@ def scratch(stem: str) -> str:
     return f"{stem}_{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["prepare", "table", "sized", "scratch", "settle"]
+__all__ = ["prepare", "table", "sized", "scratch", "settle", "release"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.base import settle
+from tillsight.llm.base import release, settle
 from tillsight.operators.matching import many_to_one
 
 MAX_ROUNDS = 60
@@ -46,7 +46,9 @@ def components(links: DataFrame) -> DataFrame:
         if state == before or not state[0]:
             break
         before = state
-        current = settle(_star(_star(current, True), False), "links")
+        following = settle(_star(_star(current, True), False), "links")
+        release(current)
+        current = following
     else:
         raise RuntimeError("components did not settle")
     leaves = current.select(F.col("b").alias("node"), F.col("a").alias("label"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm.base import scratch, settle
+from tillsight.llm.base import release, scratch, settle
 from tillsight.llm.hashing import chunks
 from tillsight.session import new_path
 
@@ -167,6 +167,7 @@ def frequent_lines(docs: DataFrame, min_docs: int = 10, id_column: str = "doc_id
         found = settle(runs.frequent(), "frequent")
     finally:
         runs.close()
+    release(per_line)
     return rows, found
 
 
@@ -185,6 +186,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, id_column: str = "d
     # Ids may be null, and null-safe keys are two plain ones.
     hits = rows.join(found, "line", "left_semi").groupBy("id").agg(F.collect_set("line").alias(gone))
     hits = settle(hits.withColumn(token, F.col("id").isNull()).withColumn("id", F.coalesce("id", F.lit(0))), "hits")
+    release(rows, found)
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     keyed = docs.select(*keep).withColumn(token, F.col(id_column).isNull())
     # Both sides are shuffled at every size: the lists grow with the documents.

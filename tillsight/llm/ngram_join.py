@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.base import settle, sized
+from tillsight.llm.base import release, settle, sized
 from tillsight.llm.components import components
 from tillsight.llm.hashing import U64, chunks, mix, shingle_sets
 from tillsight.operators.matching import many_to_one
@@ -184,9 +184,12 @@ class NgramJoin:
                 f", {name} bigint" for name in SKETCH)), "profiles")
 
     def shared_keys(self) -> DataFrame:
-        """(key, class) of the keys that at least two classes have."""
+        """(key, class) of the keys that at least two rows have, and so of those that two classes have.
+
+        Copies in different tasks count as two rows; their keys come along and pair with nothing.
+        """
         keys = self.texts.mapInArrow(_keys(self.width, self.num, self.den), "key bigint, class bigint")
-        met = keys.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
+        met = keys.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
         return settle(many_to_one(keys, met.select("key"), ["key"], "left_semi").distinct(), "keys")
 
     def sketched(self, rows: DataFrame, node: str, end: str) -> DataFrame:
@@ -223,9 +226,11 @@ class NgramJoin:
                               F.size(F.array_intersect("part_a", "part_b")).cast("bigint").alias("common"))
         summed = partial.groupBy("a", "b").agg(
             F.sum("common").alias("common"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
-        return summed.filter(
+        good = settle(summed.filter(
             F.col("common") * self.den >= (F.col("size_a") + F.col("size_b") - F.col("common")) * self.num
-        ).select("a", "b", "common")
+        ).select("a", "b", "common"), "linked")
+        release(sets, pairs)
+        return good
 
     def links(self) -> DataFrame:
         """Verified links between classes; their components are those of all links."""
@@ -235,7 +240,8 @@ class NgramJoin:
                      "met")
         stars = settle(self.sketched(self.sketched(met, "a", "_a"), "b", "_b").filter(self.able("_a", "_b")).select("a", "b"),
                        "stars")
-        first = settle(self.verified(stars), "linked")
+        first = self.verified(stars)
+        release(met)
         labels = components(first)
         placed = many_to_one(shared.withColumnRenamed("class", "node"), labels, ["node"], "left").select(
             "key", "node", F.coalesce("label", "node").alias("label"))
@@ -244,13 +250,15 @@ class NgramJoin:
             "low < high").select("key")
         rest = settle(many_to_one(placed, open_keys, ["key"], "left_semi"), "open")
         # Under an open key, a component's classes meet those of other components only.
-        rest = settle(self.sketched(rest, "node", "_a"), "sketched")
-        other = rest.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"),
+        sketched = settle(self.sketched(rest, "node", "_a"), "sketched")
+        other = sketched.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"),
                             *[F.col(c + "_a").alias(c + "_b") for c in ("n_shingles", *SKETCH)]).withColumnRenamed("key", "key_b")
         meet = (F.col("key") == F.col("key_b")) & (F.col("label") != F.col("label_b")) & (F.col("node") < F.col("b"))
-        pairs = rest.join(other, meet & self.able("_a", "_b")).select(
+        pairs = sketched.join(other, meet & self.able("_a", "_b")).select(
             F.col("node").alias("a"), "b").distinct().join(stars, ["a", "b"], "left_anti")
-        return first.unionByName(self.verified(pairs))
+        links = first.unionByName(self.verified(pairs))
+        release(shared, stars, placed, rest, sketched)
+        return links
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10, id_column: str = "doc_id",
