@@ -145,6 +145,27 @@ def _keys(width: int, num: int, den: int):
     return run
 
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (key, class) sorted by both, the distinct ones whose key has at least two classes."""
+    last_key, last_class, given = np.empty(0, np.int64), np.empty(0, np.int64), False
+    for batch in batches:
+        keys = np.concatenate((last_key, batch.column(0).to_numpy()))
+        names = np.concatenate((last_class, batch.column(1).to_numpy()))
+        fresh = np.ones(len(keys), bool)
+        fresh[1:] = (keys[1:] != keys[:-1]) | (names[1:] != names[:-1])
+        keys, names = keys[fresh], names[fresh]
+        if not len(keys):
+            continue
+        same = keys[1:] == keys[:-1]
+        several = np.append(same, False) | np.insert(same, 0, False)
+        last = bool(several[-1])
+        if given:  # the row carried over has gone out already, its key is a shared one
+            last = last or len(keys) == 1
+            several[0] = False
+        yield pa.RecordBatch.from_arrays([pa.array(keys[several]), pa.array(names[several])], ["key", "class"])
+        last_key, last_class, given = keys[-1:], names[-1:], last
+
+
 def _slices(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = set()
@@ -184,13 +205,14 @@ class NgramJoin:
                 f", {name} bigint" for name in SKETCH)), "profiles")
 
     def shared_keys(self) -> DataFrame:
-        """(key, class) of the keys that at least two rows have, and so of those that two classes have.
+        """(key, class) of the keys that at least two classes have.
 
-        Copies in different tasks count as two rows; their keys come along and pair with nothing.
+        One shuffle of 16-byte rows, sorted by key, which may spill, and streamed: a key that many
+        classes share costs its task time but no memory.
         """
-        keys = self.texts.mapInArrow(_keys(self.width, self.num, self.den), "key bigint, class bigint")
-        met = keys.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
-        return settle(many_to_one(keys, met.select("key"), ["key"], "left_semi").distinct(), "keys")
+        schema = "key bigint, class bigint"
+        keys = self.texts.mapInArrow(_keys(self.width, self.num, self.den), schema)
+        return settle(keys.repartition("key").sortWithinPartitions("key", "class").mapInArrow(_met, schema), "keys")
 
     def sketched(self, rows: DataFrame, node: str, end: str) -> DataFrame:
         """Rows with the size and sketch of the class in column ``node``, their names ending in ``end``."""
