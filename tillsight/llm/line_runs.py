@@ -4,8 +4,12 @@ A run is a table of (line, docs): a 64-bit line hash and the number of documents
 bucketed by the hash and sorted in each bucket, so that runs merge without a shuffle. A batch of
 documents is cut into (line, document) rows, summed to one row per line and merge-anti-joined
 with the lines already known to be frequent; what is left becomes a run of level 0. When a level has
-``FANOUT`` runs, they are merged into one of the next level, and lines that have reached the
-threshold move to the frequent runs. Only hashes and numbers are kept, never lines.
+two runs, they are merged into one of the next level, and lines that have reached the threshold
+move to the frequent runs. Only hashes and numbers are kept, never lines.
+
+Runs are merged by an outer join on the line, never by a union and a sum: Spark 4.1 takes a union of
+equally bucketed tables to be bucketed itself and leaves the shuffle out, but does not line the
+buckets up when it scans by columns, so that the sums come out in parts.
 """
 
 from __future__ import annotations
@@ -23,7 +27,6 @@ from tillsight.llm.base import release, scratch, settle
 from tillsight.llm.hashing import chunks
 from tillsight.session import new_path
 
-FANOUT = 2
 BATCHES = 4
 
 
@@ -66,12 +69,14 @@ class LineRuns:
         self.names.append(name)
         return name
 
-    def _union(self, names: list[str]) -> DataFrame | None:
-        return reduce(DataFrame.union, [self.spark.table(n) for n in names]) if names else None
-
-    def known(self) -> DataFrame | None:
-        """(line, docs) of all runs, one row per line and run."""
-        return self._union([n for level in self.levels.values() for n in level] + self.frequent_runs)
+    def _merged(self, names: list[str]) -> DataFrame:
+        """(line, docs) of several runs, one row per line, in a merge join of each next run."""
+        out = self.spark.table(names[0]).select("line", "docs")
+        for name in names[1:]:
+            more = self.spark.table(name).select("line", F.col("docs").alias("more"))
+            out = out.join(more, "line", "full_outer").select(
+                "line", (F.coalesce("docs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("docs"))
+        return out
 
     def unseen(self, rows: DataFrame) -> DataFrame:
         """Rows whose ``line`` is in no run yet, for dedup as the batches come."""
@@ -85,32 +90,31 @@ class LineRuns:
             counts = counts.join(self.spark.table(name), "line", "left_anti")
         self.levels.setdefault(0, []).append(self._write(counts))
         level = 0
-        while len(self.levels.get(level, ())) >= FANOUT:
+        while len(self.levels.get(level, ())) > 1:
             self.compact(level)
             level += 1
 
     def compact(self, level: int) -> None:
         """Merge the runs of a level into one of the next."""
-        merged = self._union(self.levels[level]).groupBy("line").agg(F.sum("docs").alias("docs"))
-        merged = settle(merged, "merged")
+        merged = settle(self._merged(self.levels[level]), "merged")
         self.levels[level] = []
         self.frequent_runs.append(self._write(merged.filter(F.col("docs") >= self.min_docs)))
         self.levels.setdefault(level + 1, []).append(
             self._write(merged.filter(F.col("docs") < self.min_docs)))
+        release(merged)
 
     def frequent(self) -> DataFrame:
         """The lines found in at least ``min_docs`` documents of all batches together."""
-        rest = self._union([n for level in self.levels.values() for n in level])
-        found = self._union(self.frequent_runs)
-        parts = [found.select("line")] if found is not None else []
-        if rest is not None:
+        parts = [self.spark.table(name).select("line") for name in self.frequent_runs]
+        names = [n for level in self.levels.values() for n in level]
+        if names:
+            rest = self._merged(names).filter(F.col("docs") >= self.min_docs).select("line")
             for name in self.frequent_runs:
                 rest = rest.join(self.spark.table(name), "line", "left_anti")
-            parts.append(rest.groupBy("line").agg(F.sum("docs").alias("docs"))
-                         .filter(F.col("docs") >= self.min_docs).select("line"))
+            parts.append(rest)
         if not parts:
             return self.spark.createDataFrame([], "line bigint")
-        return reduce(DataFrame.union, parts).distinct()
+        return reduce(DataFrame.union, parts)  # no line is in two of them
 
     def close(self) -> None:
         for name in self.names:

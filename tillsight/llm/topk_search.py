@@ -224,7 +224,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_
     candidates give as many rows. Vectors that are null or empty or hold null or non-finite
     components take no part, nor do rows with a null id; a repeated row counts once, rows that
     repeat an id with another vector are candidates each, and as queries compete for one list.
-    Vectors meet those of their own dimension only. Scores beyond 64 bits stop at the end of the
+    Vectors meet those of their own dimension only. Components and scores beyond 64 bits stop at the end of the
     range. An empty table gives no rows; other columns have no influence.
     """
     spark = vectors.sparkSession
