@@ -44,11 +44,11 @@ def test_run_writes_each_insight_for_its_segment_and_goes_on_after_a_failure(spa
     log = B.run_batch(spark, lines, tables, path)
     assert values(log, "insight_id", "status") == [
         ("12", "done"), ("13", "done"), ("14", "done"), ("19", "failed"), ("99", "failed")]
-    clv = spark.read.parquet(f"{path}/insights/name=clv")
+    clv = spark.read.parquet(f"{path}/results/name=clv")
     assert values(clv, "mobile", "value", "insight_group", "run_id") == [("a", "10", "value", "r1"), ("b", "20", "value", "r1")]
-    npv = spark.read.parquet(f"{path}/insights/name=npv")
+    npv = spark.read.parquet(f"{path}/results/name=npv")
     assert values(npv, "mobile", "value") == [("c", "19.5")]
-    assert values(spark.read.parquet(f"{path}/insights/name=NPS"), "mobile", "value") == [("a", "Detractor"), ("b", "Promoter")]
+    assert values(spark.read.parquet(f"{path}/results/name=NPS"), "mobile", "value") == [("a", "Detractor"), ("b", "Promoter")]
     assert spark.read.parquet(f"{path}/log").count() == 5
 
 
@@ -57,7 +57,7 @@ def test_a_second_run_replaces_only_its_own_rows(spark, frame, tables, tmp_path)
     other = CLV.replace("r1", "r2")
     for lines in ((CLV, other), (CLV,)):
         B.run_batch(spark, specs(frame, *lines), tables, path)
-    rows = spark.read.parquet(f"{path}/insights/name=clv")
+    rows = spark.read.parquet(f"{path}/results/name=clv")
     assert values(rows, "mobile", "run_id") == [("a", "r1"), ("b", "r1"), ("c", "r2")]
 
 
@@ -73,11 +73,11 @@ def test_member_segments_are_added(frame, tables):
     assert values(B.compute(spec, tables), "mobile", "segment") == [("a", "s1"), ("a", "s2")]
 
 
-def test_tags_go_to_insights_and_not_to_replies(spark, frame, tables, tmp_path):
+def test_tags_go_to_results_and_not_to_replies(spark, frame, tables, tmp_path):
     tags = {"r1": {"city": frame([("a", "x"), ("a", "y")], "mobile string, value string")}}
     B.run_batch(spark, specs(frame, CLV, NPS), tables, str(tmp_path), tags=tags)
-    assert values(spark.read.parquet(f"{tmp_path}/insights/name=clv"), "mobile", "city") == [("a", "y"), ("b", None)]
-    assert "city" not in spark.read.parquet(f"{tmp_path}/insights/name=NPS").columns
+    assert values(spark.read.parquet(f"{tmp_path}/results/name=clv"), "mobile", "city") == [("a", "y"), ("b", None)]
+    assert "city" not in spark.read.parquet(f"{tmp_path}/results/name=NPS").columns
 
 
 def test_jdbc_options():
@@ -125,3 +125,14 @@ def test_append_insight_adds_rows(frame, spark, tmp_path):
     for _ in range(2):
         path = SW.append_insight(df, str(tmp_path / "t"))
     assert spark.read.parquet(path).count() == 2
+
+
+def test_an_empty_rerun_leaves_no_old_rows_and_specs_of_one_id_add_up(spark, frame, tables, tmp_path):
+    path = str(tmp_path)
+    low, high, none = (CLV.replace("Range,0,100", f"Range,{r}") for r in ("0,15", "16,100", "900,901"))
+    assert low != CLV
+    B.run_batch(spark, specs(frame, low, high), tables, path)
+    folder = f"{path}/results/name=clv"
+    assert values(spark.read.parquet(folder), "mobile", "run_id") == [("a", "r1"), ("b", "r1")]
+    log = B.run_batch(spark, specs(frame, none), tables, path)
+    assert values(log, "status") == [("done",)] and spark.read.parquet(folder).count() == 0

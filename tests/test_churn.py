@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillsight.operators import features as M
 from tillsight.plans import churn as C
+from tillsight.workload.models import SMALL_GRIDS
 from tillsight.sources.writers import load_model, save_model
 
 ASOF = "2020-07-01"
@@ -78,7 +79,7 @@ def sample(spark, shift=0):
 
 @pytest.mark.parametrize("method", ["svm", "naive_bayes", "logistic_regression", "boosted_trees"])
 def test_fit_save_load_score(spark, tmp_path, method):
-    model = C.fit_churn(sample(spark), method, folds=2)
+    model = C.fit_churn(sample(spark), method, SMALL_GRIDS[method], folds=2)
     # the raw score of Naive Bayes is an unscaled log likelihood, which ranks rows by size as well
     assert (0.0 if method == "naive_bayes" else 0.9) <= model.auc <= 1.0
     fresh = sample(spark, 1000).drop("labels")
@@ -106,7 +107,7 @@ def test_split_is_disjoint_and_fitting_sees_train_only(spark):
 def test_grids():
     sizes = {m: 1 for m in C.FULL_GRIDS}
     for method, grid in C.FULL_GRIDS.items():
-        assert set(C.SMALL_GRIDS[method]) <= set(grid)
+        assert set(SMALL_GRIDS[method]) <= set(grid)
         for options in grid.values():
             sizes[method] *= len(options)
     assert sizes == {"svm": 12, "logistic_regression": 36, "boosted_trees": 24, "naive_bayes": 1}

@@ -1,4 +1,4 @@
-"""Composite insights, recommendation tiers, feedback replies."""
+"""Composite results, recommendation tiers, feedback replies."""
 
 import datetime as dt
 from decimal import Decimal
@@ -8,7 +8,7 @@ from conftest import values
 
 from tillsight.operators.text import rule
 from tillsight.plans import feedback as FB
-from tillsight.plans import insights as I
+from tillsight.plans import rules as I
 from tillsight.plans import recommend as R
 
 
@@ -25,7 +25,7 @@ def test_nps_reply_covers_all_types_and_languages_and_drops_nulls(frame):
                    ("c", "en-Promoter"), ("c", "fr-Promoter")]
 
 
-def test_value_insights(frame):
+def test_value_results(frame):
     value = frame([("a", 10.9), ("b", 20.1), ("c", -1.5), ("d", None)], "mobile string, value double")
     assert values(I.clv(value, -1, 10), "mobile", "value") == [("a", 10), ("c", -1)]
     nps = frame([("a", "4"), ("a", "7"), ("x", "9")], "mobile string, response string")

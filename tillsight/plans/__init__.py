@@ -1 +1 @@
-"""Composite insights built from the operators."""
+"""Composite results built from the operators."""

@@ -12,7 +12,7 @@ from tillsight.operators.filters import stamp_insight
 from tillsight.operators.joins import add_segment_columns, add_tags, restrict_to_segment
 from tillsight.operators.sets import segment_members
 from tillsight.plans.feedback import feedback_reply
-from tillsight.plans.insights import atv_points, clv, default_value, nps_reply, nps_value
+from tillsight.plans.rules import atv_points, clv, default_value, nps_reply, nps_value
 from tillsight.plans.recommend import atv_points_recommend
 from tillsight.sources.writers import append_run_log, replace_run
 
@@ -105,7 +105,7 @@ def compute(spec: Row, tables: Mapping[str, DataFrame], registry: Mapping[str, R
     """One insight for the members of the run's segments, stamped with insight and run.
 
     Every insight starts from the base tables; none sees what another one left behind. Tags go to
-    the insights dispatched by id, not to the replies selected by name.
+    the results dispatched by id, not to the replies selected by name.
     """
     segment = segment_members(tables["segments"], spec.run_id)
     # the rule list is data of the feedback insight, not a table
@@ -129,17 +129,36 @@ def run_batch(spark: SparkSession, specs: DataFrame, tables: Mapping[str, DataFr
     """Compute and write every spec, and return the run log.
 
     The specs are a control list of a few rows, which the driver walks; ``tags`` holds the tag
-    tables by run. A failing insight leaves
-    a log row and the run goes on; running again replaces the rows of the run.
+    tables by run. Specs of one name, id and run are written together. A failing insight leaves a
+    log row and the run goes on; running again replaces the rows of the run, also by none.
     """
-    log = []
+    log, groups = [], {}
+
+    def note(spec, error=None):
+        text = error and (str(error) or type(error).__name__).splitlines()[0]
+        log.append((spec.run_id, spec.id, "failed" if error else "done", text))
+
     for spec in specs.collect():
+        groups.setdefault((spec.name, spec.id, spec.run_id), []).append(spec)
+    for (name, insight_id, run_id), members in groups.items():
+        done, result = [], None
+        for spec in members:
+            try:
+                part = compute(spec, tables, registry, (tags or {}).get(run_id))
+                result = part if result is None else result.unionByName(part, allowMissingColumns=True)
+                done.append(spec)
+            except Exception as error:  # any insight may fail in its own way; the others must run
+                note(spec, error)
+        if result is None:
+            continue
         try:
-            insight = compute(spec, tables, registry, (tags or {}).get(spec.run_id))
-            replace_run(insight, f"{path}/insights/name={spec.name}")
-            log.append((spec.run_id, spec.id, "done", None))
-        except Exception as error:  # any insight may fail in its own way; the others must run
-            log.append((spec.run_id, spec.id, "failed", (str(error) or type(error).__name__).splitlines()[0]))
+            replace_run(result, f"{path}/results/name={name}", insight_id, run_id)
+        except Exception as error:  # found out only when the rows are computed
+            for spec in done:
+                note(spec, error)
+        else:
+            for spec in done:
+                note(spec)
     rows = spark.createDataFrame(log, LOG_SCHEMA).withColumn("ts", F.current_timestamp())
     append_run_log(rows, f"{path}/log")
     return rows

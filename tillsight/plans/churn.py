@@ -31,12 +31,6 @@ FULL_GRIDS = {
     "boosted_trees": {"maxIter": [10, 100, 1000], "stepSize": [0.01, 0.1, 0.2, 0.4], "maxDepth": [5, 6]},
     "naive_bayes": {},
 }
-SMALL_GRIDS = {
-    "svm": {"maxIter": [10], "regParam": [0.01, 0.1]},
-    "logistic_regression": {"maxIter": [10], "regParam": [0.01, 0.5]},
-    "boosted_trees": {"maxIter": [5], "stepSize": [0.1], "maxDepth": [3]},
-    "naive_bayes": {},
-}
 CLASSIFIERS = {
     "svm": LinearSVC, "logistic_regression": LogisticRegression,
     "boosted_trees": GBTClassifier, "naive_bayes": NaiveBayes,
@@ -96,9 +90,9 @@ def param_grid(classifier, values: dict[str, list]) -> list:
 
 def fit_classifier(train: DataFrame, method: str, grid: dict[str, list] | None = None, folds: int = 5,
                    parallelism: int = 4):
-    """Best classifier on (features, labels); cross-validated wherever there is a choice to make."""
+    """Best classifier on (features, labels); cross-validated over the full grid, or the caller's smaller one."""
     classifier = CLASSIFIERS[method](labelCol="labels", featuresCol="features")
-    maps = param_grid(classifier, SMALL_GRIDS[method] if grid is None else grid)
+    maps = param_grid(classifier, FULL_GRIDS[method] if grid is None else grid)
     if len(maps) == 1:
         return classifier.fit(train, maps[0])
     evaluator = BinaryClassificationEvaluator(labelCol="labels", metricName="areaUnderROC")

@@ -15,7 +15,7 @@ from tillsight.operators.joins import cohort_lists, lines_with_value, restrict_t
 from tillsight.operators.matching import many_to_one
 from tillsight.operators.ranking import ranked_list, top_n
 from tillsight.operators.sets import stack, uncovered
-from tillsight.plans.insights import atv_points
+from tillsight.plans.rules import atv_points
 from tillsight.session import settle
 
 EXCLUDED = "Carry Bag"

@@ -1,4 +1,4 @@
-"""Rule insights: NPS replies, lifetime value, value blended with NPS, ticket plus points."""
+"""Rule results: NPS replies, lifetime value, value blended with NPS, ticket plus points."""
 
 from __future__ import annotations
 

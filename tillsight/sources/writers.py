@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.util import MLWritable
@@ -24,11 +25,11 @@ def append_insight(df: DataFrame, path: str) -> str:
     return path
 
 
-def replace_run(df: DataFrame, path: str) -> str:
-    """Write the rows of a run, replacing only that run: a repeated run adds no duplicates."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("insight_id", "run_id").parquet(path)
-    return path
+def replace_run(df: DataFrame, path: str, insight_id: str, run_id: str) -> str:
+    """Write the rows of one insight and run, replacing all that is there, also by no rows at all."""
+    folder = f"{path}/insight_id={quote(insight_id, safe='')}/run_id={quote(run_id, safe='')}"
+    df.drop("insight_id", "run_id").write.mode("overwrite").parquet(folder)
+    return folder
 
 
 def upsert_latest(old: DataFrame, new: DataFrame, key: Sequence[str], order: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Queries for composite insights, sources, sinks and the batch run."""
+"""Queries for composite results, sources, sinks and the batch run."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tillsight.operators import aggregates as A
 from tillsight.operators.filters import observation_window, project_members, trailing_window
 from tillsight.plans import batch as B
-from tillsight.plans import insights as I
+from tillsight.plans import rules as I
 from tillsight.session import new_path
 from tillsight.sources import readers as SR
 from tillsight.sources import writers as SW
@@ -98,7 +98,7 @@ def _(v):
     SELECT mobile, value, '14' AS insight_id FROM value
     UNION ALL SELECT mobile, value, '16' FROM atv_value""")
 def _(v):
-    path = new_path(v.spark, "insights")
+    path = new_path(v.spark, "results")
     for insight_id, df in (("14", I.default_value(v.txn)), ("16", I.atv_points(v.txn, 0.5, 0.5, 2))):
         SW.append_insight(df.withColumn("insight_id", F.lit(insight_id)), path)
     return v.spark.read.parquet(path).withColumn("insight_id", F.col("insight_id").cast("string"))
@@ -182,7 +182,7 @@ def _(v):
     log = B.run_batch(v.spark, B.parse_specs(v.spark.sql(SPECS)), batch_tables(v), path)
     counts = None
     for name in ("npv", "NPS", "clv", "ticket"):
-        rows = v.spark.read.parquet(f"{path}/insights/name={name}")
+        rows = v.spark.read.parquet(f"{path}/results/name={name}")
         part = rows.groupBy(F.col("insight_id").cast("string").alias("insight_id"), "run_id").agg(
             F.count("*").alias("members")
         )

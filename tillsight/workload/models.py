@@ -15,6 +15,14 @@ from tillsight.workload.registry import query, rounded
 from tillsight.workload.relational import COMMON, profile_sql
 from tillsight.workload.views import ASOF, CW, PW, Views
 
+# Grids of the registered queries; the full search takes hours on one machine.
+SMALL_GRIDS = {
+    "svm": {"maxIter": [10], "regParam": [0.01, 0.1]},
+    "logistic_regression": {"maxIter": [10], "regParam": [0.01, 0.5]},
+    "boosted_trees": {"maxIter": [5], "stepSize": [0.1], "maxDepth": [3]},
+    "naive_bayes": {},
+}
+
 
 def features_sql(txn: str, sku: str, reference: str, label: str = "") -> str:
     return f"""
@@ -173,7 +181,7 @@ def _(v):
 
 def fitted(v: Views, method: str) -> DataFrame:
     """Method and area under ROC of a fitted model."""
-    model = C.fit_churn(training_features(v), method)
+    model = C.fit_churn(training_features(v), method, SMALL_GRIDS[method])
     return M.score_record(v.spark, model.method, model.auc).drop("ts")
 
 
@@ -237,7 +245,7 @@ def _(v):
 
 @sql_query("c8_churn_fit_score")
 def _(v):
-    model = C.fit_churn(training_features(v), "boosted_trees")
+    model = C.fit_churn(training_features(v), "boosted_trees", SMALL_GRIDS["boosted_trees"])
     scored = C.score_churn(scoring_features(v), model.pipeline)
     return scored.groupBy("prediction").agg(F.count("*").alias("members"))
 

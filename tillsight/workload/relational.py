@@ -12,7 +12,7 @@ from tillsight.operators import joins as J
 from tillsight.operators import ranking as W
 from tillsight.operators import sets as U
 from tillsight.operators.text import frequent_terms, tokens
-from tillsight.plans.insights import default_value
+from tillsight.plans.rules import default_value
 from tillsight.workload.registry import query
 from tillsight.workload.views import ASOF, CW, EXCLUDED, PW
 
