@@ -225,3 +225,10 @@ def test_frequent_terms_and_stems(frame):
     stems = frame([("bb", "aa"), ("bb", "zz")], "token string, stem string")
     assert values(T.stem_tokens(rows, stems).groupBy("token").count(), "token", "count") == [
         ("aa", 5), ("cc", 2), ("dd", 1)]
+
+
+def test_reply_matrix_keeps_members_without_any_question(frame):
+    typed = frame([("a", "Promoter"), ("b", "Other")], "mobile string, type string")
+    questions = frame([("Promoter", "en", "why?")], "type string, language string, question string")
+    got = values(J.reply_matrix(typed, questions, A.distinct_languages(questions)), "mobile", "language", "question")
+    assert got == [("a", "en", "why?"), ("b", None, None)]

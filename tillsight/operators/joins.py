@@ -72,7 +72,8 @@ def reply_matrix(typed: DataFrame, questions: DataFrame, languages: DataFrame) -
     """Each member with the question of their type in every language.
 
     A type without a question in some language falls back to its first question. The languages
-    enter as one array, so types and members meet them by explode and not by a cross join.
+    enter as one array, so types and members meet them by explode and not by a cross join. A member
+    whose type has no question at all keeps one row with a null language and question.
     """
     all_languages = languages.agg(F.sort_array(F.collect_set("language"))).scalar()
     own = questions.groupBy("type", "language").agg(F.min("question").alias("own"))
@@ -82,8 +83,8 @@ def reply_matrix(typed: DataFrame, questions: DataFrame, languages: DataFrame) -
     lookup = general.join(own, ["type", "language"], "left")
     texts = F.collect_list(F.struct("language", F.coalesce("own", "general").alias("question")))
     by_type = lookup.groupBy("type").agg(texts.alias("texts"))  # as many as there are languages
-    matrix = many_to_one(typed.select("mobile", "type"), by_type, ["type"])
-    return matrix.select("mobile", "type", F.inline("texts"))
+    matrix = many_to_one(typed.select("mobile", "type"), by_type, ["type"], "left")
+    return matrix.select("mobile", "type", F.inline_outer("texts"))
 
 
 def seen_flag(df: DataFrame, seen: DataFrame, name: str = "seen") -> DataFrame:
