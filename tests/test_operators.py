@@ -102,7 +102,7 @@ def test_reply_matrix_falls_back_per_type(frame):
     questions = frame([("en", "Passive", "p?"), ("fr", "Promoter", "q ?"), ("fr", "Passive", "r ?")],
                       "language string, type string, question string")
     got = values(J.reply_matrix(typed, questions, A.distinct_languages(questions)), "mobile", "language", "question")
-    assert got == [("a", "en", "p?"), ("a", "fr", "r ?"), ("b", "en", "q ?"), ("b", "fr", "q ?")]
+    assert got == [("a", "en", "p?"), ("a", "fr", "r ?"), ("b", "en", "q ?"), ("b", "fr", "q ?"), ("c", None, None)]
 
 
 def test_label_reply_takes_one_message_and_a_default(frame):
