@@ -1,19 +1,18 @@
 """Jaccard join of documents on word shingles by vertical partitioning.
 
-Shingles are ordered globally by a 64-bit hash. The order is cut into fragments, and every set with
-it. Sets of Jaccard J or more and a smaller size of a differ in at most D = floor(a * (1 - J) / J)
-shingles, so that of D + 1 fragments at least one is equal in both: its hash is the key they meet
-under. Sizes fall into bands; a set is keyed by its own band's cut and, where a partner can be in
-the band below, by that one's. An empty fragment is equal in many sets, so there the next fragment
-decides as well: if no other fragment is equal, each differs in exactly one shingle, and the keys
-are that fragment's hash whole and with any one shingle left out.
+Shingles have one global order: rare ones first, going by how often the corpus holds a shingle of
+the same bucket, then by their 64-bit hash. Of a set of size a, every partner of Jaccard J or more
+shares at least ceil(J * a) shingles, so two such sets have one in common among the first
+a - ceil(J * a) + 1 of each. This first fragment gives the keys under which sets meet; passages that
+many documents share stand at the end of the order and bring nobody together.
 
 Every set also has a sketch of ``BITS`` parities: each shingle flips the bit it hashes to. Two
 sketches differ in at most as many bits as the sets in shingles, so that pairs too different are
-left out at the join, without loss. Met pairs are verified exactly: the sets are cut into fragments again, overlaps are counted per
-pair and fragment, and summed per pair. Equal sets are one class, of which only one takes part.
-Under a key, every class is first paired with the smallest one only. What these links connect needs
-no further pair; only classes of different components under one key are paired in later rounds.
+left out at the join, without loss. Met pairs are verified exactly: the sets are cut into fragments,
+overlaps are counted per pair and fragment, and summed per pair. Equal sets are one class, of which
+only one takes part. Under a key, every class is first paired with the smallest one only. What these
+links connect needs no further pair; only classes of different components under one key are paired
+in later rounds.
 """
 
 from __future__ import annotations
@@ -30,43 +29,17 @@ from tillsight.llm.components import components
 from tillsight.llm.hashing import U64, chunks, mix, shingle_sets
 from tillsight.operators.matching import many_to_one
 
-BAND = 1.3  # ratio of successive size bands
+BUCKETS = 1 << 20  # of the shingle counts; their levels, a byte each, are all that is broadcast
+PARTS = 256  # in which the counts are summed
 SLICES = 4  # fragments in which overlaps are counted
+GROUP = 1_000  # about so many partners meet one copy of their centre's fragment
 BITS = 512  # of a sketch
 SKETCH = [f"s{i}" for i in range(BITS // 64)]
 
 
-def band_starts(limit: int) -> list[int]:
-    """Smallest size of each band up to the one that holds ``limit``."""
-    starts = [1]
-    while starts[-1] <= limit:
-        starts.append(max(starts[-1] + 1, int(starts[-1] * BAND)))
-    return starts
-
-
-class Cuts:
-    """Number of fragments per band for a threshold of num / den."""
-
-    def __init__(self, num: int, den: int):
-        self.num, self.den, self.starts = num, den, band_starts(1 << 10)
-
-    def differing(self, size: int) -> int:
-        """Most shingles in which two sets can differ if the smaller has this size."""
-        return size * (self.den - self.num) // self.num
-
-    def of(self, size: int) -> list[tuple[int, int]]:
-        """(band, fragments) under which a set of this size is keyed."""
-        if size >= self.starts[-2]:
-            self.starts = band_starts(2 * size)
-        band = int(np.searchsorted(self.starts, size, side="right")) - 1
-        out = []
-        for b in (band, band - 1):
-            if b < 0:
-                continue
-            most = self.starts[b + 1] - 1
-            if (b == band or size * self.num <= most * self.den) and (d := self.differing(most)) > 0:
-                out.append((b, d + 1))
-        return out
+def bucket_of(shingles: np.ndarray) -> np.ndarray:
+    """Bucket of each shingle in the counts."""
+    return (shingles % U64(BUCKETS)).astype(np.int64)
 
 
 def fragment_of(shingles: np.ndarray, count: int) -> np.ndarray:
@@ -74,22 +47,11 @@ def fragment_of(shingles: np.ndarray, count: int) -> np.ndarray:
     return (((shingles >> U64(32)) * U64(count)) >> U64(32)).astype(np.int64)
 
 
-def fragment_keys(shingles: np.ndarray, cuts: Cuts) -> np.ndarray:
-    """Keys of one sorted set of distinct shingle hashes."""
-    out = []
-    for band, count in cuts.of(len(shingles)):
-        mixed = mix(shingles, 11)
-        total = np.concatenate((np.zeros(1, U64), np.cumsum(mixed, dtype=U64)))
-        edge = np.searchsorted(fragment_of(shingles, count), np.arange(count + 1))
-        sums = total[edge[1:]] - total[edge[:-1]]
-        salt = mix(np.arange(count, dtype=U64) + U64(band << 32), 12)
-        empty = edge[1:] == edge[:-1]
-        out.append(mix(sums + salt, 13)[~empty])
-        for j in np.flatnonzero(empty).tolist():
-            following = (j + 1) % count
-            left = sums[following] - mixed[edge[following] : edge[following + 1]]
-            out.append(mix(np.append(left, sums[following]) + salt[j], 14))
-    return np.unique(np.concatenate(out)) if out else np.empty(0, U64)
+def prefix_keys(shingles: np.ndarray, levels: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The first shingles, in the global order, of a sorted set of distinct ones."""
+    size = len(shingles)
+    count = size - -(-size * num // den) + 1
+    return shingles[np.argsort(levels[bucket_of(shingles)], kind="stable")[:count]] if size else shingles
 
 
 def set_signature(shingles: np.ndarray) -> tuple[int, int]:
@@ -124,9 +86,37 @@ def _profiles(width: int):
     return run
 
 
-def _keys(width: int, num: int, den: int):
+def _counts(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts, done = Cuts(num, den), set()
+        counts = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for _, texts in chunks(batch.column(0)):
+                for shingles in shingle_sets(texts, width):
+                    np.add.at(counts, bucket_of(shingles), 1)
+        if counts.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(PARTS)), pa.array([part.tobytes() for part in np.split(counts, PARTS)], pa.binary())],
+                ["part", "counts"])
+
+    return run
+
+
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (part, counts), a byte per bucket of each part that rises with the logarithm of the summed count."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            more = np.frombuffer(counts, np.int64)
+            sums[part] = sums[part] + more if part in sums else more
+    if sums:
+        levels = [(4 * np.log2(counts + 1)).astype(np.uint8).tobytes() for counts in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(levels, pa.binary())],
+                                         ["part", "levels"])
+
+
+def _keys(width: int, num: int, den: int, levels):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()
         for batch in batches:
             for _, texts in chunks(batch.column(0)):
                 keys, names = [], []
@@ -135,7 +125,7 @@ def _keys(width: int, num: int, den: int):
                     if name in done:  # a copy in the same task
                         continue
                     done.add(name)
-                    found = fragment_keys(shingles, cuts)
+                    found = prefix_keys(shingles, levels.value, num, den)
                     keys.append(found.view(np.int64))
                     names.append(np.full(len(found), name, np.int64))
                 if keys:
@@ -168,17 +158,14 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _slices(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = set()
         for batch in batches:
             for _, texts in chunks(batch.column(0)):
                 names, sizes, numbers, ends, values = [], [], [], [0], []
                 for shingles in shingle_sets(texts, width):
-                    name = set_signature(shingles)[0]
-                    if not len(shingles) or name in done:
+                    if not len(shingles):
                         continue
-                    done.add(name)
                     edge = np.searchsorted(fragment_of(shingles, SLICES), np.arange(SLICES + 1))
-                    names += [name] * SLICES
+                    names += [set_signature(shingles)[0]] * SLICES
                     sizes += [len(shingles)] * SLICES
                     numbers += range(SLICES)
                     ends += (ends[-1] + edge[1:]).tolist()
@@ -192,6 +179,32 @@ def _slices(width: int):
     return run
 
 
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (a, slice, salt, member, class, size, part) sorted by the first five, the overlaps with the centre.
+
+    The centre's fragment comes first and is all that is kept; its partners stream by. Rows that
+    repeat a class are skipped.
+    """
+    group, last, centre, size_a = None, None, np.empty(0, np.uint64), 0
+    for batch in batches:
+        columns = [batch.column(i).to_pylist() for i in range(6)]
+        part = batch.column(6)
+        ends, values = part.offsets.to_numpy(), part.values.to_numpy().view(np.uint64)
+        out = []
+        for row, (a, piece, salt, member, name, size) in enumerate(zip(*columns, strict=True)):
+            own = values[ends[row] : ends[row + 1]]
+            if not member:
+                group, last, centre, size_a = (a, piece, salt), name, own.copy(), size
+            elif group != (a, piece, salt):
+                raise RuntimeError("a fragment came without its centre")
+            elif name != last:
+                last = name
+                places = np.minimum(np.searchsorted(centre, own), max(len(centre) - 1, 0))
+                out.append((a, name, size_a, size, int((centre[places] == own).sum()) if len(centre) else 0))
+        found = list(zip(*out, strict=True)) if out else [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["a", "b", "size_a", "size_b", "common"])
+
+
 class NgramJoin:
     """The join of one frame of documents; ``docs`` has the columns named by ``id_column`` and ``text_column``."""
 
@@ -204,6 +217,15 @@ class NgramJoin:
             _profiles(width), f"doc_id {kind}, n_shingles bigint, class bigint" + "".join(
                 f", {name} bigint" for name in SKETCH)), "profiles")
 
+    def levels(self) -> np.ndarray:
+        """How common the shingles of each bucket are in all documents: a byte per bucket, at every corpus size."""
+        parts = (self.texts.mapInArrow(_counts(self.width), "part bigint, counts binary")
+                 .repartition("part").mapInArrow(_levels, "part bigint, levels binary"))
+        out = np.zeros(BUCKETS, np.uint8).reshape(PARTS, -1)
+        for row in parts.collect():  # PARTS rows, BUCKETS bytes in all
+            out[row["part"]] = np.frombuffer(row["levels"], np.uint8)
+        return out.ravel()
+
     def shared_keys(self) -> DataFrame:
         """(key, class) of the keys that at least two classes have.
 
@@ -211,7 +233,8 @@ class NgramJoin:
         classes share costs its task time but no memory.
         """
         schema = "key bigint, class bigint"
-        keys = self.texts.mapInArrow(_keys(self.width, self.num, self.den), schema)
+        levels = self.docs.sparkSession.sparkContext.broadcast(self.levels())
+        keys = self.texts.mapInArrow(_keys(self.width, self.num, self.den, levels), schema)
         return settle(keys.repartition("key").sortWithinPartitions("key", "class").mapInArrow(_met, schema), "keys")
 
     def sketched(self, rows: DataFrame, node: str, end: str) -> DataFrame:
@@ -229,29 +252,33 @@ class NgramJoin:
         return apart * (self.den + self.num) <= (F.col("n_shingles" + a) + F.col("n_shingles" + b)) * (self.den - self.num)
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of classes whose Jaccard reaches the threshold."""
+        """The pairs (a, b) of classes whose Jaccard reaches the threshold.
+
+        One document of each class is cut into fragments, which are shuffled once, to the centres
+        ``a`` of their pairs. A centre of many partners is repeated for every ``GROUP`` of them.
+        """
         pairs = settle(pairs, "pairs")
-        used = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-        used = sized(settle(used, "used"))
-        sets = (self.texts.mapInArrow(_slices(self.width), "class bigint, size bigint, slice bigint, part array<bigint>")
-                .join(used, "class", "left_semi")
-                .groupBy("class", "slice").agg(F.first("size").alias("size"), F.first("part").alias("part")))
-        sets = settle(sets, "sets")
-        numbers = F.explode(F.expr(f"sequence(0L, {SLICES - 1}L)")).alias("slice")
-        right = pairs.select("a", "b", numbers).join(
-            sets.select(F.col("class").alias("b"), "slice", F.col("size").alias("size_b"), F.col("part").alias("part_b")),
-            ["b", "slice"])
-        both = right.join(
-            sets.select(F.col("class").alias("a"), "slice", F.col("size").alias("size_a"), F.col("part").alias("part_a")),
-            ["a", "slice"])
-        partial = both.select("a", "b", "size_a", "size_b",
-                              F.size(F.array_intersect("part_a", "part_b")).cast("bigint").alias("common"))
+        groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("bigint").alias("salts"))
+        partners = many_to_one(pairs, groups, ["a"]).select(
+            "a", F.col("b").alias("class"), F.pmod(F.xxhash64("b"), "salts").alias("salt"))
+        centres = groups.select("a", F.col("a").alias("class"), F.explode(F.expr("sequence(0L, salts - 1)")).alias("salt"))
+        wanted = settle(partners.unionByName(centres), "wanted")
+        used = sized(settle(wanted.select("class").distinct(), "used"))
+        holders = self.profiles.join(used, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("holder"))
+        holders = sized(settle(holders.select("holder").distinct(), "holders"))
+        texts = self.docs.join(holders, self.docs.doc_id.eqNullSafe(holders.holder), "left_semi").select("text")
+        sets = texts.mapInArrow(_slices(self.width), "class bigint, size bigint, slice bigint, part array<bigint>")
+        order = ["a", "slice", "salt", "member", "class"]
+        routed = sets.join(sized(wanted), "class").withColumn("member", F.col("class") != F.col("a")).select(
+            *order, "size", "part")
+        partial = routed.repartition("a", "slice", "salt").sortWithinPartitions(*order).mapInArrow(
+            _overlaps, "a bigint, b bigint, size_a bigint, size_b bigint, common bigint")
         summed = partial.groupBy("a", "b").agg(
             F.sum("common").alias("common"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
         good = settle(summed.filter(
             F.col("common") * self.den >= (F.col("size_a") + F.col("size_b") - F.col("common")) * self.num
         ).select("a", "b", "common"), "linked")
-        release(sets, pairs)
+        release(wanted, pairs)
         return good
 
     def links(self) -> DataFrame:
