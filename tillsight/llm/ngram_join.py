@@ -8,11 +8,11 @@ many documents share stand at the end of the order and bring nobody together.
 
 Every set also has a sketch of ``BITS`` parities: each shingle flips the bit it hashes to. Two
 sketches differ in at most as many bits as the sets in shingles, so that pairs too different are
-left out at the join, without loss. Met pairs are verified exactly: the sets are cut into fragments,
+left out at the join, without loss. Larger sets have a second sketch that grows with them. Met pairs are verified exactly: the sets are cut into fragments,
 overlaps are counted per pair and fragment, and summed per pair. Equal sets are one class, of which
-only one takes part. Under a key, every class is first paired with the smallest one only. What these
-links connect needs no further pair; only classes of different components under one key are paired
-in later rounds.
+only one takes part. Under a key, every class first meets the smallest one only, and is verified
+with the one it meets most often. What these links connect needs no further pair; only classes of
+different components under one key are paired in the second round, which loses none.
 """
 
 from __future__ import annotations
@@ -68,20 +68,52 @@ def parity_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(places, minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(shingles: np.ndarray) -> bytes | None:
+    """As many parities as the set has shingles, rounded up to a power of two; None where BITS are as many."""
+    if len(shingles) <= BITS:
+        return None
+    bits = 1 << (len(shingles) - 1).bit_length()
+    places = (mix(shingles, 42) & U64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def sketches_apart(one: bytes, other: bytes) -> int:
+    """Bits in which two wide sketches differ, the longer one folded to the length of the shorter."""
+    x, y = sorted((np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _sieve(num: int, den: int):
+    """Of rows (a, b, both sizes, both wide sketches), the pairs that the sketches leave possible."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, size_a, size_b = (batch.column(i).to_numpy() for i in range(4))
+            most = (size_a + size_b) * (den - num)
+            stay = [sketches_apart(one.as_py(), other.as_py()) * (den + num) <= limit
+                    for one, other, limit in zip(batch.column(4), batch.column(5), most.tolist(), strict=True)]
+            keep = np.array(stay, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
+
+    return run
+
+
 def _profiles(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, names, sketches = [], [], []
+            sizes, names, sketches, wide = [], [], [], []
             for _, texts in chunks(batch.column(1)):
                 for shingles in shingle_sets(texts, width):
                     sizes.append(len(shingles))
                     names.append(set_signature(shingles)[0])
                     sketches.append(parity_sketch(shingles))
+                    wide.append(wide_sketch(shingles))
             bits = np.array(sketches, np.int64).reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
-                 *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(SKETCH))]],
-                ["doc_id", "n_shingles", "class", *SKETCH])
+                 *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(SKETCH))], pa.array(wide, pa.binary())],
+                ["doc_id", "n_shingles", "class", *SKETCH, "wide"])
 
     return run
 
@@ -215,7 +247,7 @@ class NgramJoin:
         kind = dict(self.docs.dtypes)["doc_id"]
         self.profiles = settle(self.docs.mapInArrow(
             _profiles(width), f"doc_id {kind}, n_shingles bigint, class bigint" + "".join(
-                f", {name} bigint" for name in SKETCH)), "profiles")
+                f", {name} bigint" for name in SKETCH) + ", wide binary"), "profiles")
 
     def levels(self) -> np.ndarray:
         """How common the shingles of each bucket are in all documents: a byte per bucket, at every corpus size."""
@@ -245,11 +277,31 @@ class NgramJoin:
         return many_to_one(rows, own.withColumnRenamed("class", node), [node])
 
     def able(self, a: str, b: str):
-        """Whether two classes may reach the threshold, going by their sketches."""
+        """Whether two classes may reach the threshold, going by their sizes and short sketches."""
         apart = sum((F.bit_count(F.col(c + a).bitwiseXOR(F.col(c + b))) for c in SKETCH[1:]),
                     F.bit_count(F.col(SKETCH[0] + a).bitwiseXOR(F.col(SKETCH[0] + b))))
+        size_a, size_b = F.col("n_shingles" + a), F.col("n_shingles" + b)
+        near_size = F.least(size_a, size_b) * self.den >= F.greatest(size_a, size_b) * self.num
         # J >= num/den is (den - num) * (sizes together) >= (den + num) * shingles in one set only
-        return apart * (self.den + self.num) <= (F.col("n_shingles" + a) + F.col("n_shingles" + b)) * (self.den - self.num)
+        return near_size & (apart * (self.den + self.num) <= (size_a + size_b) * (self.den - self.num))
+
+    def sieved(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that the wide sketches leave possible; 1/32 of a set at most travels for each."""
+        pairs = settle(pairs.select("a", "b", "n_shingles_a", "n_shingles_b"), "met")
+        # Sets of at most BITS shingles have been compared by as many parities before.
+        large = F.least("n_shingles_a", "n_shingles_b") > BITS
+        long_pairs = pairs.filter(large)
+        used = sized(settle(long_pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "used"))
+        wide = settle(self.profiles.join(used, "class", "left_semi").groupBy("class").agg(F.first("wide").alias("wide")),
+                      "wide")
+        both = many_to_one(
+            many_to_one(long_pairs, wide.withColumnsRenamed({"class": "a", "wide": "wide_a"}), ["a"]),
+            wide.withColumnsRenamed({"class": "b", "wide": "wide_b"}), ["b"])
+        kept = both.select("a", "b", "n_shingles_a", "n_shingles_b", "wide_a", "wide_b").mapInArrow(
+            _sieve(self.num, self.den), "a bigint, b bigint")
+        out = settle(pairs.filter(~large).select("a", "b").unionByName(kept), "sieved")
+        release(pairs, wide)
+        return out
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes whose Jaccard reaches the threshold.
@@ -281,32 +333,47 @@ class NgramJoin:
         release(wanted, pairs)
         return good
 
+    def enough(self):
+        """Whether two sets may reach the threshold, going by their sizes and the prefix shingles they share.
+
+        Beyond the prefix that ends first, at most what its set has left can be common.
+        """
+        a, b = F.col("n_shingles_a"), F.col("n_shingles_b")
+        left = F.ceil(F.greatest(a, b) * self.num / self.den) - 1
+        return (F.col("keys") + left) * (self.den + self.num) >= (a + b) * self.num
+
     def links(self) -> DataFrame:
         """Verified links between classes; their components are those of all links."""
         shared = self.shared_keys()
         centre = shared.groupBy("key").agg(F.min("class").alias("a"))
-        met = settle(many_to_one(shared, centre, ["key"]).select("a", F.col("class").alias("b")).filter("a < b").distinct(),
-                     "met")
-        stars = settle(self.sketched(self.sketched(met, "a", "_a"), "b", "_b").filter(self.able("_a", "_b")).select("a", "b"),
-                       "stars")
-        first = self.verified(stars)
+        met = settle(many_to_one(shared, centre, ["key"]).select("a", F.col("class").alias("b")).filter("a < b")
+                     .groupBy("a", "b").agg(F.count("*").alias("keys")), "met")
+        near = self.sketched(self.sketched(met, "a", "_a"), "b", "_b").filter(self.able("_a", "_b"))
+        # The possible centre that most of its keys lead to; all others stay for the second round.
+        stars = settle(self.sieved(near).join(met, ["a", "b"]).groupBy("b").agg(
+            F.max_by("a", F.struct("keys", "a")).alias("a")).select("a", "b"), "stars")
         release(met)
+        first = self.verified(stars)
         labels = components(first)
         placed = many_to_one(shared.withColumnRenamed("class", "node"), labels, ["node"], "left").select(
             "key", "node", F.coalesce("label", "node").alias("label"))
         placed = settle(placed, "placed")
+        release(shared)
         open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(
             "low < high").select("key")
         rest = settle(many_to_one(placed, open_keys, ["key"], "left_semi"), "open")
+        release(placed)
         # Under an open key, a component's classes meet those of other components only.
         sketched = settle(self.sketched(rest, "node", "_a"), "sketched")
+        release(rest)
         other = sketched.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"),
                             *[F.col(c + "_a").alias(c + "_b") for c in ("n_shingles", *SKETCH)]).withColumnRenamed("key", "key_b")
         meet = (F.col("key") == F.col("key_b")) & (F.col("label") != F.col("label_b")) & (F.col("node") < F.col("b"))
-        pairs = sketched.join(other, meet & self.able("_a", "_b")).select(
-            F.col("node").alias("a"), "b").distinct().join(stars, ["a", "b"], "left_anti")
+        pairs = sketched.join(other, meet & self.able("_a", "_b")).groupBy(F.col("node").alias("a"), "b").agg(
+            F.count("*").alias("keys"), *[F.first(c).alias(c) for c in ("n_shingles_a", "n_shingles_b")])
+        pairs = self.sieved(pairs.filter(self.enough()).join(stars, ["a", "b"], "left_anti"))
         links = first.unionByName(self.verified(pairs))
-        release(shared, stars, placed, rest, sketched)
+        release(stars, sketched)
         return links
 
 
