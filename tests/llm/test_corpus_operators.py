@@ -17,7 +17,7 @@ from tillsight.llm.hashing import Texts, chunks
 from tillsight.llm.html_extract import extract, main_text
 from tillsight.llm.line_runs import LineRuns, drop_frequent_lines
 from tillsight.llm.mixing import mix
-from tillsight.llm.ngram_join import _met, keep_one, near_duplicates
+from tillsight.llm.ngram_join import _met, keep_one, near_duplicates, sketches_apart, wide_sketch
 from tillsight.llm.quality import kth_largest, select_quality
 from tillsight.llm.topk_search import top_k
 from tillsight.llm.toxicity import fit_toxicity
@@ -131,6 +131,30 @@ def test_near_copies_keep_one(docs):
     assert {1, 2, 3, 40, 10} <= set(kept) and not {30, 31, 14} & set(kept)
 
 
+def test_ngram_join_of_long_texts(spark):
+    rng = np.random.default_rng(5)
+    rows, base = [], [f"v{i}" for i in rng.integers(0, 5000, 1600)]
+    for member, (size, edits) in enumerate([(1600, 0), (1600, 20), (1600, 45), (1600, 60), (1450, 5), (1500, 30), (1200, 0)]):
+        text = base[:size]
+        for at in rng.choice(size, edits, replace=False):
+            text[at] = f"e{member}x{at}"
+        rows.append((member, " ".join(text)))
+    rows.append((90, " ".join(f"z{i}" for i in range(3000))))
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(tuple(r)[:3] for r in found) == sorted(expected_components(rows, 3, 9, 10))
+
+
+def test_wide_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(6)
+    for size, other in ((600, 600), (900, 1030), (513, 2100)):
+        one = rng.integers(0, 1 << 63, size).astype(np.uint64)
+        two = np.concatenate((one[: size // 2], rng.integers(0, 1 << 63, other - size // 2).astype(np.uint64)))
+        apart = sketches_apart(wide_sketch(one), wide_sketch(two))
+        assert apart == sketches_apart(wide_sketch(two), wide_sketch(one)) <= size + other - 2 * (size // 2)
+        assert sketches_apart(wide_sketch(one), wide_sketch(one)) == 0 < apart
+    assert wide_sketch(one[:512]) is None
+
+
 def test_keys_met_across_batches():
     rows = [(1, 1), (1, 1), (2, 5), (2, 6), (2, 6), (3, 1), (4, 1), (4, 2)]
     for cut in range(len(rows) + 1):

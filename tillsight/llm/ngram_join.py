@@ -151,7 +151,7 @@ def _keys(width: int, num: int, den: int, levels):
         done = set()
         for batch in batches:
             for _, texts in chunks(batch.column(0)):
-                keys, names = [], []
+                keys, names, sizes = [], [], []
                 for shingles in shingle_sets(texts, width):
                     name = set_signature(shingles)[0]
                     if name in done:  # a copy in the same task
@@ -160,32 +160,39 @@ def _keys(width: int, num: int, den: int, levels):
                     found = prefix_keys(shingles, levels.value, num, den)
                     keys.append(found.view(np.int64))
                     names.append(np.full(len(found), name, np.int64))
+                    sizes.append(np.full(len(found), len(shingles), np.int32))
                 if keys:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(keys)), pa.array(np.concatenate(names))], ["key", "class"])
+                        [pa.array(np.concatenate(c)) for c in (keys, names, sizes)], ["key", "class", "n_shingles"])
 
     return run
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (key, class) sorted by both, the distinct ones whose key has at least two classes."""
-    last_key, last_class, given = np.empty(0, np.int64), np.empty(0, np.int64), False
+    """Of rows (key, class, ...) sorted by both, the distinct ones whose key has at least two classes.
+
+    Further columns belong to the class and stay with it.
+    """
+    last, given = None, False
     for batch in batches:
-        keys = np.concatenate((last_key, batch.column(0).to_numpy()))
-        names = np.concatenate((last_class, batch.column(1).to_numpy()))
+        columns = [c.to_numpy() for c in batch.columns]
+        if last is not None:
+            columns = [np.concatenate(pair) for pair in zip(last, columns, strict=True)]
+        keys, names = columns[:2]
         fresh = np.ones(len(keys), bool)
         fresh[1:] = (keys[1:] != keys[:-1]) | (names[1:] != names[:-1])
-        keys, names = keys[fresh], names[fresh]
+        columns = [c[fresh] for c in columns]
+        keys = columns[0]
         if not len(keys):
             continue
         same = keys[1:] == keys[:-1]
         several = np.append(same, False) | np.insert(same, 0, False)
-        last = bool(several[-1])
+        sent = bool(several[-1])
         if given:  # the row carried over has gone out already, its key is a shared one
-            last = last or len(keys) == 1
+            sent = sent or len(keys) == 1
             several[0] = False
-        yield pa.RecordBatch.from_arrays([pa.array(keys[several]), pa.array(names[several])], ["key", "class"])
-        last_key, last_class, given = keys[-1:], names[-1:], last
+        yield pa.RecordBatch.from_arrays([pa.array(c[several]) for c in columns], batch.schema.names)
+        last, given = [c[-1:] for c in columns], sent
 
 
 def _slices(width: int):
@@ -259,31 +266,35 @@ class NgramJoin:
         return out.ravel()
 
     def shared_keys(self) -> DataFrame:
-        """(key, class) of the keys that at least two classes have.
+        """(key, class, n_shingles) of the keys that at least two classes have.
 
-        One shuffle of 16-byte rows, sorted by key, which may spill, and streamed: a key that many
+        One shuffle of 20-byte rows, sorted by key, which may spill, and streamed: a key that many
         classes share costs its task time but no memory.
         """
-        schema = "key bigint, class bigint"
+        schema = "key bigint, class bigint, n_shingles int"
         levels = self.docs.sparkSession.sparkContext.broadcast(self.levels())
         keys = self.texts.mapInArrow(_keys(self.width, self.num, self.den, levels), schema)
         return settle(keys.repartition("key").sortWithinPartitions("key", "class").mapInArrow(_met, schema), "keys")
 
     def sketched(self, rows: DataFrame, node: str, end: str) -> DataFrame:
-        """Rows with the size and sketch of the class in column ``node``, their names ending in ``end``."""
+        """Rows with the sketch of the class in column ``node``, their names ending in ``end``."""
         used = sized(settle(rows.select(F.col(node).alias("class")).distinct(), "used"))
         own = self.profiles.join(used, "class", "left_semi").groupBy("class").agg(
-            *[F.first(c).alias(c + end) for c in ("n_shingles", *SKETCH)])
+            *[F.first(c).alias(c + end) for c in SKETCH])
         return many_to_one(rows, own.withColumnRenamed("class", node), [node])
 
     def able(self, a: str, b: str):
         """Whether two classes may reach the threshold, going by their sizes and short sketches."""
         apart = sum((F.bit_count(F.col(c + a).bitwiseXOR(F.col(c + b))) for c in SKETCH[1:]),
                     F.bit_count(F.col(SKETCH[0] + a).bitwiseXOR(F.col(SKETCH[0] + b))))
-        size_a, size_b = F.col("n_shingles" + a), F.col("n_shingles" + b)
-        near_size = F.least(size_a, size_b) * self.den >= F.greatest(size_a, size_b) * self.num
+        sizes = F.col("n_shingles" + a) + F.col("n_shingles" + b)
         # J >= num/den is (den - num) * (sizes together) >= (den + num) * shingles in one set only
-        return near_size & (apart * (self.den + self.num) <= (size_a + size_b) * (self.den - self.num))
+        return self.near_size(a, b) & (apart * (self.den + self.num) <= sizes * (self.den - self.num))
+
+    def near_size(self, a: str, b: str):
+        """Whether two classes may reach the threshold, going by their sizes."""
+        size_a, size_b = F.col("n_shingles" + a), F.col("n_shingles" + b)
+        return F.least(size_a, size_b) * self.den >= F.greatest(size_a, size_b) * self.num
 
     def sieved(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that the wide sketches leave possible; 1/32 of a set at most travels for each."""
@@ -344,21 +355,26 @@ class NgramJoin:
 
     def links(self) -> DataFrame:
         """Verified links between classes; their components are those of all links."""
-        shared = self.shared_keys()
-        centre = shared.groupBy("key").agg(F.min("class").alias("a"))
-        met = settle(many_to_one(shared, centre, ["key"]).select("a", F.col("class").alias("b")).filter("a < b")
-                     .groupBy("a", "b").agg(F.count("*").alias("keys")), "met")
+        keys = self.shared_keys()
+        shared = keys.withColumn("n_shingles", F.col("n_shingles").cast("bigint"))
+        centre = shared.groupBy("key").agg(F.min(F.struct("class", "n_shingles")).alias("low")).select(
+            "key", F.col("low.class").alias("a"), F.col("low.n_shingles").alias("n_shingles_a"))
+        met = many_to_one(shared.withColumnsRenamed({"class": "b", "n_shingles": "n_shingles_b"}), centre, ["key"])
+        met = met.filter("a < b").filter(self.near_size("_a", "_b")).groupBy("a", "b").agg(
+            F.count("*").alias("keys"), *[F.first(c).alias(c) for c in ("n_shingles_a", "n_shingles_b")])
+        # A pair that meets under too few of its keys, as it has other centres too, is left to the second round.
+        met = settle(met.filter(self.enough()), "met")
         near = self.sketched(self.sketched(met, "a", "_a"), "b", "_b").filter(self.able("_a", "_b"))
         # The possible centre that most of its keys lead to; all others stay for the second round.
-        stars = settle(self.sieved(near).join(met, ["a", "b"]).groupBy("b").agg(
+        stars = settle(self.sieved(near).join(met.select("a", "b", "keys"), ["a", "b"]).groupBy("b").agg(
             F.max_by("a", F.struct("keys", "a")).alias("a")).select("a", "b"), "stars")
         release(met)
         first = self.verified(stars)
         labels = components(first)
         placed = many_to_one(shared.withColumnRenamed("class", "node"), labels, ["node"], "left").select(
-            "key", "node", F.coalesce("label", "node").alias("label"))
+            "key", "node", F.col("n_shingles").alias("n_shingles_a"), F.coalesce("label", "node").alias("label"))
         placed = settle(placed, "placed")
-        release(shared)
+        release(keys)
         open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(
             "low < high").select("key")
         rest = settle(many_to_one(placed, open_keys, ["key"], "left_semi"), "open")
