@@ -362,8 +362,7 @@ class NgramJoin:
         met = many_to_one(shared.withColumnsRenamed({"class": "b", "n_shingles": "n_shingles_b"}), centre, ["key"])
         met = met.filter("a < b").filter(self.near_size("_a", "_b")).groupBy("a", "b").agg(
             F.count("*").alias("keys"), *[F.first(c).alias(c) for c in ("n_shingles_a", "n_shingles_b")])
-        # A pair that meets under too few of its keys, as it has other centres too, is left to the second round.
-        met = settle(met.filter(self.enough()), "met")
+        met = settle(met, "met")
         near = self.sketched(self.sketched(met, "a", "_a"), "b", "_b").filter(self.able("_a", "_b"))
         # The possible centre that most of its keys lead to; all others stay for the second round.
         stars = settle(self.sieved(near).join(met.select("a", "b", "keys"), ["a", "b"]).groupBy("b").agg(
