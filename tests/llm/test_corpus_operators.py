@@ -250,6 +250,30 @@ def test_html_extraction():
     assert main_text(None) == main_text("") == main_text("<p></p>") == main_text("<script>a</script>") == ""
 
 
+def test_html_cores_choose_the_regions():
+    long = ("words of the text " * 20).strip()
+    links = "<div><a href=/a>one</a><a href=/b>two</a><a href=/c>three</a></div>" * 4
+    body = f"<p>{long}</p><p>Short.</p><p>{long}</p>"
+    want = f"{long}\nShort.\n{long}"
+    teaser = "<article><a href=/n>Next</a> <a href=/m>More</a></article>"
+    # of several articles, those with a core
+    assert main_text(f"<body><article>{body}</article>{links}{teaser}") == want
+    assert main_text(f"<body><article>{body}</article>{links}<article>{body}</article>{links}{teaser}") == f"{want}\n{want}"
+    # an article element that holds only links does not hide the text beside it
+    assert main_text(f"<body>{teaser}{links}<div>{body}</div>") == want
+    # a core outside stays beside the article's
+    assert main_text(f"<body><article>{body}</article>{links}<div>{body}</div>") == f"{want}\n{want}"
+    # the smallest of nested ones
+    assert main_text(f"<body><main>{links}<article>{body}</article>{links}</main>") == want
+    # without an article, a block without a core counts to the container around it
+    quote = "<blockquote><b>So</b> <i>it</i> <b>is</b></blockquote>"
+    pad = "<p><a>x</a> <a>y</a> <a>z</a></p>" * 6
+    found = main_text(f"<body><div>{body}{pad}{quote}{pad}{body}</div>{links}")
+    assert found.startswith(want) and found.endswith(want) and "So it is" in found and "one" not in found
+    found = main_text(f"<body>{body}{pad}{quote}{pad}{body}{links}")
+    assert found.endswith(want) and "So it is" in found and "onetwothree" not in found.split("\n")[-3:]
+
+
 def test_html_of_the_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
 

@@ -3,9 +3,12 @@
 The standard library's parser sends its events to a collector that cuts the page into block lines,
 each with its text, its number of tags and the containers it stands in. A line's text-to-tag ratio
 is smoothed over its neighbours with a Gaussian; the smoothed ratios are split into two clusters,
-and the lines of the upper one are the cores of content regions. A region is the smallest article
-or main element around a core or, on a page without, the innermost block container; all its lines
-count, so that short paragraphs between long ones stay. Scripts, styles, forms, menus, headers,
+and the lines of the upper one are the cores of content regions, unless they are lifted there by their
+neighbours alone. A region is the smallest article
+or main element around a core or, outside of these, the innermost block container; all its lines
+count, so that short paragraphs between long ones stay. A nested block without a core of its own
+counts to the nearest container around it that has one, but the page's body takes in quotes and
+table cells only. An article or main element without a core of its own does not count. Scripts, styles, forms, menus, headers,
 footers, sidebars and elements named as adverts, notices, comments and the like never count.
 """
 
@@ -67,6 +70,9 @@ class Lines(HTMLParser):
         self.lines: list[tuple[str, int, int]] = []  # text, tags, region
         self.regions = 0
         self.rooted: set[int] = set()
+        self.around = [0]  # by region, the one it stands in
+        self.whole = {0}  # regions that are the page's body
+        self.inset: set[int] = set()  # regions that are parts of a text
         self.parts: list[str] = []
         self.tags = 0
 
@@ -98,14 +104,30 @@ class Lines(HTMLParser):
         out = out or tag in RAW or tag in OUTSIDE or (tag == "header" and not rooted) or (
             tag not in ("html", "body") and tag not in ROOT and named_other(attributes))
         if tag in ROOT and not out:
-            self.regions += 1
-            region = self.regions
+            region = self.open_region(region)
             self.rooted.add(region)
         elif tag in ("body", "div", "section", "td", "blockquote") and not rooted:
-            self.regions += 1
-            region = self.regions
+            region = self.open_region(region)
+            if tag == "body":
+                self.whole.add(region)
+            elif tag in ("td", "blockquote"):
+                self.inset.add(region)
         self.stack.append((tag, region, out))
 
+    def open_region(self, around: int) -> int:
+        self.regions += 1
+        self.around.append(around)
+        return self.regions
+
+    def counts(self, region: int, cores: set[int]) -> bool:
+        """Whether a region has a core, or is a nested block of one that has."""
+        while region not in cores:
+            outer = self.around[region]
+            if region in self.rooted or region in self.whole or outer in self.whole and region not in self.inset:
+                return False
+            region = outer
+        return True
+
     def close_open(self, tag: str, barrier: frozenset) -> None:
         """Close an element whose end tag may be left out, unless a barrier element stands between."""
         for n in range(len(self.stack) - 1, -1, -1):
@@ -146,6 +168,8 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 def upper_cluster(values: np.ndarray) -> np.ndarray:
     """Which values lie in the upper of two clusters, by moving the threshold between the two means."""
+    if np.ptp(values) < 1e-9:
+        return np.ones(len(values), bool)
     threshold = values.mean()
     for _ in range(50):
         upper = values >= threshold
@@ -169,11 +193,11 @@ def main_text(html: str | None) -> str:
     if not parser.lines:
         return ""
     ratios = np.array([len(text) / max(1, tags) for text, tags, _ in parser.lines], float)
-    core = upper_cluster(smoothed(ratios))
-    chosen = {region for (_, _, region), kept in zip(parser.lines, core, strict=True) if kept}
-    if parser.rooted & {region for _, _, region in parser.lines}:
-        chosen = parser.rooted  # the page says itself where its article is
-    return "\n".join(text for text, _, region in parser.lines if region in chosen)
+    smooth = smoothed(ratios)
+    core = upper_cluster(smooth)
+    core &= ratios >= smooth[core].min() - 1e-9
+    cores = {region for (_, _, region), kept in zip(parser.lines, core, strict=True) if kept}
+    return "\n".join(text for text, _, region in parser.lines if parser.counts(region, cores))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
