@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+import __spark_entry__ as entry
 from conftest import values
 from pyspark.sql import functions as F
 
@@ -113,6 +114,21 @@ def test_grids():
     assert sizes == {"svm": 12, "logistic_regression": 36, "boosted_trees": 24, "naive_bayes": 1}
 
 
+@pytest.mark.parametrize("name", ["m8_linear_svm", "m10_logistic_regression", "m11_boosted_trees", "m15_score_churn",
+                                  "c8_churn_fit_score"])
+def test_registered_queries_search_the_full_grid(spark, monkeypatch, name):
+    class Asked(Exception):
+        pass
+
+    def ask(train, method, grid=None, folds=5, parallelism=4):
+        raise Asked(grid, folds)
+
+    monkeypatch.setattr(C, "fit_classifier", ask)
+    with pytest.raises(Asked) as asked:
+        entry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert asked.value.args == (None, 5)
+
+
 def test_auc_of_ties_and_of_no_information(spark):
     df = spark.createDataFrame([(0.0, 0), (1.0, 1), (1.0, 0), (2.0, 1)], "score double, labels int")
     assert M.auc(df, "score") == pytest.approx(0.875)
