@@ -131,6 +131,19 @@ def test_near_copies_keep_one(docs):
     assert {1, 2, 3, 40, 10} <= set(kept) and not {30, 31, 14} & set(kept)
 
 
+def test_near_copies_keep_one_row_of_a_repeated_id(spark):
+    a, b, c, d = (prose(50 + i, 40) for i in range(4))
+    rows = [doc(1, a), doc(1, a), doc(1, a.upper()), doc(1, a + " tail"), doc(2, a),  # one of the first component
+            doc(3, b), doc(1, b),  # smallest id 1: the repeated id is kept here too, once
+            doc(4, c), doc(5, c + " tail"), doc(5, c), doc(5, d), doc(6, d), doc(5, ""), doc(4, None),
+            doc(None, a), doc(None, "all alone"), doc(None, "all alone"), doc(None, "quite alone"), doc(None, "")]
+    kept = sorted(((r.doc_id, r.text) for r in keep_one(spark.createDataFrame(rows, DOCS)).collect()), key=repr)
+    first = [t for i, t in kept if i == 1 and t != b]
+    assert len(first) == 1 and first[0] in (a, a.upper(), a + " tail")
+    assert [r for r in kept if r[1] not in first] == sorted(
+        [(1, b), (4, c), (5, d), (5, ""), (4, None), (None, "all alone"), (None, "quite alone"), (None, "")], key=repr)
+
+
 def test_ngram_join_of_long_texts(spark):
     rng = np.random.default_rng(5)
     rows, base = [], [f"v{i}" for i in rng.integers(0, 5000, 1600)]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.base import release, settle, sized
+from tillsight.llm.base import release, scratch, settle, sized
 from tillsight.llm.components import components
 from tillsight.llm.hashing import U64, chunks, mix, shingle_sets
 from tillsight.operators.matching import many_to_one
@@ -118,6 +118,17 @@ def _profiles(width: int):
     return run
 
 
+def _classes(width: int):
+    """The class of each row's text, the first column, in its place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [set_signature(shingles)[0] for _, texts in chunks(batch.column(0))
+                     for shingles in shingle_sets(texts, width)]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), *batch.columns[1:]], batch.schema.names)
+
+    return run
+
+
 def _counts(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
@@ -406,6 +417,12 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
     with its text; a component of null ids has a null id. Rows, columns beside the two named and
     column names of the input have no influence; one row comes back per input row.
     """
+    out = labelled_rows(docs, width, num, den, id_column, text_column)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("class").alias("class_id"))
+
+
+def labelled_rows(docs: DataFrame, width: int, num: int, den: int, id_column: str, text_column: str) -> DataFrame:
+    """doc_id, n_shingles, class, label and component_id of every row; the label names the component itself."""
     join = NgramJoin(docs, width, num, den, id_column, text_column)
     labels = components(join.links())
     profiles = join.profiles
@@ -414,20 +431,39 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
     labelled = settle(labelled, "labelled")
     lowest = labelled.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     out = many_to_one(labelled, lowest, ["label"], "left")
-    return out.select("doc_id", "n_shingles",
+    return out.select("doc_id", "n_shingles", "class", "label",
                       F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-                      .alias("component_id"), F.col("class").alias("class_id"))
+                      .alias("component_id"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, id_column: str = "doc_id",
              text_column: str = "text") -> DataFrame:
     """The documents without near copies: of each component the row of the smallest doc_id stays.
 
-    Of rows that repeat that doc_id, one stays. Documents without words stay.
+    Of rows that repeat that doc_id in the component, one stays, of equal sets the one whose text comes
+    first; a row of another component does not stay for its id. Documents without words stay. Only
+    the rows of repeated ids are read by class, the others by id.
     """
-    found = near_duplicates(docs, width, num, den, id_column, text_column)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias(id_column)).distinct()
-    kept = sized(settle(kept, "kept"))
+    found = settle(labelled_rows(docs, width, num, den, id_column, text_column), "found")
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    repeated = settle(found.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1").select(
+        F.col("doc_id").alias("repeated")), "repeated")
+    some = not repeated.isEmpty()
+    repeated = sized(repeated)
+    if some:
+        is_repeated = F.col("doc_id").eqNullSafe(F.col("repeated"))
+        winners = kept.filter("n_shingles > 0").join(repeated, is_repeated, "left_semi").groupBy("label").agg(
+            F.min(F.struct("class", "doc_id")).alias("row"))
+        winners = sized(settle(winners.select(F.col("row.doc_id").alias("winner"), F.col("row.class").alias("of")), "winners"))
+        kept = kept.join(repeated, is_repeated, "left_anti")
+    kept = sized(settle(kept.select(F.col("doc_id").alias(id_column)), "kept"))
     slim = docs.join(kept, docs[id_column].eqNullSafe(kept[id_column]), "left_semi")
-    return slim
+    if not some:
+        return slim
+    name = scratch("class")
+    fields = "".join(f", `{n}` {t}" for n, t in docs.dtypes)
+    again = docs.join(repeated, docs[id_column].eqNullSafe(F.col("repeated")), "left_semi").select(
+        F.col(text_column).alias(name), *docs.columns).mapInArrow(_classes(width), f"`{name}` bigint{fields}")
+    one = again.join(winners, F.col(id_column).eqNullSafe(F.col("winner")) & (F.col(name) == F.col("of")), "left_semi")
+    one = one.groupBy(id_column, name).agg(F.min_by(F.struct(*docs.columns), F.col(text_column)).alias("row"))
+    return slim.unionByName(again.filter(F.col(name) == 0).select(*docs.columns)).unionByName(one.select("row.*"))
