@@ -414,7 +414,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 9, den: int = 10
 
     Null, empty and blank texts have an empty set, are linked with nothing and are their own
     component. Repeated rows and equal texts share a class and a component. A null doc_id takes part
-    with its text; a component of null ids has a null id. Rows, columns beside the two named and
+    with its text; a component of null ids has a null id. Only as many links are verified as connect the
+    components; links inside a component so found are neither verified nor counted. Rows, columns beside the two named and
     column names of the input have no influence; one row comes back per input row.
     """
     out = labelled_rows(docs, width, num, den, id_column, text_column)
