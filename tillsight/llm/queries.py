@@ -15,9 +15,11 @@ from tillsight.llm.line_runs import drop_frequent_lines
 from tillsight.llm.mixing import mix
 from tillsight.llm.ngram_join import near_duplicates
 from tillsight.llm.quality import select_quality
+from tillsight.llm.token_files import read_tokens, write_tokens
 from tillsight.llm.topk_search import top_k
 from tillsight.llm.toxicity import HELD_OUT, fit_toxicity
 from tillsight.llm.url_rules import judge
+from tillsight.session import new_path
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -83,6 +85,15 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = new_path(spark, "tokens")
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,7 +103,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_html_extract, op3_ngram_join, op4_line_dedup, op5_mix_sources, op6_toxicity,
-        op7_chat_format, op8_quality, op9_topk_search, op10_url_filter, pipeline)
+        op7_chat_format, op8_quality, op9_topk_search, op10_url_filter, op11_token_files, pipeline)
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
