@@ -12,9 +12,11 @@ from tillsight.llm.base import table
 from tillsight.llm.decontaminate import leaks
 from tillsight.llm.html_extract import extract
 from tillsight.llm.line_runs import drop_frequent_lines
+from tillsight.llm.merkle import manifest
 from tillsight.llm.mixing import mix
 from tillsight.llm.ngram_join import near_duplicates
 from tillsight.llm.quality import select_quality
+from tillsight.llm.ranked_search import ranked_search
 from tillsight.llm.token_files import read_tokens, write_tokens
 from tillsight.llm.topk_search import top_k
 from tillsight.llm.toxicity import HELD_OUT, fit_toxicity
@@ -94,6 +96,17 @@ def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return manifest(docs, shown={"text": tampered})
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark"), k=10)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,11 +116,19 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_html_extract, op3_ngram_join, op4_line_dedup, op5_mix_sources, op6_toxicity,
-        op7_chat_format, op8_quality, op9_topk_search, op10_url_filter, op11_token_files, pipeline)
+        op7_chat_format, op8_quality, op9_topk_search, op10_url_filter, op11_token_files,
+        op12_merkle_manifest, op13_ranked_search, pipeline)
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+def _encoded(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR) || ':' || {column} END"
+
+
+_FIELDS = " || ".join(_encoded(c) for c in ("doc_id", "source", "lang", "n_chars"))
 
 ORACLE: dict[str, str] = {
     "op3_ngram_join": rf"""
@@ -210,4 +231,70 @@ m AS (
   QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, rule_host) = 1)
 SELECT k.page_id, k.host, k.path, m.rule, coalesce(m.judged, 'allow') AS verdict
 FROM k LEFT JOIN m ON m.page_id = k.page_id""",
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+d AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 2 = 0 AS even FROM documents, crc),
+h AS (
+  SELECT doc_id, coalesce('=' || source, '') AS grp, sha256({_FIELDS} || {_encoded("text")}) AS leaf,
+    CASE WHEN even THEN sha256({_FIELDS} || {_encoded("replace(text, chr(10), '')")}) END AS other FROM d),
+p AS (
+  SELECT doc_id, grp, leaf, coalesce(other, leaf) AS shown, row_number() OVER () AS r,
+    row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf, shown) - 1 AS idx,
+    count(*) OVER (PARTITION BY grp) AS n FROM h),
+nodes AS (
+  SELECT 0 AS level, grp, idx, leaf AS digest, n FROM p
+  UNION ALL SELECT level + 1, grp, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY level, grp, idx // 3, n),
+subroots AS (
+  SELECT grp, level AS height, digest AS subroot, row_number() OVER (ORDER BY grp) - 1 AS place, count(*) OVER () AS groups
+  FROM nodes WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, place AS idx, subroot AS digest, groups AS n FROM subroots
+  UNION ALL SELECT level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3
+  FROM upper WHERE n > 1 GROUP BY level, idx // 3, n),
+steps AS (
+  SELECT r, m.level AS step, m.idx < p.idx // (3 ** m.level)::BIGINT AS is_left, m.idx, m.digest
+  FROM p JOIN nodes m ON m.grp = p.grp AND m.n > 1 AND m.idx // 3 = p.idx // (3 ** (m.level + 1))::BIGINT
+    AND m.idx <> p.idx // (3 ** m.level)::BIGINT
+  UNION ALL
+  SELECT r, height + m.level, m.idx < place // (3 ** m.level)::BIGINT, m.idx, m.digest
+  FROM p JOIN subroots USING (grp) JOIN upper m ON m.n > 1 AND m.idx // 3 = place // (3 ** (m.level + 1))::BIGINT
+    AND m.idx <> place // (3 ** m.level)::BIGINT),
+sides AS (
+  SELECT r, step, coalesce(string_agg(digest, '' ORDER BY idx) FILTER (is_left), '') AS l,
+    coalesce(string_agg(digest, '' ORDER BY idx) FILTER (NOT is_left), '') AS f FROM steps GROUP BY r, step),
+proofs AS (SELECT r, sha256(string_agg(digest, '' ORDER BY step, idx)) AS proof_sha256 FROM steps GROUP BY r),
+top AS (SELECT digest AS root, level AS top_height FROM upper WHERE n = 1),
+folds AS (
+  SELECT r, 0 AS step, shown AS x, height + top_height AS last FROM p JOIN subroots USING (grp), top
+  UNION ALL SELECT folds.r, folds.step + 1, sha256(coalesce(l, '') || x || coalesce(f, '')), last
+  FROM folds LEFT JOIN sides ON sides.r = folds.r AND sides.step = folds.step WHERE folds.step < last)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, x AS folded_root,
+  x = root AS verified
+FROM p JOIN subroots USING (grp) JOIN folds ON folds.r = p.r AND step = last LEFT JOIN proofs ON proofs.r = p.r, top""",
+    "op13_ranked_search": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') AS ts FROM documents),
+s AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d WHERE len(ts) > 0),
+o AS (SELECT r, doc_id, 10 + (90 * len(ts) * n_docs) // n_terms AS m, unnest(ts) AS t FROM d, s),
+tf AS (SELECT r, doc_id, m, t, count(*) AS tf FROM o GROUP BY ALL),
+w AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), s),
+i AS (SELECT row_number() OVER () AS i, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (
+  SELECT DISTINCT i, item_id,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}')) AS t FROM i),
+x AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN w USING (t) JOIN tf USING (t) GROUP BY ALL),
+k AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS n FROM x WHERE score > 0)
+SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM k WHERE n <= 10""",
 }
