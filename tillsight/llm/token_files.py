@@ -19,6 +19,7 @@ import itertools
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 BLOCK_IDS = 1 << 16
-KNOWN_PIECES = 300_000  # pieces remembered by a worker before it starts afresh
+KNOWN_PIECES = 500_000  # pieces remembered by a worker before it starts afresh
 CELL = 8  # ids unpacked together: so many always begin and end at a byte
 
 # Fixed values of byte-level BPE: how it splits a text, and the characters that stand for bytes.
@@ -72,6 +73,21 @@ def unpack(packed: bytes, bits: int, start: int, stop: int) -> np.ndarray:
     return np.concatenate(out)[start % CELL :]
 
 
+class Pieces(dict):
+    """Ids of pieces, looked up by the model on first sight."""
+
+    def __init__(self, model):
+        super().__init__()
+        plain, spare = set(itertools.chain(*VISIBLE)), itertools.count(256)
+        self.shown = {b: b if b in plain else next(spare) for b in range(256)}
+        self.model = model
+
+    def __missing__(self, piece: str) -> bytes:
+        shown = piece.encode().decode("latin-1").translate(self.shown)
+        self[piece] = ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return ids
+
+
 class Encoder:
     """Ids of whole texts by a tokenizer of the tokenizers library, as little-endian unsigned 32-bit bytes.
 
@@ -95,14 +111,8 @@ class Encoder:
             and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "unk_token"))
             and all(token["special"] for token in parts["added_tokens"]))
         self.split, self.split_ascii = regex.compile(SPLIT), re.compile(SPLIT_ASCII, re.ASCII)
-        plain = set(itertools.chain(*VISIBLE))
-        spare = itertools.count(256)
-        self.shown = {b: b if b in plain else next(spare) for b in range(256)}
-        self.known: dict[str, bytes] = {}
-
-    def piece(self, text: str) -> bytes:
-        shown = text.encode().decode("latin-1").translate(self.shown)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+        self.known = Pieces(self.tokenizer.model)
+        self.assigned: set[str] = set()  # characters seen that Python knows
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -111,14 +121,18 @@ class Encoder:
         if not text:
             return b""
         plain = text.isascii()
-        if not self.by_pieces or not plain and any(unicodedata.category(c) == "Cn" for c in set(text)):
+        if not self.by_pieces or not plain and not self.all_assigned(text):
             return self.whole(text)
-        pieces = (self.split_ascii if plain else self.split).findall(text)
         if len(self.known) > KNOWN_PIECES:
             self.known.clear()
-        for new in set(pieces).difference(self.known):
-            self.known[new] = self.piece(new)
-        return b"".join(map(self.known.__getitem__, pieces))
+        return b"".join(map(self.known.__getitem__, (self.split_ascii if plain else self.split).findall(text)))
+
+    def all_assigned(self, text: str) -> bool:
+        new = set(text) - self.assigned
+        if any(unicodedata.category(c) == "Cn" for c in new):
+            return False
+        self.assigned |= new
+        return True
 
 
 @functools.lru_cache(maxsize=2)
