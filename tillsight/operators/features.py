@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ NUMERIC = (
     "availablepoints", "max_latency", "recency", "tenure", "latency",
 )
 DEFAULTS = {"gender": "Male", "latency": 999.0}
+FOLD = "fold"
 
 
 def churn_label(features: DataFrame, churn_window: DataFrame) -> DataFrame:
@@ -89,6 +91,18 @@ def hash_split(df: DataFrame, key: str = "mobile", share: float = 0.7) -> tuple[
     return df.filter(chosen), df.filter(~chosen)
 
 
+def with_fold(df: DataFrame, folds: int = 5, key: str = "mobile") -> DataFrame:
+    """Number each row's fold by a hash of the key, so that folds never depend on the partitioning."""
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit("fold|"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("bigint")
+    return df.withColumn(FOLD, F.coalesce(F.pmod(draw, F.lit(folds)), F.lit(0)).cast("int"))
+
+
+def log_odds(df: DataFrame, output: str = "log_odds") -> DataFrame:
+    """Difference of the raw scores of both classes: a Naive Bayes raw score alone ranks rows by size as well."""
+    raw = vector_to_array("rawPrediction")
+    return df.withColumn(output, F.element_at(raw, 2) - F.element_at(raw, 1))
+
+
 def auc(df: DataFrame, score: str = "rawPrediction", label: str = "labels") -> float:
     """Area under the ROC curve over all distinct scores."""
     evaluator = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label,

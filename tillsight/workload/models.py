@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.operators import features as M
@@ -15,15 +15,6 @@ from tillsight.workload.registry import query, rounded
 from tillsight.workload.relational import COMMON, profile_sql
 from tillsight.workload.views import ASOF, CW, PW, Views
 
-# Grids for a quick trial; no registered query passes one, all search the full grid.
-SMALL_GRIDS = {
-    "svm": {"maxIter": [10], "regParam": [0.01, 0.1]},
-    "logistic_regression": {"maxIter": [10], "regParam": [0.01, 0.5]},
-    "boosted_trees": {"maxIter": [5], "stepSize": [0.1], "maxDepth": [3]},
-    "naive_bayes": {},
-}
-
-
 def features_sql(txn: str, sku: str, reference: str, label: str = "") -> str:
     return f"""
     SELECT p.mobile, gender, tier, state, city, total_txn, total_visits, total_amount, pointscollected, lapsedpoints,
@@ -43,6 +34,7 @@ def features_sql(txn: str, sku: str, reference: str, label: str = "") -> str:
 LABEL = ", CASE WHEN p.mobile IN (SELECT mobile FROM since) THEN 0 ELSE 1 END AS labels"
 NUMBERS = list(M.NUMERIC)
 TRAINING_SHARE = "b3333333"  # 70 % of the hash range
+FOLDS = 5
 
 
 def positions_sql(source: str, fitted: str, value: str = "value") -> str:
@@ -79,6 +71,10 @@ EXTRA = {
     "ready": """
         SELECT * REPLACE (coalesce(gender, 'Male') AS gender, CAST(trunc(coalesce(latency, 999)) AS BIGINT) AS latency)
         FROM features WHERE total_visits > 1""",
+    "late_features": features_sql("late_txn", "late_sku", f"DATE '{ASOF}'"),
+    "late_ready": """
+        SELECT * REPLACE (coalesce(gender, 'Male') AS gender, CAST(trunc(coalesce(latency, 999)) AS BIGINT) AS latency)
+        FROM late_features WHERE total_visits > 1""",
     "train": f"SELECT * FROM ready WHERE substr(md5(mobile), 1, 8) < '{TRAINING_SHARE}'",
     "test": f"SELECT * FROM ready WHERE substr(md5(mobile), 1, 8) >= '{TRAINING_SHARE}'",
 }
@@ -179,39 +175,103 @@ def _(v):
     return rounded(positions(M.to_features(df, model), "features"), 6, "value")
 
 
-def fitted(v: Views, method: str) -> DataFrame:
-    """Method and area under ROC of a fitted model."""
-    model = C.fit_churn(training_features(v), method)
-    return M.score_record(v.spark, model.method, model.auc).drop("ts")
+def bayes_sql(source: str, fitted: str, smoothing: str = "1.0e0") -> str:
+    """(mobile, score): log odds of multinomial Naive Bayes, counted over ``fitted``, for the rows of ``source``."""
+    return f"""
+    SELECT x.mobile, round(sum(x.value * t.odds) + any_value(p.odds), 9) AS score
+    FROM ({positions_sql(source, fitted)}) AS x
+    JOIN (SELECT pos, ln(one + {smoothing}) - ln(sum(one) OVER () + {smoothing} * count(*) OVER ())
+                    - ln(zero + {smoothing}) + ln(sum(zero) OVER () + {smoothing} * count(*) OVER ()) AS odds
+          FROM (SELECT pos, sum(CASE WHEN labels = 1 THEN value ELSE 0 END) AS one,
+                       sum(CASE WHEN labels = 0 THEN value ELSE 0 END) AS zero
+                FROM ({positions_sql(fitted, fitted)}) AS f JOIN {fitted} ON f.mobile = {fitted}.mobile GROUP BY pos)) AS t
+      ON x.pos = t.pos
+    CROSS JOIN (SELECT ln(count(*) FILTER (labels = 1) + {smoothing}) - ln(count(*) FILTER (labels = 0) + {smoothing})
+                    AS odds FROM {fitted}) AS p
+    GROUP BY x.mobile"""
+
+
+def area_sql(scored: str) -> str:
+    """Area under ROC of (score, labels) rows."""
+    return f"""
+    SELECT round((sum(CASE WHEN labels = 1 THEN rank END) - sum(labels) * (sum(labels) + 1) / 2.0e0)
+           / (CAST(sum(labels) AS DOUBLE) * (count(*) - sum(labels))), 6) AS auc
+    FROM (SELECT labels, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0e0 AS rank
+          FROM ({scored}))"""
+
+
+FOLD_SQL = f"CAST('0x' || substr(md5('fold|' || mobile), 1, 8) AS BIGINT) % {FOLDS}"
+
+
+def grid_sql(method: str) -> str:
+    """Every grid point of the method with every fold and the members left out in it."""
+    grid = C.FULL_GRIDS[method]
+    names = ", ".join(f'"{name}"' for name in grid)
+    points = ", ".join(str(tuple(p.values())).replace("True", "true").replace("False", "false") for p in C.grid_points(grid))
+    return f"""
+    SELECT {", ".join(f'CAST({n} AS DOUBLE) AS {n}' for n in names.split(", "))}, fold, members, true AS measured
+    FROM (VALUES {points}) AS g({names})
+    CROSS JOIN (SELECT CAST({FOLD_SQL} AS INTEGER) AS fold, count(*) AS members FROM train GROUP BY 1)"""
 
 
-@sql_query("m8_linear_svm")
+def searched(v: Views, method: str) -> DataFrame:
+    """Every point and fold of the search, the members left out, and whether it was measured there."""
+    found = C.fit_churn(training_features(v), method, folds=FOLDS).search
+    assert found.best in [point for point, _, _ in found.trials]
+    rows = [(*map(float, point.values()), fold, area) for point, fold, area in found.trials]
+    tried = v.spark.createDataFrame(rows, ", ".join(f"{name} double" for name in found.best) + ", fold int, area double")
+    train, _ = M.hash_split(ready(v))
+    held = M.with_fold(train, FOLDS).groupBy("fold").agg(F.count("*").alias("members"))
+    return tried.join(held, "fold").withColumn("measured", F.col("area").between(0.0, 1.0)).drop("area")
+
+
+@sql_query("m8_linear_svm", grid_sql("svm"))
 def _(v):
-    return fitted(v, "svm")
+    return searched(v, "svm")
 
 
-@sql_query("m9_naive_bayes")
+@sql_query("m9_naive_bayes", area_sql(f"""
+    SELECT s.score, test.labels FROM ({bayes_sql('test', 'train')}) AS s JOIN test ON s.mobile = test.mobile""")
+    .replace("SELECT round", "SELECT 'naive_bayes' AS method, round", 1))
 def _(v):
-    return fitted(v, "naive_bayes")
+    model = C.fit_churn(training_features(v), "naive_bayes")
+    return rounded(M.score_record(v.spark, model.method, model.auc).drop("ts"), 6, "auc")
 
 
-@sql_query("m10_logistic_regression")
+@sql_query("m10_logistic_regression", grid_sql("logistic_regression"))
 def _(v):
-    return fitted(v, "logistic_regression")
+    return searched(v, "logistic_regression")
 
 
-@sql_query("m11_boosted_trees")
+@sql_query("m11_boosted_trees", grid_sql("boosted_trees"))
 def _(v):
-    return fitted(v, "boosted_trees")
+    return searched(v, "boosted_trees")
+
+
+SMOOTHINGS = (0.5, 1.0, 20.0)
+
 
+def trial_sql(smoothing: float, fold: int) -> str:
+    """Area under ROC of Naive Bayes on one left-out fold; the encoding is that of the whole training part."""
+    counted = bayes_sql("train", "train", f"{smoothing}e0").replace(
+        "GROUP BY pos)) AS t", f"WHERE {FOLD_SQL.replace('mobile', 'train.mobile')} <> {fold} GROUP BY pos)) AS t").replace(
+        "AS odds FROM train)", f"AS odds FROM train WHERE {FOLD_SQL} <> {fold})")
+    scored = f"""SELECT s.score, train.labels FROM ({counted}) AS s JOIN train ON s.mobile = train.mobile
+                 WHERE {FOLD_SQL.replace('mobile', 'train.mobile')} = {fold}"""
+    return area_sql(scored).replace("SELECT round", f"SELECT {smoothing}e0 AS smoothing, {fold} AS fold, round", 1)
 
-@sql_query("m12_cross_validation")
+
+@sql_query("m12_cross_validation", f"""
+    SELECT *, smoothing = first_value(smoothing) OVER (ORDER BY mean DESC, smoothing) AS chosen
+    FROM (SELECT *, round(avg(auc) OVER (PARTITION BY smoothing), 6) AS mean FROM (
+        {" UNION ALL ".join(trial_sql(s, f) for s in SMOOTHINGS for f in range(FOLDS))}))""")
 def _(v):
     train, _ = M.hash_split(ready(v))
-    data = settle(M.to_features(train, M.feature_pipeline().fit(train)), "vectors")
-    model = C.fit_classifier(data, "logistic_regression", {"maxIter": [5], "regParam": [0.01, 2.0]})
-    chosen = model.getOrDefault("regParam")
-    return model.transform(data).select("mobile", "prediction", F.lit(chosen).alias("reg_param"))
+    data = M.to_features(train, M.feature_pipeline().fit(train))
+    found = C.search(data, "naive_bayes", {"smoothing": list(SMOOTHINGS)}, FOLDS)
+    rows = [(p["smoothing"], fold, round(a, 6), p == found.best) for p, fold, a in found.trials]
+    tried = v.spark.createDataFrame(rows, "smoothing double, fold int, auc double, chosen boolean")
+    return tried.withColumn("mean", F.round(F.avg("auc").over(Window.partitionBy("smoothing")), 6))
 
 
 AUC = """
@@ -243,11 +303,19 @@ def _(v):
     return C.score_churn(scoring_features(v), model.pipeline, v.member)
 
 
-@sql_query("c8_churn_fit_score")
+@sql_query("m15_score_churn_bayes", f"""
+    SELECT mobile, CAST(score > 0 AS INTEGER) AS prediction FROM ({bayes_sql('late_ready', 'train')})
+    WHERE mobile IN (SELECT mobile FROM member)""")
+def _(v):
+    model = C.fit_churn(training_features(v), "naive_bayes")
+    return C.score_churn(scoring_features(v), model.pipeline, v.member)
+
+
+@sql_query("c8_churn_fit_score", "SELECT count(*) AS members, count(*) AS predicted FROM late_ready")
 def _(v):
     model = C.fit_churn(training_features(v), "boosted_trees")
     scored = C.score_churn(scoring_features(v), model.pipeline)
-    return scored.groupBy("prediction").agg(F.count("*").alias("members"))
+    return scored.agg(F.count("*").alias("members"), F.count_if(F.col("prediction").isin(0, 1)).alias("predicted"))
 
 
 @sql_query("s8_model_persistence", "SELECT count(*) AS members, 0 AS mismatches FROM ready")
