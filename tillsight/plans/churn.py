@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import itertools
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -22,6 +23,7 @@ from tillsight.operators.features import (
 from tillsight.operators.filters import observation_window, trailing_window
 from tillsight.operators.joins import assemble_features, member_store, only_members, sku_department
 from tillsight.operators.linear import search_linear
+from tillsight.operators.visits import Period, baskets, profile, seen
 from tillsight.session import settle
 
 # The full search grids per method, as parameter name -> values.
@@ -51,22 +53,50 @@ def churn_features(txn: DataFrame, sku: DataFrame, item: DataFrame, member: Data
         reference = shift_days(asof_date(asof), cw)
         seen_txn = observation_window(txn, day, asof, pw, cw)
         seen_sku = observation_window(sku, day, asof, pw, cw)
-    profile = member_profile(seen_txn.filter("mobile is not null"))
-    profile = profile.withColumns({
+    visits = member_profile(seen_txn.filter("mobile is not null"))
+    visits = visits.withColumns({
         "recency": recency("last_date", reference),
         "tenure": tenure("first_date", reference),
         "latency": mean_latency("first_date", "last_date", "total_visits"),
     })
     if cw is not None:
-        profile = churn_label(profile, trailing_window(txn, day, asof, cw))
+        visits = churn_label(visits, trailing_window(txn, day, asof, cw))
     assembled = assemble_features(
-        profile,
+        visits,
         basket_totals(seen_sku),
         department_totals(sku_department(item, seen_sku)),
         member_store(member, store).select("mobile", "gender", "tier", "state", "city"),
     )
     return assembled.select(
-        "mobile", *CATEGORICAL, *NUMERIC, "uniqueitems", "qty", "ndept", "nstores", *present(profile, ["labels"])
+        "mobile", *CATEGORICAL, *NUMERIC, "uniqueitems", "qty", "ndept", "nstores", *present(visits, ["labels"])
+    )
+
+
+def churn_features_from_states(states: str, txn: DataFrame, sku: DataFrame, item: DataFrame, member: DataFrame,
+                               store: DataFrame, asof: str, pw: int, cw: int | None = None) -> DataFrame:
+    """The rows of ``churn_features`` from the monthly states written below ``states``.
+
+    A new as-of date reads states of whole months, and transactions and lines of the edge days only. The
+    states must be of the same transactions.
+    """
+    end, spark = dt.date.fromisoformat(str(asof)), txn.sparkSession
+    if cw is None:
+        reference, period = end, Period(end - dt.timedelta(pw))
+    else:
+        reference = end - dt.timedelta(cw)
+        period = Period(end - dt.timedelta(pw + cw), reference)
+    visits = profile(spark, states, txn, period)
+    visits = visits.withColumns({
+        "recency": recency("last_date", F.lit(reference)),
+        "tenure": tenure("first_date", F.lit(reference)),
+        "latency": mean_latency("first_date", "last_date", "total_visits"),
+    })
+    if cw is not None:
+        visits = churn_label(visits, seen(spark, states, txn, Period(reference)))
+    people = member_store(member, store).select("mobile", "gender", "tier", "state", "city")
+    whole = visits.join(baskets(spark, states, sku, item, period), "mobile", "left").join(people, "mobile", "left")
+    return whole.select(
+        "mobile", *CATEGORICAL, *NUMERIC, "uniqueitems", "qty", "ndept", "nstores", *present(visits, ["labels"])
     )
 
 

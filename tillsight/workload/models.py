@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.operators import features as M
 from tillsight.operators.filters import observation_window, trailing_window
+from tillsight.operators.visits import write_states
 from tillsight.plans import churn as C
 from tillsight.session import new_path, settle
 from tillsight.sources.writers import load_model, save_model
@@ -112,6 +116,31 @@ def _(v):
     return scoring_features(v)
 
 
+STATE_DATES = ("2001-08-01", "1998-03-17", "1997-01-31")  # the first of a month, its middle, its end
+
+
+def dated(text: str, i: int) -> str:
+    """A view's SQL for another as-of date."""
+    for name in ("past_sku", "past", "since"):
+        text = re.sub(rf"\b{name}\b", f"{name}_{i}", text)
+    return text.replace(ASOF, STATE_DATES[i])
+
+
+STATES = {f"{name}_{i}": dated({**COMMON, **EXTRA}[name], i)
+          for i in range(len(STATE_DATES)) for name in ("past", "since", "past_sku")}
+
+
+@query("c7_churn_features_states", " UNION ALL ".join(
+    f"SELECT '{day}' AS asof, * FROM ({dated(EXTRA['features'], i)})" for i, day in enumerate(STATE_DATES)),
+    {**EXTRA, **STATES})
+def _(v):
+    path = new_path(v.spark, "states")
+    write_states(v.txn, v.sku, v.item, path)
+    parts = [C.churn_features_from_states(path, v.txn, v.sku, v.item, v.member, v.store, day, PW, CW)
+             .select(F.lit(day).alias("asof"), "*") for day in STATE_DATES]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @sql_query("m1_churn_label", """
     SELECT DISTINCT mobile, CASE WHEN mobile IN (SELECT mobile FROM since) THEN 0 ELSE 1 END AS labels FROM past""")
 def _(v):

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from tillsight.functions import scalars as S
 from tillsight.functions import text as X
 from tillsight.operators import aggregates as A
+from tillsight.operators import bitmaps as B
 from tillsight.operators import filters as P
 from tillsight.operators import joins as J
 from tillsight.operators import ranking as W
 from tillsight.operators import sets as U
 from tillsight.operators.text import frequent_terms, tokens
 from tillsight.plans.rules import default_value
+from tillsight.session import settle
 from tillsight.workload.registry import query
 from tillsight.workload.views import ASOF, CW, EXCLUDED, PW
 
@@ -510,6 +512,61 @@ def _(v):
 # ---- sets
 
 
+# Every group of members there is: market segments, response types, stores' cities, recent visitors.
+GROUPS = """
+    SELECT 'run ' || run_id AS segment, mobile FROM segments
+    UNION SELECT 'type ' || type, mobile FROM typed
+    UNION SELECT 'city ' || city, mobile FROM member JOIN store ON member.store = store.store
+    UNION SELECT 'since', mobile FROM since"""
+
+
+def groups(v):
+    """(segment, mobile) rows of the same groups."""
+    cities = J.member_store(v.member, v.store)
+    return U.stack(
+        v.segments.select(F.concat(F.lit("run "), "run_id").alias("segment"), "mobile"),
+        v.nps.select(F.concat(F.lit("type "), S.nps_type("response")).alias("segment"), "mobile"),
+        cities.filter("city is not null").select(F.concat(F.lit("city "), "city").alias("segment"), "mobile"),
+        P.trailing_window(v.txn, "txn_date", ASOF, CW).select(F.lit("since").alias("segment"), "mobile"))
+
+
+def group_bitmaps(v):
+    """Their bitmaps, written once, and the members' numbers."""
+    rows = groups(v)
+    numbers = settle(B.member_numbers(rows), "numbers")
+    return settle(B.segment_bitmaps(rows, numbers), "bitmaps"), numbers
+
+
+@query("u3_segment_bitmaps", """
+    SELECT 'size' AS kind, segment AS a, CAST(NULL AS VARCHAR) AS b, count(*) AS members FROM groups GROUP BY segment
+    UNION ALL SELECT 'overlap', x.segment, y.segment, count(*)
+    FROM groups AS x JOIN groups AS y ON x.mobile = y.mobile AND x.segment < y.segment GROUP BY x.segment, y.segment
+    UNION ALL SELECT 'union', 'runs', NULL, count(DISTINCT mobile) FROM groups WHERE starts_with(segment, 'run ')
+    UNION ALL SELECT 'union', 'all', NULL, count(DISTINCT mobile) FROM groups""", {**COMMON, "groups": GROUPS})
+def _(v):
+    bitmaps, _ = group_bitmaps(v)
+    names = [r.segment for r in bitmaps.select("segment").distinct().collect()]
+    united = B.merge(B.union(bitmaps, [n for n in names if n.startswith("run ")], "runs"), B.union(bitmaps, names, "all"))
+    nothing = F.lit(None).cast("string").alias("b")
+    return U.stack(
+        B.sizes(bitmaps).select(F.lit("size").alias("kind"), F.col("segment").alias("a"), nothing, "members"),
+        B.overlaps(bitmaps).select(F.lit("overlap").alias("kind"), "a", "b", "members"),
+        B.sizes(united).select(F.lit("union").alias("kind"), F.col("segment").alias("a"), nothing, "members"))
+
+
+@query("u4_segment_difference", """
+    SELECT 'lapsed' AS segment, mobile FROM groups WHERE segment = 'run BUILDING'
+    AND mobile NOT IN (SELECT mobile FROM groups WHERE segment IN ('since', 'type Promoter'))
+    UNION ALL SELECT 'loyal', mobile FROM groups WHERE segment = 'run BUILDING'
+    AND mobile IN (SELECT mobile FROM groups WHERE segment = 'since')
+    AND mobile IN (SELECT mobile FROM groups WHERE segment = 'type Promoter')""", {**COMMON, "groups": GROUPS})
+def _(v):
+    bitmaps, numbers = group_bitmaps(v)
+    lapsed = B.difference(bitmaps, "run BUILDING", ["since", "type Promoter"], "lapsed")
+    loyal = B.intersection(bitmaps, ["run BUILDING", "since", "type Promoter"], "loyal")
+    return B.members_of(lapsed.unionByName(loyal), numbers)
+
+
 @sql_query("u1_stack", """
     SELECT mobile, bill, 'past' AS part FROM past UNION ALL SELECT mobile, bill, 'since' FROM since""")
 def _(v):
