@@ -1,7 +1,7 @@
 """Batch run: dispatch, isolation, repeatability; sources and sinks."""
 
 import pytest
-from conftest import values
+from conftest import plan, values
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -61,6 +61,91 @@ def test_a_second_run_replaces_only_its_own_rows(spark, frame, tables, tmp_path)
     assert values(rows, "mobile", "run_id") == [("a", "r1"), ("b", "r1"), ("c", "r2")]
 
 
+def run_specs(frame):
+    lines = [CLV, CLV.replace("0,100,", "15,100,"), CLV.replace("r1", "r2"), CLV.replace("r1", "empty"), NPV, NPV.replace("r2", "r1"),
+             NPS, NPS.replace("r1", "r2")]
+    ticket = "16,ticket,-,Double,0,{end},-,{rate},,-,,,value,{run}"
+    lines += [ticket.format(end=e, rate=r, run=n) for e, r, n in ((1000, 0.5, "r1"), (1, 0.25, "r2"), (1000, 1, "r2"))]
+    return specs(frame, *lines)
+
+
+@pytest.fixture
+def whole(frame, tables):
+    tables["txn"] = frame([("a", 1, "2020-01-01", 100.0, 7), ("a", 2, "2020-02-01", 50.0, 9), ("b", 3, "2020-01-05", 20.0, 0),
+                           ("c", 4, "2020-01-06", 30.0, 90)],
+                          "mobile string, bill bigint, txn_date string, amount double, available bigint")
+    tables["member_segments"] = frame([("a", "s1"), ("a", "s2"), ("b", "s1"), ("c", "s3")], "mobile string, segment string")
+    return tables
+
+
+TAGS = ("mobile string, value string", [("a", "x"), ("b", "y"), ("c", "z")])
+
+
+def test_shared_runs_equal_runs_by_themselves(spark, frame, whole, tmp_path):
+    tags = {"r1": {"city": frame(TAGS[1], TAGS[0])}, "r2": {"town": frame(TAGS[1][1:], TAGS[0])}}
+    lines = run_specs(frame)
+    log = B.run_batch(spark, lines, whole, str(tmp_path), tags=tags)
+    assert {r.status for r in log.collect()} == {"done"} and log.count() == 11
+    by_run = {}
+    for spec in lines.collect():
+        rows = B.compute(spec, whole, tags=tags.get(spec.run_id)).collect()
+        by_run.setdefault((spec.name, spec.id, spec.run_id), []).extend(rows)
+    for (name, insight, run), rows in by_run.items():
+        got = spark.read.parquet(f"{tmp_path}/results/name={name}/insight_id={insight}/run_id={run}")
+        columns = [c for c in got.columns]
+        if rows:
+            assert sorted(columns) == sorted(c for c in rows[0].asDict() if c not in ("insight_id", "run_id"))
+        assert values(got, *columns) == sorted((tuple(r[c] for c in columns) for r in rows), key=repr), (name, run)
+
+
+def test_shared_insights_read_the_transactions_once(spark, frame, whole, tmp_path):
+    whole["txn"].write.parquet(f"{tmp_path}/txn")
+    whole["txn"] = spark.read.parquet(f"{tmp_path}/txn")
+    asked = [s for s in run_specs(frame).collect() if s.name == "ticket"]
+    assert len(asked) == 3 and len({s.run_id for s in asked}) == 2
+    shared = B.compute_shared(asked, B.shared_of(asked[0], B.REGISTRY, whole), whole)
+    assert plan(shared).count("FileScan parquet") == 1
+
+
+def test_a_killed_batch_goes_on_without_doubles(spark, frame, whole, tmp_path, monkeypatch):
+    class Killed(BaseException):
+        pass
+
+    lines, whole_path, cut_path = run_specs(frame), f"{tmp_path}/whole", f"{tmp_path}/cut"
+    B.run_batch(spark, lines, whole, whole_path, batch_id="d1")
+    written, noted = [], B.append_run_log
+    replace, base = B.replace_run, B.ticket_and_points
+    computed = []
+    monkeypatch.setattr(B, "ticket_and_points", lambda txn: computed.append(1) or base(txn))
+
+    def replace_some(df, path, insight, run):
+        out = replace(df, path, insight, run)
+        written.append((insight, run))
+        if len(written) in (2, 5):  # the rows are there, the log row is not
+            raise Killed
+        return out
+
+    monkeypatch.setattr(B, "replace_run", replace_some)
+    for _ in range(2):
+        with pytest.raises(Killed):
+            B.run_batch(spark, lines, whole, cut_path, batch_id="d1")
+    assert 0 < len(B.finished_specs(spark, cut_path, "d1")) < 11
+    B.run_batch(spark, lines, whole, cut_path, batch_id="d1")
+    log = spark.read.parquet(f"{cut_path}/log")
+    assert log.count() == 11 and log.select("spec").distinct().count() == 11
+    for name in ("clv", "npv", "NPS", "ticket"):
+        a, b = (spark.read.parquet(f"{p}/results/name={name}") for p in (whole_path, cut_path))
+        assert values(a, *a.columns) == values(b, *a.columns)
+    before = len(written)
+    assert B.run_batch(spark, lines, whole, cut_path, batch_id="d1").count() == 0 and len(written) == before
+    assert B.run_batch(spark, lines, whole, cut_path, batch_id="d2").count() == 11
+    assert noted is B.append_run_log
+
+
+def test_finished_specs_of_a_new_folder(spark, tmp_path):
+    assert B.finished_specs(spark, str(tmp_path / "none"), "d1") == set()
+
+
 def test_dispatch(tables):
     with pytest.raises(LookupError):
         B.dispatch(Row(id="14", name="clv", type="Double"))

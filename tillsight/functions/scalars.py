@@ -35,14 +35,18 @@ def blend(response: Column | str, value: Column | str, weight: float = 0.5) -> C
     return F.when(response.isNull(), value).otherwise(mixed)
 
 
-def ticket_plus_points(atv: Column | str, points: Column | str, rate: float) -> Column:
+def _rate(rate: Column | float) -> Column:
+    return rate if isinstance(rate, Column) else F.lit(float(rate))
+
+
+def ticket_plus_points(atv: Column | str, points: Column | str, rate: Column | float) -> Column:
     """Average ticket plus the money worth of the points balance."""
-    return _column(atv) + _column(points) * F.lit(float(rate))
+    return _column(atv) + _column(points) * _rate(rate)
 
 
-def points_share(atv: Column | str, points: Column | str, rate: float) -> Column:
+def points_share(atv: Column | str, points: Column | str, rate: Column | float) -> Column:
     """Points worth as a percentage of the average ticket; null on a zero ticket."""
-    return F.try_divide(_column(points) * F.lit(float(rate)) * F.lit(100.0), _column(atv))
+    return F.try_divide(_column(points) * _rate(rate) * F.lit(100.0), _column(atv))
 
 
 def asof(text: str | date) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.scalars import age_bracket, cohort_key, lenient_number
 from tillsight.operators.aggregates import popular_items
 from tillsight.operators.factors import recommend_unbought
-from tillsight.operators.filters import filter_code_length, known_pairs, null_strings, price_band, require
+from tillsight.operators.filters import filter_code_length, known_pairs, null_strings, price_band, require, trailing_window
 from tillsight.operators.joins import cohort_lists, lines_with_value, restrict_to_segment
 from tillsight.operators.matching import many_to_one
 from tillsight.operators.ranking import ranked_list, top_n
@@ -55,14 +55,17 @@ def cohort_recommend(favourites: DataFrame, members: DataFrame, n: int, excluded
 
 def recommend(purchases: DataFrame, members: DataFrame, favourites: DataFrame, users: DataFrame, items: DataFrame,
               n: int, excluded: str = EXCLUDED, column: str = "item", code_length: tuple[int, int | None] = (1, None),
-              digits: int | None = None) -> DataFrame:
+              digits: int | None = None, window: tuple[str, int] | None = None) -> DataFrame:
     """(mobile, items, tier): factor lists for repeat buyers, cohort lists for the others.
 
     Tiers: ``repeat`` bought on several days and is known to the model, ``once`` bought on one
     day, ``rest`` are the remaining buyers. Everything a member bought is kept out of a factor
-    list. One pass over the purchases leaves a row per member and item, from which the tiers
+    list. ``window``, an as-of date and a number of days, keeps only purchases after that many
+    days before the date. One pass over the purchases leaves a row per member and item, from which the tiers
     follow: a member bought on several days when the first and the last day differ.
     """
+    if window is not None:
+        purchases = trailing_window(purchases, "txn_date", *window)
     favourites = filter_code_length(require(favourites, ["mobile", "item"]), "item", *code_length)
     bought = restrict_to_segment(purchases, members).groupBy("mobile", "item").agg(
         F.min("txn_date").alias("first"), F.max("txn_date").alias("last")

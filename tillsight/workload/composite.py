@@ -10,9 +10,11 @@ from tillsight.operators import aggregates as A
 from tillsight.operators.filters import observation_window, project_members, trailing_window
 from tillsight.plans import batch as B
 from tillsight.plans import rules as I
+from tillsight.plans.churn import churn_features, fit_churn
 from tillsight.session import new_path
 from tillsight.sources import readers as SR
 from tillsight.sources import writers as SW
+from tillsight.sources.writers import load_model, save_model
 from tillsight.workload.registry import query
 from tillsight.workload.relational import COMMON
 from tillsight.workload.texts import RULES
@@ -143,11 +145,15 @@ def _(v):
 SPECS = """
     SELECT * FROM (VALUES
         ('12,npv,-,Range,300000,600000,-,,,-,,,value,BUILDING'),
+        ('12,npv,-,Range,0,400000,-,,,-,,,value,AUTOMOBILE'),
         ('13,NPS,-,Varchar,,,-,,,-,,,nps,MACHINERY'),
+        ('13,NPS,-,Varchar,,,-,,,-,,,nps,HOUSEHOLD'),
         ('14,clv,-,Range,300000,600000,-,,,-,,,value,FURNITURE'),
         ('16,ticket,-,Double,0.5,2,-,0.5,10,-,,,value,BUILDING'),
+        ('16,ticket,-,Double,0.2,3,-,0.25,10,-,,,value,MACHINERY'),
         ('99,unknown,-,Double,0,1,-,,,-,,,none,BUILDING'),
-        ('14,clv,-,Range,0,100000000,-,,,-,,,value,BUILDING')
+        ('14,clv,-,Range,0,100000000,-,,,-,,,value,BUILDING'),
+        ('0,probable_churn,-,Any,365,,-,,,-,,,churn,FURNITURE')
     ) AS t(line)"""
 
 
@@ -160,31 +166,59 @@ def batch_tables(v: Views):
     }
 
 
-@sql_query("c10_run_batch", f"""
-    SELECT * FROM (
-        SELECT '12' AS insight_id, 'BUILDING' AS run_id, 'done' AS status, count(*) AS members
-        FROM ({NPV}) WHERE value BETWEEN 300000 AND 600000 AND mobile IN (SELECT mobile FROM building)
-        UNION ALL
-        SELECT '13', 'MACHINERY', 'done', 3 * count(*) FROM nps
-        WHERE mobile IN (SELECT mobile FROM segments WHERE run_id = 'MACHINERY')
-        UNION ALL
-        SELECT '14', 'FURNITURE', 'done', count(*) FROM value
-        WHERE trunc(value) BETWEEN 300000 AND 600000
-          AND mobile IN (SELECT mobile FROM segments WHERE run_id = 'FURNITURE')
-        UNION ALL
-        SELECT '14', 'BUILDING', 'done', count(*) FROM value WHERE mobile IN (SELECT mobile FROM building)
-        UNION ALL
-        SELECT '16', 'BUILDING', 'done', count(*) FROM atv_value WHERE mobile IN (SELECT mobile FROM building)
-        UNION ALL
-        SELECT '99', 'BUILDING', 'failed', NULL)""")
+def run_of(name: str) -> str:
+    return f"(SELECT mobile FROM segments WHERE run_id = '{name}')"
+
+
+def ticket_sql(rate: str, low: str, high: str) -> str:
+    return f"""SELECT mobile, atv + available * {rate} AS value FROM ticket
+               WHERE available * {rate} * 100.0e0 / atv BETWEEN {low} AND {high}"""
+
+
+def written_sql(insight_id: str, run_id: str, rows: str, detail: str = "CAST(NULL AS VARCHAR)") -> str:
+    return f"""SELECT '{insight_id}' AS insight_id, '{run_id}' AS run_id, 'done' AS status, mobile,
+                      round(CAST(value AS DOUBLE), 6) AS value, {detail} AS detail
+               FROM ({rows}) WHERE mobile IN {run_of(run_id)}"""
+
+
+REPLY_SQL = """
+    SELECT mobile, NULL AS value, l.language || ': ' || coalesce(
+        (SELECT min(q.question) FROM questions AS q WHERE q.type = typed.type AND q.language = l.language),
+        (SELECT min(q.question) FROM questions AS q WHERE q.type = typed.type AND q.language =
+            (SELECT min(f.language) FROM questions AS f WHERE f.type = typed.type))) AS detail
+    FROM typed, (SELECT DISTINCT language FROM questions) AS l"""
+WHOLE = "SELECT mobile, trunc(value) AS value FROM value"
+
+
+@sql_query("c10_run_batch", " UNION ALL ".join([
+    written_sql("12", "BUILDING", f"SELECT * FROM ({NPV}) WHERE value BETWEEN 300000 AND 600000"),
+    written_sql("12", "AUTOMOBILE", f"SELECT * FROM ({NPV}) WHERE value BETWEEN 0 AND 400000"),
+    written_sql("13", "MACHINERY", REPLY_SQL, "detail"), written_sql("13", "HOUSEHOLD", REPLY_SQL, "detail"),
+    written_sql("14", "FURNITURE", f"SELECT * FROM ({WHOLE}) WHERE value BETWEEN 300000 AND 600000"),
+    written_sql("14", "BUILDING", f"SELECT * FROM ({WHOLE}) WHERE value BETWEEN 0 AND 100000000"),
+    written_sql("16", "BUILDING", ticket_sql("0.5e0", "0.5", "2")),
+    written_sql("16", "MACHINERY", ticket_sql("0.25e0", "0.2", "3")),
+    """SELECT '0', 'FURNITURE', 'done', mobile, NULL, 'scored' FROM (
+           SELECT mobile FROM txn WHERE txn_date > DATE '2001-08-01' - 365 GROUP BY mobile HAVING count(DISTINCT txn_date) > 1)
+       WHERE mobile IN (SELECT mobile FROM segments WHERE run_id = 'FURNITURE')""",
+    "SELECT '99', 'BUILDING', 'failed', NULL, NULL, NULL"]))
 def _(v):
     path = new_path(v.spark, "batch")
-    log = B.run_batch(v.spark, B.parse_specs(v.spark.sql(SPECS)), batch_tables(v), path)
-    counts = None
-    for name in ("npv", "NPS", "clv", "ticket"):
-        rows = v.spark.read.parquet(f"{path}/results/name={name}")
-        part = rows.groupBy(F.col("insight_id").cast("string").alias("insight_id"), "run_id").agg(
-            F.count("*").alias("members")
-        )
-        counts = part if counts is None else counts.unionByName(part)
-    return log.select("run_id", "insight_id", "status").join(counts, ["insight_id", "run_id"], "left")
+    model = fit_churn(churn_features(v.txn, v.sku, v.item, v.member, v.store, ASOF, PW, CW), "naive_bayes").pipeline
+    saved = load_model(save_model(model, new_path(v.spark, "churn-model")))
+    tables = {**batch_tables(v), "member": v.member, "sku": v.sku, "item": v.item, "store": v.store, "churn_model": saved,
+              "churn_asof": ASOF}
+    log = B.run_batch(v.spark, B.parse_specs(v.spark.sql(SPECS)), tables, path)
+    rows = None
+    for name in ("npv", "NPS", "clv", "ticket", "probable_churn"):
+        written = v.spark.read.parquet(f"{path}/results/name={name}")
+        detail = F.lit(None).cast("string")
+        if name == "NPS":
+            detail = F.concat("language", F.lit(": "), "value")
+        if name == "probable_churn":
+            detail = F.when(F.col("value").isin("0", "1"), "scored")
+        number = F.round(F.col("value").try_cast("double"), 6) if name not in ("NPS", "probable_churn") else F.lit(None).cast("double")
+        part = written.select(F.col("insight_id").cast("string").alias("insight_id"), "run_id", "mobile",
+                              number.alias("value"), detail.alias("detail"))
+        rows = part if rows is None else rows.unionByName(part)
+    return log.select("run_id", "insight_id", "status").join(rows, ["insight_id", "run_id"], "left")
