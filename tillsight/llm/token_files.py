@@ -31,12 +31,15 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 BLOCK_IDS = 1 << 16
-KNOWN_PIECES = 500_000  # pieces remembered by a worker before it starts afresh
-CELL = 8  # ids unpacked together: so many always begin and end at a byte
+KNOWN_PIECES = 1_000_000  # pieces remembered by a worker before it starts afresh
+CELL = 8  # ids packed together: so many always begin and end at a byte
 
 # Fixed values of byte-level BPE: how it splits a text, and the characters that stand for bytes.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The same split where Python's own classes agree with it: for ASCII, and for characters of the categories below.
 SPLIT_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+SPLIT_COMMON = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+COMMON = frozenset(("Lu", "Ll", "Lt", "Lm", "Lo", "Mn", "Mc", "Nd", "Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po", "Sm", "Sc", "Sk", "So"))
 VISIBLE = (range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100))
 
 
@@ -45,32 +48,39 @@ def id_bits(largest: int) -> int:
     return max(1, int(largest).bit_length())
 
 
+def _overlaps(bits: int) -> list[tuple[int, int, int]]:
+    """(id, byte, shift) of a cell: bit 0 of the id lies ``shift`` bits above bit 0 of the byte, or below it."""
+    return [(j, k, j * bits - 8 * k) for j in range(CELL) for k in range(j * bits // 8, ((j + 1) * bits - 1) // 8 + 1)]
+
+
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """Ids end to end in ``bits`` bits each, lowest bit first; raises ValueError for an id that does not fit."""
-    ids = np.ascontiguousarray(ids, "<u4")
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError(f"id {ids.max()} does not fit in {bits} bits")
-    out = []
-    for start in range(0, len(ids), BLOCK_IDS):  # bounds the memory; a multiple of CELL
-        part = ids[start : start + BLOCK_IDS]
-        flat = np.unpackbits(part.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :bits]
-        out.append(np.packbits(flat, bitorder="little").tobytes())
-    return b"".join(out)
+    wide = np.zeros((-(-len(ids) // CELL), CELL), np.uint64)
+    wide.ravel()[: len(ids)] = ids
+    cells = np.zeros((len(wide), bits), np.uint8)
+    for j, k, shift in _overlaps(bits):
+        moved = wide[:, j] << np.uint64(shift) if shift >= 0 else wide[:, j] >> np.uint64(-shift)
+        cells[:, k] |= moved.astype(np.uint8)
+    return cells.tobytes()[: -(-len(ids) * bits // 8)]
 
 
 def unpack(packed: bytes, bits: int, start: int, stop: int) -> np.ndarray:
-    """Ids ``start`` to ``stop`` of packed bytes as unsigned 32-bit integers; only their bytes are read."""
+    """Ids ``start`` to ``stop`` of packed bytes as unsigned 32-bit integers; only their cells are read."""
     if stop <= start:
         return np.empty(0, "<u4")
-    out = []
-    for begin in range(start - start % CELL, stop, BLOCK_IDS):
-        end = min(begin + BLOCK_IDS, stop)
-        raw = np.frombuffer(packed, np.uint8)[begin * bits // 8 : -(-end * bits // 8)]
-        flat = np.unpackbits(raw, bitorder="little", count=(end - begin) * bits)
-        wide = np.zeros((end - begin, 32), np.uint8)
-        wide[:, :bits] = flat.reshape(-1, bits)
-        out.append(np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel())
-    return np.concatenate(out)[start % CELL :]
+    first, last = start // CELL, -(-stop // CELL)
+    raw = np.zeros((last - first) * bits, np.uint8)
+    held = np.frombuffer(packed, np.uint8)[first * bits : last * bits]
+    raw[: len(held)] = held
+    cells = raw.reshape(-1, bits)
+    wide = np.zeros((len(cells), CELL), np.uint64)
+    for j, k, shift in _overlaps(bits):
+        part = cells[:, k].astype(np.uint64)
+        wide[:, j] |= part >> np.uint64(shift) if shift >= 0 else part << np.uint64(-shift)
+    wide &= np.uint64((1 << bits) - 1)
+    return wide.ravel()[start - first * CELL : stop - first * CELL].astype("<u4")
 
 
 class Pieces(dict):
@@ -110,9 +120,9 @@ class Encoder:
             and not before.get("add_prefix_space") and model.get("type") == "BPE"
             and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "unk_token"))
             and all(token["special"] for token in parts["added_tokens"]))
-        self.split, self.split_ascii = regex.compile(SPLIT), re.compile(SPLIT_ASCII, re.ASCII)
+        self.split, self.split_ascii, self.split_common = regex.compile(SPLIT), re.compile(SPLIT_ASCII, re.ASCII), re.compile(SPLIT_COMMON)
         self.known = Pieces(self.tokenizer.model)
-        self.assigned: set[str] = set()  # characters seen that Python knows
+        self.common = {chr(c) for c in range(128)} - {chr(c) for c in range(0x1C, 0x20)}  # white space to Python alone
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -120,19 +130,22 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        plain = text.isascii()
-        if not self.by_pieces or not plain and not self.all_assigned(text):
+        split = self.split_of(text) if self.by_pieces else None
+        if split is None:
             return self.whole(text)
         if len(self.known) > KNOWN_PIECES:
             self.known.clear()
-        return b"".join(map(self.known.__getitem__, (self.split_ascii if plain else self.split).findall(text)))
-
-    def all_assigned(self, text: str) -> bool:
-        new = set(text) - self.assigned
-        if any(unicodedata.category(c) == "Cn" for c in new):
-            return False
-        self.assigned |= new
-        return True
+        return b"".join(map(self.known.__getitem__, split.findall(text)))
+
+    def split_of(self, text: str):
+        """The fastest pattern that splits the text as the tokenizer does; none if a character is unknown."""
+        if text.isascii():
+            return self.split_ascii
+        odd = {c: unicodedata.category(c) for c in set(text) - self.common}
+        self.common.update(c for c, kind in odd.items() if kind in COMMON and c > "\x7f")
+        if all(kind in COMMON for kind in odd.values()):
+            return self.split_common
+        return None if "Cn" in odd.values() else self.split
 
 
 @functools.lru_cache(maxsize=2)
