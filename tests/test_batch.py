@@ -6,6 +6,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tillsight.plans import batch as B
+from tillsight.sources import member_store as MS
 from tillsight.sources import readers as SR
 from tillsight.sources import writers as SW
 
@@ -189,6 +190,76 @@ def test_catalog_source_and_missing_tables(spark, frame, tmp_path):
         SR.read_or_empty(spark, source, "select nothing from feed_view", schema)
 
 
+def test_sources_that_fail_in_their_own_way(spark, frame):
+    schema = frame([("a", 1)], "mobile string, n int").schema
+    jdbc = SR.Source("jdbc", options={"url": "jdbc:none://nowhere/none"})
+    for source, keyspace in ((jdbc, None), (SR.Source("no.such.store"), "feeds")):
+        with pytest.warns(UserWarning, match="feed_master"):
+            empty = SR.read_or_empty(spark, source, "feed_master", schema, keyspace)
+        assert empty.count() == 0 and empty.columns == ["mobile", "n"]
+
+
+def test_keyed_feeds_of_files(spark, frame, tmp_path):
+    df = frame([("a", 1)], "mobile string, n int")
+    df.write.parquet(f"{tmp_path}/feeds/master")
+    source = SR.Source(base=str(tmp_path))
+    assert SR.read_or_empty(spark, source, "master", df.schema, "feeds").count() == 1
+    assert SR.read_or_empty(spark, source, "none", df.schema, "feeds").count() == 0
+
+
+# ---- the store of keyed rows
+
+ROWS = "mobile string, day int, n int"
+
+
+def store_files(path):
+    return {str(f.relative_to(path)) for f in path.rglob("data/**/*.parquet")}
+
+
+def test_upsert_rewrites_the_touched_buckets_only(spark, frame, tmp_path):
+    path = str(tmp_path)
+    first = frame([(f"m{i}", 1, i) for i in range(400)] + [(None, 1, -1)], ROWS)
+    assert MS.create_store(first, path, ["mobile"], 16) == 1
+    before = store_files(tmp_path)
+    new = frame([("m7", 2, 70), ("m8", 0, 80), ("fresh", 1, 5), (None, 1, -2), ("m7", 3, 71)], ROWS)
+    version, touched = MS.upsert_store(new, path, ["mobile"], "day", 16)
+    assert version == 2 and 1 <= len(touched) <= 4
+    added = store_files(tmp_path) - before
+    assert before <= store_files(tmp_path) and {int(f.split("store_bucket=")[1].split("/")[0]) for f in added} == set(touched)
+    got = MS.read_store(spark, path, first.schema)
+    want = {**{f"m{i}": (1, i) for i in range(400)}, "m7": (3, 71), "fresh": (1, 5), None: (1, -2)}
+    assert {r.mobile: (r.day, r.n) for r in got.collect()} == want and got.count() == len(want)
+    assert values(got, "mobile", "day", "n") == values(SW.upsert_latest(first, new, ["mobile"], "day"), "mobile", "day", "n")
+    assert MS.read_store(spark, path, first.schema, version=1).count() == 401
+    assert MS.upsert_store(new.limit(0), path, ["mobile"], "day", 16) == (2, [])
+    assert MS.vacuum(spark, path) == len(touched)
+    assert MS.read_store(spark, path, first.schema).count() == len(want)
+
+
+def test_a_failed_upsert_leaves_the_old_state(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    first = frame([(f"m{i}", 1, i) for i in range(50)], ROWS)
+    MS.create_store(first, path, ["mobile"], 4)
+    broken = frame([("m1", 2, 9)], ROWS).withColumn("n", F.raise_error(F.lit("stop")).cast("int"))
+    with pytest.raises(Exception, match="stop"):
+        MS.upsert_store(broken, path, ["mobile"], "day", 4)
+    assert values(MS.read_store(spark, path, first.schema), "mobile", "n") == values(first, "mobile", "n")
+    (tmp_path / "manifest" / "v-2").mkdir()  # a manifest whose write never ended
+    assert MS.read_store(spark, path, first.schema).count() == 50
+    assert MS.upsert_store(frame([("m1", 2, 9)], ROWS), path, ["mobile"], "day", 4)[0] == 2
+    assert MS.read_store(spark, path, first.schema).filter("mobile = 'm1'").first().n == 9
+    with pytest.raises(Exception, match="there is a store"):
+        MS.create_store(first, path, ["mobile"], 4)
+
+
+def test_an_empty_store_is_filled(spark, frame, tmp_path):
+    rows = frame([("a", 1, 1)], ROWS)
+    MS.create_store(rows.limit(0), str(tmp_path), ["mobile"], 4)
+    assert MS.read_store(spark, str(tmp_path), rows.schema).count() == 0
+    MS.upsert_store(rows, str(tmp_path), ["mobile"], "day", 4)
+    assert values(MS.read_store(spark, str(tmp_path), rows.schema), *rows.columns) == [("a", 1, 1)]
+
+
 def test_feature_files(frame, spark, tmp_path):
     df = frame([("a", 1.5, None), ("b,c", -2.0, "x y")], "mobile string, n double, t string")
     csv = SR.read_features(spark, SW.write_features(df, str(tmp_path / "csv"), "csv"), df.schema)

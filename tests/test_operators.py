@@ -1,6 +1,7 @@
 """Small-frame cases: nulls, ties, duplicates, window edges."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -13,6 +14,8 @@ from tillsight.operators import joins as J
 from tillsight.operators import ranking as W
 from tillsight.operators import sets as U
 from tillsight.operators import text as T
+from tillsight.operators.rules import as_table, table_labels
+from tillsight.operators.text import FEEDBACK_RULES, naive_bayes_label, rule_labels
 
 TXN = ("mobile string, bill bigint, txn_date date, amount decimal(18,2), store bigint, collected bigint, "
        "available bigint, lapsed bigint")
@@ -232,3 +235,52 @@ def test_reply_matrix_keeps_members_without_any_question(frame):
     questions = frame([("Promoter", "en", "why?")], "type string, language string, question string")
     got = values(J.reply_matrix(typed, questions, A.distinct_languages(questions)), "mobile", "language", "question")
     assert got == [("a", "en", "why?"), ("b", None, None)]
+
+
+def naive_labels(texts, rules):
+    return sorted({(mobile, label) for mobile, text in texts if text is not None for label, required, forbidden in rules
+                   if all(w in text for w in required) and not any(w in text for w in forbidden)})
+
+
+def test_rules_as_a_table_equal_every_rule_tried(spark):
+    rng = random.Random(8)
+    letters = "abcdé "
+    texts = [(f"m{i}", "".join(rng.choices(letters, k=rng.randrange(0, 60)))) for i in range(120)]
+    texts += [("copy", texts[0][1]), ("none", None), ("empty", ""), ("long", "abc" * 20_000 + "zzé"), ("m1", texts[2][1])]
+
+    def word():
+        return "".join(rng.choices("abcdé", k=rng.randrange(1, 6)))
+
+    rules = [(f"l{i % 40}", [word() for _ in range(rng.randrange(1, 4))], [word() for _ in range(rng.randrange(0, 3))]) for i in range(400)]
+    rules += [("end", ["zzé"], []), ("nowhere", ["qqq"], []), ("contrary", ["ab"], ["ab"]), ("twice", ["ab", "ab"], ["zzzz"]), ("plain", ["b"], None)]
+    df = spark.createDataFrame(texts, "mobile string, response string")
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rules)],
+                                  "rule_id int, label string, required array<string>, forbidden array<string>")
+    got = table_labels(df, table)
+    assert got.columns == ["mobile", "response", "label"]
+    want = [(mobile, label) for row, (mobile, text) in enumerate(texts)
+            for _, label in naive_labels([(row, text)], [(a, b, c or []) for a, b, c in rules])]
+    assert values(got, "mobile", "label") == sorted(want, key=repr)
+
+
+def test_the_fixed_rules_as_a_table(spark):
+    texts = ["staff is rude", "size and variety", "the price range is high", "range of products", "billing counter", "points issued late", None,
+             "experience with staff", "discount on size", "Staff", "product quality of products", "sale person"]
+    df = spark.createDataFrame(list(enumerate(texts)), "mobile int, response string")
+    assert values(table_labels(df, as_table(spark, FEEDBACK_RULES)), "mobile", "label") == values(rule_labels(df), "mobile", "label")
+
+
+def test_rules_without_required_words_are_refused(spark):
+    df = spark.createDataFrame([("a", "x")], "mobile string, response string")
+    for required in ([], None, [""], [None]):
+        table = spark.createDataFrame([(1, "l", required, ["x"])], "rule_id int, label string, required array<string>, forbidden array<string>")
+        with pytest.raises(ValueError, match="required"):
+            table_labels(df, table)
+
+
+def test_the_classifier_learns_stems(spark):
+    train = spark.createDataFrame([("1", "till broken", "till"), ("2", "shirt torn", "goods")], "text_id string, response string, label string")
+    rest = spark.createDataFrame([("3", "tills tills torn")], "text_id string, response string")
+    stems = spark.createDataFrame([("tills", "till"), ("tills", "tillx")], "token string, stem string")
+    assert values(naive_bayes_label(train, rest), "label") == [("goods",)]
+    assert values(naive_bayes_label(train, rest, stems=stems), "label") == [("till",)]

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from conftest import values
 
+from tillsight.operators import joins as J
 from tillsight.operators.text import rule
 from tillsight.plans import feedback as FB
 from tillsight.plans import rules as I
@@ -63,14 +64,34 @@ def shop(frame):
 def test_recommendation_tiers(shop):
     purchases, members, favourites, users, items = shop
     got = values(R.recommend(purchases, members, favourites, users, items, 2), "mobile", "items", "tier")
-    # "one" has an age without a gender, so the overall list, which nobody without both feeds; same for "bag"
-    assert got == [("old", "yy,zz", "rest"), ("rep", "i3,i4", "repeat")]
+    # "one" has an age without a gender, so the overall list; nobody without both feeds it, so that of the tier; same for "bag"
+    assert got == [("bag", "i1,i3", "once"), ("old", "yy,zz", "rest"), ("one", "i1,i3", "once"), ("rep", "i3,i4", "repeat")]
 
 
 def test_one_code_items_only(shop):
     purchases, members, favourites, users, items = shop
     got = R.recommend(purchases, members, favourites, users, items, 2, code_length=(1, 1))
-    assert values(got, "mobile", "tier") == [("rep", "repeat")]
+    assert values(got, "mobile", "items", "tier") == [
+        ("bag", None, "once"), ("old", None, "rest"), ("one", None, "once"), ("rep", "i3,i4", "repeat")]
+
+
+def test_purchases_of_a_window_only(shop):
+    purchases, members, favourites, users, items = shop
+    got = R.recommend(purchases, members, favourites, users, items, 2, window=(str(day(5)), 4))
+    # only day 3 and later: "rep" and "old" bought on one day each, "one" not at all
+    assert values(got, "mobile", "tier") == [("bag", "once"), ("old", "once"), ("rep", "once")]
+
+
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_nearest_list(frame, monkeypatch, most):
+    monkeypatch.setattr(J, "MAX_LISTS", most)
+    members = frame([("a", "t", "x"), ("b", "t", "y"), ("c", "u", "x"), ("d", None, "x"), ("e", "u", None)],
+                    "mobile string, tier string, cohort string")
+    lists = frame([("t", "x", "1"), ("t", None, "2"), (None, None, "3")], "tier string, cohort string, items string")
+    assert values(J.cohort_lists(members, lists, ["tier"]), "mobile", "items") == [
+        ("a", "1"), ("b", "2"), ("c", "3"), ("d", "3"), ("e", "3")]
+    none = J.cohort_lists(members, lists.filter("tier = 't'"), ["tier"])
+    assert values(none, "mobile", "items") == [("a", "1"), ("b", "2"), ("c", None), ("d", None), ("e", None)]
 
 
 def test_cohorts(frame):

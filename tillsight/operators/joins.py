@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillsight.operators.matching import many_to_one, matched
 from tillsight.operators.ranking import first_match
+from tillsight.session import settle
 
 
 def restrict_to_segment(df: DataFrame, segment: DataFrame) -> DataFrame:
@@ -104,9 +105,32 @@ def member_demographics(favourites: DataFrame, members: DataFrame, cohort: DataF
     return chosen.join(members.select("mobile", "age", "gender"), "mobile")
 
 
+MAX_LISTS = 10_000  # lists looked up in one value; more are joined
+
+
 def cohort_lists(members: DataFrame, lists: DataFrame, within: Sequence[str] = ()) -> DataFrame:
-    """Members with the item list of their cohort; no list, no row."""
-    return many_to_one(members, lists, [*within, "cohort"]).select("mobile", *within, "cohort", "items")
+    """Every member with the item list of their cohort, or of the nearest group that has one.
+
+    ``lists`` has the ``within`` columns, cohort and items. A list with a null cohort is for the whole group
+    of ``within``, one with nulls throughout for everybody; a member gets null items only without any.
+    Cohorts are few, so their lists travel as one value and no member is shuffled to find one.
+    """
+    def key(columns: Sequence[str], known: int):
+        return F.to_json(F.struct(*[F.col(c) if i < known else F.lit(None).alias(c) for i, c in enumerate(columns)]))
+
+    keys = [*within, "cohort"]
+    lists = lists.select(key(keys, len(keys)).alias("list_key"), "items").groupBy("list_key").agg(F.max("items").alias("items"))
+    lists = settle(lists, "lists")
+    levels = [key(keys, len(keys)), key(keys, len(within)), key(keys, 0)]
+    if lists.count() <= MAX_LISTS:
+        entries = lists.agg(F.map_from_entries(F.collect_list(F.struct("list_key", "items")))).scalar()
+        items = F.coalesce(*[F.try_element_at(entries, level) for level in levels])
+        return members.select("mobile", *within, "cohort", items.alias("items"))
+    for i, level in enumerate(levels):
+        own = lists.select(F.col("list_key").alias(f"key_{i}"), F.col("items").alias(f"items_{i}"))
+        members = many_to_one(members.withColumn(f"key_{i}", level), own, [f"key_{i}"], "left")
+    items = F.coalesce(*[f"items_{i}" for i in range(len(levels))])
+    return members.select("mobile", *within, "cohort", items.alias("items"))
 
 
 def add_tags(df: DataFrame, tags: Mapping[str, DataFrame]) -> DataFrame:

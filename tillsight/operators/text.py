@@ -126,16 +126,21 @@ def bag_of_words(train: DataFrame, rest: DataFrame, key: str = "text_id") -> Dat
     return tokens(parts, keep=(key, "label")).groupBy(key, "label", "token").agg(F.count("*").alias("n"))
 
 
-def class_statistics(train: DataFrame, rest: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _stemmed(token_rows: DataFrame, stems: DataFrame | None) -> DataFrame:
+    return token_rows if stems is None else stem_tokens(token_rows, stems)
+
+
+def class_statistics(train: DataFrame, rest: DataFrame, stems: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Per class: log prior and log denominator; per class and token: log count weight.
 
-    Multinomial model with add-one smoothing over the joint vocabulary. The prior is the plain
-    share of a class.
+    Multinomial model with add-one smoothing over the joint vocabulary, of stems if a (token, stem) table is given. The
+    prior is the plain share of a class.
     """
     everything = train.select("label", "response").unionByName(
         rest.select(F.lit(None).cast("string").alias("label"), "response")
     )
-    counts = tokens(everything, keep=("label",)).groupBy("label", "token").agg(F.count("*").alias("n"))
+    counts = _stemmed(tokens(everything, keep=("label",)).groupBy("label", "token").agg(F.count("*").alias("n")), stems)
+    counts = counts.groupBy("label", "token").agg(F.sum("n").alias("n"))
     counts = settle(counts, "token-counts")  # far smaller than the texts, and read three times
     vocabulary = counts.agg(F.countDistinct("token")).scalar()
     learned = counts.filter("label is not null")
@@ -151,10 +156,10 @@ def class_statistics(train: DataFrame, rest: DataFrame) -> tuple[DataFrame, Data
     return classes, weights
 
 
-def naive_bayes_scores(train: DataFrame, rest: DataFrame, key: str = "text_id") -> DataFrame:
+def naive_bayes_scores(train: DataFrame, rest: DataFrame, key: str = "text_id", stems: DataFrame | None = None) -> DataFrame:
     """Log score of every class for each response of the rest."""
-    classes, weights = class_statistics(train, rest)
-    bag = tokens(rest, keep=(key,)).groupBy(key, "token").agg(F.count("*").alias("n"))
+    classes, weights = class_statistics(train, rest, stems)
+    bag = _stemmed(tokens(rest, keep=(key,)).groupBy(key, "token").agg(F.count("*").alias("n")), stems)
     hits = bag.join(weights, "token").groupBy(key, "label").agg(F.sum(F.col("n") * F.col("weight")).alias("hit"))
     # the classes are as few as the labels, so they come in as one array per response
     table = classes.agg(F.collect_list(F.struct("label", "log_prior", "log_size"))).scalar()
@@ -164,11 +169,14 @@ def naive_bayes_scores(train: DataFrame, rest: DataFrame, key: str = "text_id")
     return docs.join(hits, [key, "label"], "left").select(key, "label", score.alias("score"))
 
 
-def naive_bayes_label(train: DataFrame, rest: DataFrame, key: str = "text_id") -> DataFrame:
+def naive_bayes_label(train: DataFrame, rest: DataFrame, key: str = "text_id", stems: DataFrame | None = None,
+                      digits: int | None = None) -> DataFrame:
     """Most likely label of each response; the first label in order on equal scores.
 
-    ``train`` holds (key, response, label), ``rest`` (key, response) with one row per key. Scores
-    are compared at six decimals, so that the order of summation cannot decide.
+    ``train`` holds (key, response, label), ``rest`` (key, response) with one row per key. With
+    ``digits`` scores are compared after rounding, so that the order of summation cannot decide.
     """
-    scores = naive_bayes_scores(train, rest, key).withColumn("score", F.round("score", 6))
+    scores = naive_bayes_scores(train, rest, key, stems)
+    if digits is not None:
+        scores = scores.withColumn("score", F.round("score", digits))
     return first_match(scores, [key], [F.desc("score"), "label"]).select(key, "label")

@@ -23,12 +23,13 @@ def clean_feedback(feed: DataFrame, min_length: int = 5) -> DataFrame:
 
 
 def feedback_reply(feed: DataFrame, lexicon: DataFrame, replies: DataFrame, rules: Iterable[Rule] = FEEDBACK_RULES,
-                   include_rules: bool = False, default: str = "none") -> DataFrame:
+                   include_rules: bool = False, default: str = "none", stems: DataFrame | None = None,
+                   digits: int | None = None) -> DataFrame:
     """(mobile, label, message) for negative responses.
 
     Rules label some of them and train the model that labels the rest; the replies go to the
     rest, and to the rule-labelled ones too if asked for. A rule depends on the text alone, so
-    "no rule met" is a filter and needs no anti join.
+    "no rule met" is a filter and needs no anti join. With a (token, stem) table the model learns stems.
     """
     negative = negative_only(sentiment(clean_feedback(feed), lexicon)).select("mobile", "response")
     keyed = settle(with_labels(negative, rules).withColumn("text_id", text_id("response")), "negative")
@@ -36,7 +37,7 @@ def feedback_reply(feed: DataFrame, lexicon: DataFrame, replies: DataFrame, rule
     rest = keyed.filter(F.size("labels") == 0).select("mobile", "text_id", "response")
     # copies of a text get the same label, so the model sees each text of the rest once
     texts = rest.groupBy("text_id").agg(F.first("response").alias("response"))
-    predicted = naive_bayes_label(by_rule.select("text_id", "response", "label"), texts)
+    predicted = naive_bayes_label(by_rule.select("text_id", "response", "label"), texts, "text_id", stems, digits)
     labelled = many_to_one(rest.select("mobile", "text_id"), predicted, ["text_id"]).select("mobile", "label")
     if include_rules:
         labelled = stack(labelled, by_rule.select("mobile", "label"))

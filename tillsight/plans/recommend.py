@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.scalars import age_bracket, cohort_key, lenient_number
 from tillsight.operators.aggregates import popular_items
 from tillsight.operators.factors import recommend_unbought
-from tillsight.operators.filters import filter_code_length, known_pairs, null_strings, price_band, require, trailing_window
+from tillsight.operators.filters import exclude_items, filter_code_length, known_pairs, null_strings, price_band, require, trailing_window
 from tillsight.operators.joins import cohort_lists, lines_with_value, restrict_to_segment
 from tillsight.operators.matching import many_to_one
 from tillsight.operators.ranking import ranked_list, top_n
@@ -29,27 +29,35 @@ def clean_demographics(members: DataFrame) -> DataFrame:
 
 def popular_lists(fav: DataFrame, n: int, excluded: str = EXCLUDED, column: str = "item",
                   within: Sequence[str] = ()) -> DataFrame:
-    """Top n items of each cohort as a comma-joined text."""
+    """Top n items as a comma-joined text: of each cohort, of each group of ``within``, and of all.
+
+    Group lists have a null cohort, the list of all has nulls throughout.
+    """
     key = [*within, "cohort"]
-    return ranked_list(top_n(popular_items(fav, excluded, column, within), key, "txns", ["item"], n), key, "rank", "item", n)
+    lists = [ranked_list(top_n(popular_items(fav, excluded, column, within), key, "txns", ["item"], n), key, "rank", "item", n)]
+    sums = exclude_items(fav, excluded, column).groupBy(*within, "item").agg(F.sum("txns").alias("txns"))
+    for known in ((list(within), []) if within else ([],)):
+        group = sums.groupBy(*known, "item").agg(F.sum("txns").alias("txns")).withColumns(
+            {c: F.lit(None).cast("string") for c in key if c not in known})
+        lists.append(ranked_list(top_n(group, key, "txns", ["item"], n), key, "rank", "item", n))
+    return stack(*lists)
 
 
 def cohort_recommend(favourites: DataFrame, members: DataFrame, n: int, excluded: str = EXCLUDED,
-                     column: str = "item", within: Sequence[str] = ()) -> DataFrame:
-    """Popular items for the members with favourites: by age and gender, by gender, or overall.
+                     column: str = "item", within: Sequence[str] = (), everyone: bool = False) -> DataFrame:
+    """Popular items for the members with favourites, or for ``everyone``: by age and gender, by gender, or overall.
 
-    A member whose only favourite is the excluded item gets the overall list. ``within`` names
-    member columns whose groups are ranked apart from each other.
+    A member whose only favourite is the excluded item gets the overall list. A cohort without a list
+    gets that of its group, or that of all favourites. ``within`` names member columns whose groups are ranked
+    apart from each other.
     """
     people = clean_demographics(members).select("mobile", "age", "gender", *within)
     fav = many_to_one(favourites, people, ["mobile"])
-    own = fav.groupBy("mobile", *within).agg(
-        F.min(cohort_key(age_bracket("age"), "gender")).alias("own"),
-        F.count("*").alias("rows"),
-        F.max(F.col(column).contains(excluded)).alias("is_excluded"),
-    )
-    cohort = F.when((F.col("rows") == 1) & F.col("is_excluded"), F.lit(",")).otherwise(F.col("own"))
-    keyed = own.select("mobile", *within, cohort.alias("cohort"))
+    own = fav.groupBy("mobile").agg(
+        ((F.count("*") == 1) & F.max(F.col(column).contains(excluded))).alias("only_excluded"))
+    joined = many_to_one(people, own, ["mobile"], "left" if everyone else "inner")
+    cohort = F.when(F.col("only_excluded"), F.lit(",")).otherwise(cohort_key(age_bracket("age"), "gender"))
+    keyed = joined.select("mobile", *within, cohort.alias("cohort"))
     return cohort_lists(keyed, popular_lists(fav, n, excluded, column, within), within)
 
 
@@ -59,7 +67,7 @@ def recommend(purchases: DataFrame, members: DataFrame, favourites: DataFrame, u
     """(mobile, items, tier): factor lists for repeat buyers, cohort lists for the others.
 
     Tiers: ``repeat`` bought on several days and is known to the model, ``once`` bought on one
-    day, ``rest`` are the remaining buyers. Everything a member bought is kept out of a factor
+    day, ``rest`` are the remaining buyers; every buyer among the members has a row. Everything a member bought is kept out of a factor
     list. ``window``, an as-of date and a number of days, keeps only purchases after that many
     days before the date. One pass over the purchases leaves a row per member and item, from which the tiers
     follow: a member bought on several days when the first and the last day differ.
@@ -81,7 +89,7 @@ def recommend(purchases: DataFrame, members: DataFrame, favourites: DataFrame, u
     tier = F.when(F.col("repeat_buyer"), "rest").otherwise("once")
     others = uncovered(buyers, known.withColumnRenamed("user", "mobile")).select("mobile", tier.alias("tier"))
     people = members.select("mobile", "age", "gender").join(others, "mobile")
-    by_cohort = cohort_recommend(favourites, people, n, excluded, column, ["tier"])
+    by_cohort = cohort_recommend(favourites, people, n, excluded, column, ["tier"], everyone=True)
     return stack(by_factor, by_cohort.select("mobile", "items", "tier"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -77,13 +78,23 @@ def read_features(spark: SparkSession, path: str, schema: StructType | None = No
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_or_empty(spark: SparkSession, source: Source, name: str, schema: StructType) -> DataFrame:
-    """Read a table, or an empty frame of the schema where the table does not exist."""
+def read_or_empty(spark: SparkSession, source: Source, name: str, schema: StructType, keyspace: str | None = None) -> DataFrame:
+    """Read a table, of a keyspace if one is given, or an empty frame of the schema where it cannot be had.
+
+    Files and catalog tables count as missing only where Spark says so. Other sources name a missing
+    table in their own ways, so whatever fails there when the table is opened is warned about and taken as missing.
+    """
     if source.format == "catalog" and not is_query(name) and not spark.catalog.tableExists(name):
         return spark.createDataFrame([], schema)
     try:
-        return read_table(spark, source, name)
+        return read_table(spark, source, name) if keyspace is None else read_keyed_table(spark, source, keyspace, name)
     except AnalysisException as error:
-        if error.getCondition() not in MISSING:
+        if error.getCondition() not in MISSING and (source.format == "catalog" or source.base is not None):
             raise
-        return spark.createDataFrame([], schema)
+        reason = error
+    except Exception as error:
+        if source.format == "catalog" or source.base is not None:
+            raise
+        reason = error
+    warnings.warn(f"reading {name} as empty: {str(reason).splitlines()[0]}", stacklevel=2)
+    return spark.createDataFrame([], schema)

@@ -6,10 +6,12 @@ from collections.abc import Sequence
 from urllib.parse import quote
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.recommendation import ALSModel
 from pyspark.ml.util import MLWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillsight.operators.factors import FactorModel
 from tillsight.operators.ranking import top_n
 
 
@@ -52,6 +54,25 @@ def save_model(model: MLWritable, path: str) -> str:
     return path
 
 
+def save_factors(model: FactorModel, path: str) -> str:
+    """Save user and item factors under the caller's keys, and the model they come from, replacing what is there."""
+    model.users.write.mode("overwrite").parquet(f"{path}/users")
+    model.items.write.mode("overwrite").parquet(f"{path}/items")
+    model.als.write().overwrite().save(f"{path}/als")
+    return path
+
+
+def load_factors(spark: SparkSession, path: str) -> FactorModel:
+    """Load saved factors."""
+    return FactorModel(spark.read.parquet(f"{path}/users"), spark.read.parquet(f"{path}/items"), ALSModel.load(f"{path}/als"))
+
+
+def append_score(record: DataFrame, path: str) -> str:
+    """Append a (method, auc, ts) row to the history of fitted models."""
+    record.write.mode("append").parquet(path)
+    return path
+
+
 def load_model(path: str) -> PipelineModel:
     """Load a fitted pipeline."""
     return PipelineModel.load(path)

@@ -14,6 +14,7 @@ from tillsight.plans.churn import churn_features, fit_churn
 from tillsight.session import new_path
 from tillsight.sources import readers as SR
 from tillsight.sources import writers as SW
+from tillsight.sources.member_store import create_store, read_store, upsert_store
 from tillsight.sources.writers import load_model, save_model
 from tillsight.workload.registry import query
 from tillsight.workload.relational import COMMON
@@ -119,6 +120,22 @@ def _(v):
     return SW.upsert_latest(old, trailing_window(rows, "txn_date", ASOF, CW), ["mobile"], "txn_date")
 
 
+@sql_query("s7_upsert_store", """
+    SELECT mobile, CAST(txn_date AS VARCHAR) AS txn_date, bill, CAST(amount AS DOUBLE) AS amount FROM (
+        SELECT *, row_number() OVER (PARTITION BY mobile ORDER BY txn_date DESC, is_new DESC, bill DESC, amount DESC)
+                  AS rn
+        FROM (SELECT mobile, txn_date, bill, amount, 0 AS is_new FROM past
+              UNION ALL SELECT mobile, txn_date, bill, amount, 1 FROM since))
+    WHERE rn = 1""")
+def _(v):
+    path = new_path(v.spark, "store")
+    rows = v.txn.select("mobile", "txn_date", "bill", "amount")
+    past = observation_window(rows, "txn_date", ASOF, PW, CW)
+    create_store(SW.upsert_latest(past, past.limit(0), ["mobile"], "txn_date"), path, ["mobile"], 16)
+    upsert_store(trailing_window(rows, "txn_date", ASOF, CW), path, ["mobile"], "txn_date", 16)
+    return read_store(v.spark, path, rows.schema)
+
+
 @sql_query("s9_append_run_log", """
     SELECT DISTINCT run_id, '14' AS insight_id, 'done' AS status FROM segments
     UNION ALL SELECT DISTINCT run_id, '16', 'failed' FROM segments""")

@@ -8,6 +8,8 @@ from tillsight.functions.text import text_id, token_array
 from tillsight.operators import filters as P
 from tillsight.operators import joins as J
 from tillsight.operators import text as T
+from tillsight.operators.factors import dense_index
+from tillsight.operators.rules import as_table, table_labels
 from tillsight.plans.feedback import clean_feedback, feedback_reply
 from tillsight.workload.registry import query, rounded
 from tillsight.workload.views import Views
@@ -47,6 +49,11 @@ def bayes(train: str, rest: str, words: str) -> str:
     return BAYES.format(train=train, rest=rest, words=words, word=WORD)
 
 
+def stemmed_of(words: str) -> str:
+    return f"""SELECT text_id, label, coalesce(stem, {words}.token) AS token
+               FROM {words} LEFT JOIN stems ON {words}.token = stems.token"""
+
+
 def words_of(train: str, rest: str) -> str:
     return f"""
         SELECT text_id, label, unnest(regexp_extract_all(lower(response), '{WORD}')) AS token
@@ -54,6 +61,7 @@ def words_of(train: str, rest: str) -> str:
               UNION ALL SELECT text_id, CAST(NULL AS VARCHAR), response FROM {rest})"""
 
 
+MANY = 10_000  # rules of the table query
 EXTRA = {
     "cleaned": """
         SELECT mobile, cleaned AS response, sha256(cleaned) AS text_id FROM (
@@ -91,6 +99,20 @@ EXTRA = {
         SELECT sha256(CAST(doc_id AS VARCHAR)) AS text_id, text AS response FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "graded_words": words_of("graded", "ungraded"),
+    "stemmed_graded_words": stemmed_of("graded_words"),
+    "stemmed_rule_words": stemmed_of("rule_words"),
+    "benchmark_tokens": """
+        SELECT token, row_number() OVER (ORDER BY token) - 1 AS n
+        FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS token FROM benchmark)""",
+    "rule_list": f"""
+        SELECT i, 'r' || (i % 500) AS label, a.token AS w1, substr(b.token, 1, 4) AS w2, c.token AS w3
+        FROM range({MANY}) AS r(i) CROSS JOIN (SELECT count(*) AS total FROM benchmark_tokens)
+        JOIN benchmark_tokens AS a ON a.n = i % total JOIN benchmark_tokens AS b ON b.n = (i * 7 + 3) % total
+        JOIN benchmark_tokens AS c ON c.n = (i * 13 + 5) % total""",
+    "found": """
+        SELECT text_id, word FROM (SELECT DISTINCT text_id, response FROM cleaned),
+            (SELECT w1 AS word FROM rule_list UNION SELECT w2 FROM rule_list UNION SELECT w3 FROM rule_list)
+        WHERE contains(response, word)""",
     "first_reply": "SELECT type AS label, min(message) AS message FROM replies GROUP BY type",
 }
 
@@ -149,6 +171,28 @@ def _(v):
     return T.rule_labels(negative(v), RULES).select("mobile", "label")
 
 
+@sql_query("t4_rules_as_table", "SELECT mobile, label FROM by_rule")
+def _(v):
+    return table_labels(negative(v), as_table(v.spark, RULES)).select("mobile", "label")
+
+
+@sql_query("t4_ten_thousand_rules", """
+    SELECT DISTINCT mobile, label FROM rule_list
+    JOIN found AS f1 ON f1.word = w1 JOIN found AS f2 ON f2.word = w2 AND f2.text_id = f1.text_id
+    JOIN cleaned ON cleaned.text_id = f1.text_id
+    ANTI JOIN found AS f3 ON f3.word = w3 AND f3.text_id = f1.text_id""")
+def _(v):
+    words = v.table("benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"))).alias("token"))
+    numbered = dense_index(words, "token")
+    total = numbered.count()
+    rules = v.spark.range(MANY).select(F.col("id").alias("rule_id"), F.concat(F.lit("r"), F.col("id") % 500).alias("label"))
+    for name, factor, shift in (("w1", 1, 0), ("w2", 7, 3), ("w3", 13, 5)):
+        place = numbered.select(F.col("token").alias(name), F.col("token_id").cast("bigint").alias(f"{name}_at"))
+        rules = rules.withColumn(f"{name}_at", (F.col("rule_id") * factor + shift) % total).join(place, f"{name}_at")
+    rules = rules.select("rule_id", "label", F.array("w1", F.substring("w2", 1, 4)).alias("required"), F.array("w3").alias("forbidden"))
+    return table_labels(clean_feedback(v.feedback), rules).select("mobile", "label")
+
+
 @sql_query("t5_bag_of_words", """
     SELECT label, token, count(*) AS n, count(DISTINCT text_id) AS texts FROM graded_words GROUP BY label, token""")
 def _(v):
@@ -158,7 +202,12 @@ def _(v):
 
 @sql_query("t6_naive_bayes_label", bayes("graded", "ungraded", "graded_words"))
 def _(v):
-    return T.naive_bayes_label(*graded(v))
+    return T.naive_bayes_label(*graded(v), digits=6)
+
+
+@sql_query("t6_naive_bayes_stems", bayes("graded", "ungraded", "stemmed_graded_words"))
+def _(v):
+    return T.naive_bayes_label(*graded(v), stems=v.small("stems"), digits=6)
 
 
 @sql_query("t7_stem_tokens", """
@@ -183,9 +232,18 @@ def _(v):
     return J.label_reply(labelled, v.small("replies"))
 
 
-@sql_query("c6_feedback_reply", f"""
+def reply_sql(words: str) -> str:
+    return f"""
     SELECT mobile, p.label, coalesce(message, 'none') AS message
-    FROM rest JOIN ({bayes('by_rule', 'rest_texts', 'rule_words')}) AS p ON rest.text_id = p.text_id
-    LEFT JOIN first_reply ON p.label = first_reply.label""")
+    FROM rest JOIN ({bayes('by_rule', 'rest_texts', words)}) AS p ON rest.text_id = p.text_id
+    LEFT JOIN first_reply ON p.label = first_reply.label"""
+
+
+@sql_query("c6_feedback_reply", reply_sql("rule_words"))
+def _(v):
+    return feedback_reply(v.feedback, v.small("lexicon"), v.small("replies"), RULES, digits=6)
+
+
+@sql_query("c6_feedback_reply_stems", reply_sql("stemmed_rule_words"))
 def _(v):
-    return feedback_reply(v.feedback, v.small("lexicon"), v.small("replies"), RULES)
+    return feedback_reply(v.feedback, v.small("lexicon"), v.small("replies"), RULES, stems=v.small("stems"), digits=6)
