@@ -19,6 +19,7 @@ from tillsight.llm import ranked_search as R
 from tillsight.llm import token_files as T
 from tillsight.llm.base import prepare
 from tillsight.llm.decontaminate import leaks
+from tillsight.llm.mixing import mix, mixed
 from tillsight.session import new_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -297,3 +298,25 @@ def test_short_items_are_found_whole(spark):
     got = sorted(((r.doc_id, r.item_id, r.first_word, r.similarity) for r in found.collect()), key=repr)
     assert got == sorted([(1, "a", 0, 1.0), (1, "b", 1, 1.0), (1, "c", 0, 1.0), (1, None, 0, 1.0), (2, "b", 1, 1.0), (2, None, 0, 1.0),
                           (3, "b", 0, 1.0), (5, "a", 1, 1.0), (5, "b", 2, 1.0), (5, None, 1, 1.0)], key=repr)
+
+
+# ---- mixing rows that repeat an id
+
+
+def test_a_share_belongs_to_a_row(spark):
+    rows = [(1, "d e", "s"), (1, "d e f", "s"), (None, "x y", "s"), (None, "x", "t"), (2, "a", "t"), (2, "a", "t"), (2, "a", "t"),
+            (3, None, "t"), (3, "", None)] + [(10 + i, "w " * (i % 7), "st"[i % 2]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumn("copies", F.lit("clash"))
+    for share in (0.2, 0.7, 1.5):
+        shares = mix(docs, share=share)
+        got = mixed(docs, share=share)
+        words = sum(len((t or "").split()) for _, t, _ in rows)
+        total = got.agg(F.sum("taken")).first()[0] or 0
+        assert total <= share * words and total == (shares.agg(F.sum("taken")).first()[0] or 0)
+        for row in got.collect():
+            assert row.taken == row.copies * len((row.text or "").split()) and row.copies > 0
+        key = ["doc_id", "size", "copies"]
+        sized = got.withColumn("size", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), " "), lambda w: w != "")))
+        assert sorted(map(tuple, sized.select(*key).collect()), key=repr) == sorted(
+            map(tuple, shares.filter("copies > 0").select(*key).collect()), key=repr)
+    assert mixed(docs.limit(0)).count() == 0

@@ -22,6 +22,7 @@ WEIGHTS = (3, 1, 2)
 CELL_ROWS = 2_000  # documents of a source per cell, about
 EPOCHS = 2
 SALT = "mix-1:"
+ROW = "row_hash"  # of all columns
 
 
 def word_count(text: str):
@@ -76,10 +77,16 @@ def mix(docs: DataFrame, share: float = 1.5, epochs: int = EPOCHS, id_column: st
     are taken whole as often as they come before the cut. Rows that repeat an id are ordered by size.
     An empty table gives an empty one. Other columns of the input have no influence.
     """
+    return _mix(docs, share, epochs, id_column, source_column, text_column).drop(ROW)
+
+
+def _mix(docs: DataFrame, share: float, epochs: int, id_column: str, source_column: str, text_column: str) -> DataFrame:
+    """The rows of ``mix`` with a hash of all columns, which tells rows of one id apart."""
     order = F.conv(F.substring(F.md5(F.concat(F.lit(SALT), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13),
                    16, 10).cast("bigint")
     rows = settle(docs.select(F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"),
-                              word_count(text_column).alias("size")).withColumn("spin", order), "sizes")
+                              word_count(text_column).alias("size"), F.xxhash64(*docs.columns).alias(ROW))
+                  .withColumn("spin", order), "sizes")
     targets = settle(source_targets(rows, share, epochs), "targets")
     names = targets.select(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("no_source"),
                            "source_size", "target", "place", "n_docs")
@@ -88,15 +95,15 @@ def mix(docs: DataFrame, share: float = 1.5, epochs: int = EPOCHS, id_column: st
     # 13 hex digits are 52 bits; a source's cells have CELL_ROWS documents on average
     cells = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(CELL_ROWS)))
     placed = joined.withColumn("cell", F.floor(F.col("spin") / F.lit(float(1 << 52)) * cells))
-    placed = settle(placed.select("doc_id", "size", "spin", "source_size", "target", "place", "cell"), "placed")
+    placed = settle(placed.select("doc_id", ROW, "size", "spin", "source_size", "target", "place", "cell"), "placed")
     sums = placed.groupBy("place", "cell").agg(F.sum("size").alias("cell_size"))
     earlier = Window.partitionBy("place").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = settle(sums.select("place", "cell", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0)).alias("offset")),
                      "offsets")
-    within = Window.partitionBy("place", "cell").orderBy("spin", "doc_id", "size").rowsBetween(
+    within = Window.partitionBy("place", "cell").orderBy("spin", "doc_id", "size", ROW).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     summed = placed.withColumn("within", F.sum("size").over(within)).join(offsets, ["place", "cell"]).select(
-        "doc_id", "size", "spin", "source_size", "target", "place", (F.col("within") + F.col("offset")).alias("upto"))
+        "doc_id", ROW, "size", "spin", "source_size", "target", "place", (F.col("within") + F.col("offset")).alias("upto"))
     copies = summed.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))).withColumn(
         "finish", F.when(F.col("target") > 0, (F.col("upto") + F.col("epoch") * F.col("source_size")) / F.col("target"))
         .otherwise(F.lit(0.0)))
@@ -104,13 +111,13 @@ def mix(docs: DataFrame, share: float = 1.5, epochs: int = EPOCHS, id_column: st
     budget = min(share, epochs) * (targets.agg(F.sum("source_size")).first()[0] or 0)
     last, inside = cut(copies, budget)
     served = F.when(F.col("finish") < F.lit(last), 1).when((F.col("finish") == F.lit(last)) & inside, 1).otherwise(0)
-    taken = copies.withColumn("served", served).groupBy("place", "spin", "doc_id", "size", "upto").agg(
+    taken = copies.withColumn("served", served).groupBy("place", "spin", "doc_id", ROW, "size", "upto").agg(
         F.first("source_size").alias("source_size"), F.first("target").alias("target"),
         F.sum("served").alias("copies"), F.count("*").alias("rows"))
     # rows that are alike in every column were grouped: give each its share back
     repeated = taken.withColumn("again", F.explode(F.sequence(F.lit(1), (F.col("rows") / epochs).cast("int"))))
     each = (F.col("copies") / (F.col("rows") / epochs)).cast("bigint")
-    return repeated.select("doc_id", "size", "source_size", "target", each.alias("copies"),
+    return repeated.select("doc_id", ROW, "size", "source_size", "target", each.alias("copies"),
                            (each * F.col("size")).alias("taken"))
 
 
@@ -150,11 +157,20 @@ def cut(copies: DataFrame, budget: float, cells: int = 4096):
     return edge["finish"], (F.col("place") < F.lit(edge["place"])) | earlier
 
 
-def mixed(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The documents that the mix holds, with ``copies`` and ``taken``; rows that repeat an id share the highest."""
-    shares = mix(docs, id_column=id_column, **options).groupBy("doc_id").agg(
-        F.max("copies").alias("copies"), F.max("taken").alias("taken")).filter("copies > 0")
-    mark = scratch("id")
-    shares = settle(shares.withColumnRenamed("doc_id", mark), "shares")
-    kept = docs.drop("copies", "taken")
-    return kept.join(shares, kept[id_column].eqNullSafe(shares[mark])).drop(mark)
+def mixed(docs: DataFrame, share: float = 1.5, epochs: int = EPOCHS, id_column: str = "doc_id",
+          source_column: str = "source", text_column: str = "text") -> DataFrame:
+    """The documents that the mix holds, with ``copies`` and ``taken``.
+
+    Each row has its own share, also where rows repeat an id; rows alike in all columns get one share each, too.
+    """
+    shares = _mix(docs, share, epochs, id_column, source_column, text_column)
+    key, name = scratch("row"), scratch("id")
+    shares = settle(shares.filter("copies > 0").select(F.col(ROW).alias(key), F.col("doc_id").alias(name), "copies", "taken"), "shares")
+    kept = docs.withColumn(key, F.xxhash64(*docs.columns)).drop("copies", "taken")
+    alike = settle(docs.select(F.xxhash64(*docs.columns).alias(key)).groupBy(key).agg(F.count("*").alias("n"))
+                   .filter("n > 1").select(key), "alike")
+    # of rows that are alike one meets all their shares; there are few, if any
+    several = kept.join(alike, key, "left_semi").dropDuplicates([key, id_column])
+    rows = kept.join(alike, key, "left_anti").unionByName(several).withColumn(name, F.col(id_column))
+    joined = rows.join(shares, (rows[key] == shares[key]) & rows[name].eqNullSafe(shares[name]))
+    return joined.select(*[rows[c] for c in kept.columns if c != key], "copies", "taken")
