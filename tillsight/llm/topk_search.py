@@ -2,8 +2,8 @@
 
 Vectors become integers, floor(scale * x). An orthogonal rotation, from the singular value
 decomposition of all vectors' Gram matrix, puts the most of every product into the first dimensions.
-Candidates are range-partitioned by falling length into blocks, one matrix each. A block meets the
-queries a block at a time; within it, tiles follow falling length. For each tile the bound
+Candidates are range-partitioned by falling length into blocks, one matrix each. A block of queries goes to those
+blocks only whose longest vector can still reach a query's k-th best score; within a block, tiles follow falling length. For each tile the bound
 is partial product over the first dimensions plus the product of both residual lengths. Only
 pairs whose bound reaches the query's k-th best score so far get their exact integer product. That
 score starts from the longest vectors, which every query is compared with first.
@@ -58,14 +58,18 @@ def rotation(vectors: DataFrame, dim: int) -> np.ndarray:
     return turned.T
 
 
-def _pack(dim: int, rows: int, falling: bool):
-    """(block, id, vec) in order to one (block, ids, matrix) row per run of at most ``rows`` of a block."""
+PACKED = "ids binary, matrix binary, longest double"
+
+
+def _pack(rows: int):
+    """(id, vec) in order to one (ids, matrix, longest length) row per run of at most ``rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(ids, matrix):
+            longest = float(np.sqrt((np.asarray(matrix, float) ** 2).sum(axis=1)).max())
             return pa.RecordBatch.from_arrays(
-                [pa.array([np.asarray(ids, np.int64).tobytes()]), pa.array([np.asarray(matrix, np.int64).tobytes()])],
-                ["ids", "matrix"])
+                [pa.array([np.asarray(ids, np.int64).tobytes()]), pa.array([np.asarray(matrix, np.int64).tobytes()]),
+                 pa.array([longest])], ["ids", "matrix", "longest"])
 
         ids, matrix = [], []
         for batch in batches:
@@ -168,24 +172,27 @@ def _compare(dim: int, k: int, turned: np.ndarray, with_floor: bool):
     return run
 
 
-def _floors(k: int):
-    """(query_ids, queries, ids, matrix) of the longest block to the k-th score per query, or -inf."""
-
-    def of(dim: int, turned: np.ndarray):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for line in batch.to_pylist():
-                    names = np.frombuffer(line["query_ids"], np.int64)
-                    search = Search(names, _matrix(line["queries"], dim), turned, k)
-                    search.offer(np.frombuffer(line["ids"], np.int64)[:TILE], _matrix(line["matrix"], dim)[:TILE])
-                    floor = np.where(search.filled.all(axis=1), search.scores[:, -1].astype(float), -np.inf)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([line["query_ids"]]), pa.array([line["queries"]]), pa.array([floor.tobytes()])],
-                        ["query_ids", "queries", "floor"])
+def _floors(k: int, dim: int, turned: np.ndarray, longest):
+    """(query_ids, queries) to the k-th score of each query among the longest vectors, or -inf, and the length below
+    which no block of candidates can matter to any of the queries."""
 
-        return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, matrix = longest.value
+        for batch in batches:
+            for line in batch.to_pylist():
+                names = np.frombuffer(line["query_ids"], np.int64)
+                search = Search(names, _matrix(line["queries"], dim), turned, k)
+                search.offer(ids, matrix)
+                floor = np.where(search.filled.all(axis=1), search.scores[:, -1].astype(float), -np.inf)
+                size = np.sqrt((search.queries.astype(float) ** 2).sum(axis=1))
+                # the same slack as in the search: size * length * (1 + 1e-9) + 1e-6 reaches the floor
+                least = np.full(len(size), -np.inf)
+                np.divide(floor - 1e-6, size * (1 + 1e-9), out=least, where=size > 0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([line["query_ids"]]), pa.array([line["queries"]]), pa.array([floor.tobytes()]),
+                     pa.array([float(least.min())])], ["query_ids", "queries", "floor", "least"])
 
-    return of
+    return run
 
 
 def _one_dimension(candidates: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFrame:
@@ -196,23 +203,26 @@ def _one_dimension(candidates: DataFrame, queries: DataFrame, dim: int, k: int)
     parts = max(1, -(-count // BLOCK_ROWS))
     ordered = candidates.withColumn("length", -length).repartitionByRange(parts, "length", "vec_id")
     packed = ordered.sortWithinPartitions("length", "vec_id").select("length", "vec_id", "vec")
-    blocks = settle(packed.select("vec_id", "vec").mapInArrow(_pack(dim, BLOCK_ROWS, True), "ids binary, matrix binary"),
-                    "blocks")
+    blocks = settle(packed.select("vec_id", "vec").mapInArrow(_pack(BLOCK_ROWS), PACKED)
+                    .withColumn("block", F.monotonically_increasing_id()), "blocks")
     groups = max(1, -(-queries.count() // QUERY_ROWS))
     asked = settle(queries.repartition(groups, "vec_id").sortWithinPartitions("vec_id").mapInArrow(
-        _pack(dim, QUERY_ROWS, False), "ids binary, matrix binary").select(
-        F.col("ids").alias("query_ids"), F.col("matrix").alias("queries")), "queries")
-    # The longest vectors first: they set the score each query must reach.
-    longest = settle(candidates.withColumn("length", -length).orderBy("length", "vec_id").limit(TILE)
-                     .coalesce(1).sortWithinPartitions("length", "vec_id").select("vec_id", "vec")
-                     .mapInArrow(_pack(dim, TILE, True), "ids binary, matrix binary"), "longest")
-    floors = settle(asked.crossJoin(F.broadcast(longest)).mapInArrow(
-        _floors(k)(dim, turned), "query_ids binary, queries binary, floor binary"), "floors")
-    # Every query block meets every candidate block: a stated query set against all rows, in blocks.
-    meetings = floors.crossJoin(blocks)
+        _pack(QUERY_ROWS), PACKED).select(F.col("ids").alias("query_ids"), F.col("matrix").alias("queries")), "queries")
+    # The longest vectors first, TILE of them: they set the score each query must reach.
+    first = candidates.withColumn("length", -length).orderBy("length", "vec_id").limit(TILE).collect()
+    shared = candidates.sparkSession.sparkContext.broadcast(
+        (np.array([r["vec_id"] for r in first], np.int64), np.array([r["vec"] for r in first], np.int64).reshape(-1, dim)))
+    floors = settle(asked.mapInArrow(
+        _floors(k, dim, turned, shared), "query_ids binary, queries binary, floor binary, least double"), "floors")
+    # A stated query set against all rows, in blocks: queries go to the blocks whose longest vector can reach a floor.
+    # The table of lengths has a row per BLOCK_ROWS candidates.
+    lengths = blocks.agg(F.collect_list(F.struct("block", "longest"))).scalar()
+    sent = floors.withColumn("to", F.explode(lengths)).filter("to.longest >= least").select(
+        "query_ids", "queries", "floor", F.col("to.block").alias("block"))
+    meetings = sent.join(blocks, "block").select("query_ids", "queries", "floor", "ids", "matrix")
+    # one meeting of matrices a task, or a few
     meetings = meetings.repartition(F.xxhash64("query_ids"), F.xxhash64("ids"))
-    found = meetings.mapInArrow(_compare(dim, k, turned, True), "query_id bigint, vec_id bigint, score bigint")
-    return found
+    return meetings.mapInArrow(_compare(dim, k, turned, True), "query_id bigint, vec_id bigint, score bigint")
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_column: str = "vec_id",
