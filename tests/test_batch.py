@@ -1,5 +1,7 @@
 """Batch run: dispatch, isolation, repeatability; sources and sinks."""
 
+import datetime as dt
+
 import pytest
 from conftest import plan, values
 from pyspark.sql import Row
@@ -190,6 +192,46 @@ def test_catalog_source_and_missing_tables(spark, frame, tmp_path):
         SR.read_or_empty(spark, source, "select nothing from feed_view", schema)
 
 
+@pytest.mark.parametrize("keys, parts", [
+    ([None] * 30 + [5] * 100 + list(range(60)), 8), (["a'b", "c", None, "ü", "a'b"], 3), ([1, 1, 1], 4), ([None, None], 4), ([], 4),
+    ([dt.date(2020, 1, 1) + dt.timedelta(i % 50) for i in range(200)], 5), ([0.5, -1.5, 2.25] * 5, 3)])
+def test_splits_cover_every_row_once(spark, keys, parts):
+    kind = {str: "string", int: "int", float: "double", dt.date: "date"}[next((type(k) for k in keys if k is not None), int)]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], f"key {kind}, row int")
+    df.createOrReplaceTempView("split_view")
+    bounds = [r[0] for r in spark.sql(SR.bounds_query("split_view", "key", parts)).collect()]
+    assert len(bounds) < parts
+    predicates = SR.split_predicates("key", bounds)
+    sizes = [df.filter(p).count() for p in predicates]
+    seen = sorted(r.row for p in predicates for r in df.filter(p).collect())
+    assert seen == list(range(len(keys)))
+    filled = [k for k in keys if k is not None]
+    if filled:  # no split is larger than its heaviest key and one part
+        heaviest = max(filled.count(k) for k in set(filled))
+        assert max(sizes[1:]) <= heaviest + len(filled) // parts + 1
+    read = SR.read_split(spark, SR.Source("catalog"), "select key, row from split_view", "key", parts)
+    assert values(read, "key", "row") == values(df, "key", "row")
+
+
+def test_split_reads_ask_jdbc_for_each_split(spark, monkeypatch, frame):
+    asked = {}
+    monkeypatch.setattr(SR, "read_table", lambda spark, source, name: frame([(10,), (20,)], "split_key int"))
+
+    class Reader:
+        def jdbc(self, url, table, predicates=None, properties=None):
+            asked.update(url=url, table=table, predicates=predicates, properties=properties)
+
+    class Session:
+        read = Reader()
+
+    source = SR.Source("jdbc", options={"url": "jdbc:x", "user": "u"}, partition=("a", "0", "9", 3))
+    SR.read_split(Session(), source, "select * from feed", "id", 3)
+    assert asked == {"url": "jdbc:x", "table": "(select * from feed) AS source_query", "properties": {"fetchsize": "10000", "user": "u"},
+                     "predicates": ["id IS NULL", "id < 10", "id >= 10 AND id < 20", "id >= 20"]}
+    SR.read_split(Session(), source, "feed", "id", 3)
+    assert asked["table"] == "feed"
+
+
 def test_sources_that_fail_in_their_own_way(spark, frame):
     schema = frame([("a", 1)], "mobile string, n int").schema
     jdbc = SR.Source("jdbc", options={"url": "jdbc:none://nowhere/none"})

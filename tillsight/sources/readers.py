@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from datetime import date, datetime
+from decimal import Decimal
+from itertools import pairwise
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # The error conditions that mean "no such table".
@@ -48,6 +52,56 @@ def jdbc_options(source: Source, name: str) -> dict[str, str]:
     return options
 
 
+def bounds_query(name: str, column: str, parts: int) -> str:
+    """Query for the keys that cut a table or query into ``parts`` of equal depth: fewer than ``parts`` rows come back."""
+    table = f"({name}) AS source_query" if is_query(name) else name
+    return (f"SELECT DISTINCT split_key FROM (SELECT {column} AS split_key, row_number() OVER (ORDER BY {column}) AS place, "
+            f"count(*) OVER () AS total FROM {table} WHERE {column} IS NOT NULL) AS numbered "
+            f"WHERE place > 1 AND floor((place - 1) * {parts} / total) > floor((place - 2) * {parts} / total)")
+
+
+def literal(value) -> str:
+    """A key as SQL text."""
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    if isinstance(value, (date, datetime)):
+        return f"{'TIMESTAMP' if isinstance(value, datetime) else 'DATE'} '{value}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def split_predicates(column: str, bounds: Iterable) -> list[str]:
+    """Conditions that give every row to exactly one split: nulls to one, then the ranges between the sorted bounds.
+
+    A key that holds many rows is a bound once, however often equal depth would cut there, and so
+    shares its split with the keys up to the next bound only.
+    """
+    cuts = [literal(b) for b in sorted(set(bounds))]
+    if not cuts:
+        return [f"{column} IS NULL", f"{column} IS NOT NULL"]
+    middle = [f"{column} >= {low} AND {column} < {high}" for low, high in pairwise(cuts)]
+    return [f"{column} IS NULL", f"{column} < {cuts[0]}", *middle, f"{column} >= {cuts[-1]}"]
+
+
+def read_split(spark: SparkSession, source: Source, name: str, column: str, parts: int) -> DataFrame:
+    """Read a table or query in splits of about equal depth by a key column, one partition each.
+
+    One bounded query asks the source for the cuts. A JDBC source then runs one query per split; any other is
+    read once, with the split's rows in the partition of its number.
+    """
+    bounds = [row[0] for row in read_table(spark, source, bounds_query(name, column, parts)).collect()]
+    predicates = split_predicates(column, bounds)
+    if source.format == "jdbc":
+        options = {**jdbc_options(Source("jdbc", options=source.options, fetch_size=source.fetch_size), name)}
+        table = options.pop("query", None)
+        table = f"({table}) AS source_query" if table else options.pop("dbtable")
+        return spark.read.jdbc(options.pop("url"), table, predicates=predicates, properties=options)
+    number = F.lit(None).cast("int")
+    for i, predicate in enumerate(predicates):
+        number = F.when(F.expr(predicate), i).otherwise(number)
+    rows = read_table(spark, source, name).withColumn("split_number", number)
+    return rows.repartitionByRange(len(predicates), "split_number").drop("split_number")
+
+
 def read_table(spark: SparkSession, source: Source, name: str) -> DataFrame:
     """Read a table, or for JDBC and catalog sources a query."""
     if source.format == "jdbc":

@@ -120,6 +120,14 @@ def _(v):
     return SW.upsert_latest(old, trailing_window(rows, "txn_date", ASOF, CW), ["mobile"], "txn_date")
 
 
+@sql_query("s1_split_read", """
+    SELECT bill, item, count(*) AS lines, 1 AS splits FROM sku GROUP BY bill, item""")
+def _(v):
+    v.sku.createOrReplaceTempView("split_source")
+    rows = SR.read_split(v.spark, SR.Source("catalog"), "split_source", "bill", 16).withColumn("split", F.spark_partition_id())
+    return rows.groupBy("bill", "item").agg(F.count("*").alias("lines"), F.countDistinct("split").alias("splits"))
+
+
 @sql_query("s7_upsert_store", """
     SELECT mobile, CAST(txn_date AS VARCHAR) AS txn_date, bill, CAST(amount AS DOUBLE) AS amount FROM (
         SELECT *, row_number() OVER (PARTITION BY mobile ORDER BY txn_date DESC, is_new DESC, bill DESC, amount DESC)
