@@ -220,6 +220,20 @@ def test_naive_bayes_against_brute_force(frame):
     assert values(got, "text_id", "label") == expected
 
 
+def test_rare_terms_never_shuffle(spark):
+    rare = spark.range(50_000).select(F.concat(F.lit("rare"), F.col("id")).alias("token"))
+    often = spark.range(3_000).select(F.concat(F.lit("often"), F.col("id") % 30).alias("token"))
+    nulls = spark.range(40).select(F.lit(None).cast("string").alias("token"))
+    rows = rare.union(often).union(nulls)
+    left = T.maybe_frequent(rows, 15).groupBy(F.col("token").startswith("often").alias("often")).count().collect()
+    left = {r.often: r["count"] for r in left}
+    assert left[True] == 3_000 and left[None] == 40 and left.get(False, 0) < 100  # at most what shares a bucket with a frequent token
+    found = T.frequent_terms(rows, 15, 100).collect()
+    assert [tuple(r) for r in found] == sorted((f"often{i}", 100) for i in range(30)) + [(None, 40)]
+    assert T.frequent_terms(rows, 101, 100).count() == 0
+    assert T.frequent_terms(rows.limit(0), 2, 5).count() == 0
+
+
 def test_frequent_terms_and_stems(frame):
     rows = frame([("aa",)] * 3 + [("bb",)] * 2 + [("cc",)] * 2 + [("dd",)], "token string")
     assert [tuple(r) for r in T.frequent_terms(rows, 2, 2).collect()] == [("aa", 3), ("bb", 2)]

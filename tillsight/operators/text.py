@@ -17,6 +17,8 @@ from tillsight.operators.matching import many_to_one, matched
 from tillsight.operators.ranking import first_match
 from tillsight.session import settle
 
+TERM_BUCKETS = 1 << 20  # of tokens by hash, each with one count
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -72,8 +74,37 @@ def stem_tokens(token_rows: DataFrame, stems: DataFrame) -> DataFrame:
     return stemmed.select(*others, F.coalesce("stem", "token").alias("token"))
 
 
+def frequent_buckets(token_rows: DataFrame, min_count: int) -> DataFrame:
+    """The hash buckets that hold at least ``min_count`` token rows: at most ``TERM_BUCKETS`` numbers.
+
+    A bucket counts all of its tokens, so it holds no fewer rows than any one of them.
+    """
+    counts = token_rows.groupBy(_term_bucket().alias("bucket")).agg(F.count("*").alias("rows"))
+    return counts.filter(F.col("rows") >= min_count).select("bucket")
+
+
+def maybe_frequent(token_rows: DataFrame, min_count: int) -> DataFrame:
+    """The token rows less those of buckets too small for any token to be seen ``min_count`` times.
+
+    The buckets' number is bounded whatever the input, so they go to every task and the rows that
+    they leave out are not shuffled. The tokens are read twice.
+    """
+    bucket, columns = "term_bucket", token_rows.columns
+    wanted = F.broadcast(frequent_buckets(token_rows, min_count).withColumnRenamed("bucket", bucket))
+    return token_rows.withColumn(bucket, _term_bucket()).join(wanted, bucket, "left_semi").select(*columns)
+
+
+def _term_bucket() -> Column:
+    return F.pmod(F.xxhash64("token"), F.lit(TERM_BUCKETS)).cast("int")
+
+
 def frequent_terms(token_rows: DataFrame, min_count: int = 15, n: int = 50) -> DataFrame:
-    """The n most frequent tokens among those seen at least ``min_count`` times."""
+    """The n most frequent tokens among those seen at least ``min_count`` times; null counts as one.
+
+    Tokens that are surely rarer are left out before any token is shuffled.
+    """
+    if min_count > 1:
+        token_rows = maybe_frequent(token_rows, min_count)
     counts = token_rows.groupBy("token").agg(F.count("*").alias("count"))
     return counts.filter(F.col("count") >= min_count).orderBy(F.desc("count"), "token").limit(n)
 
