@@ -4,6 +4,7 @@ import collections
 import hashlib
 import html
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -263,6 +264,17 @@ def test_html_extraction():
     assert main_text(None) == main_text("") == main_text("<p></p>") == main_text("<script>a</script>") == ""
 
 
+def test_html_of_malformed_and_deep_pages():
+    assert main_text("<body><p>one text</p><![foo[x]]><p>and more</p>") == "one text\nand more"
+    assert main_text("<div><b class='ad'>x<div>y</b> z</div>d</div>") == "d"  # closed below an open block, b hides no later text
+    for start in ("<div>", "<b>", "<p><b>", "<b><div>"):
+        for end in ("", "</div>", "</b>", "</p></b>", "<p>x</i>"):
+            page = start * 20_000 + "abc def" + end * 20_000
+            begun = time.time()
+            assert main_text(page).startswith("abc def")
+            assert time.time() - begun < 5
+
+
 def test_html_cores_choose_the_regions():
     long = ("words of the text " * 20).strip()
     links = "<div><a href=/a>one</a><a href=/b>two</a><a href=/c>three</a></div>" * 4

@@ -14,6 +14,7 @@ footers, sidebars and elements named as adverts, notices, comments and the like
 
 from __future__ import annotations
 
+import collections
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -66,7 +67,9 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []  # element, region, shut out
+        self.stack: list[tuple[str, int, bool]] = []  # element ("" once closed below an open block), region, shut out
+        self.places: dict[str, list[int]] = collections.defaultdict(list)  # of each element's open ones in the stack
+        self.blocks: list[int] = []  # places of the open block elements
         self.lines: list[tuple[str, int, int]] = []  # text, tags, region
         self.regions = 0
         self.rooted: set[int] = set()
@@ -112,46 +115,63 @@ class Lines(HTMLParser):
                 self.whole.add(region)
             elif tag in ("td", "blockquote"):
                 self.inset.add(region)
+        self.places[tag].append(len(self.stack))
+        if tag in BLOCK:
+            self.blocks.append(len(self.stack))
         self.stack.append((tag, region, out))
 
+    def drop(self, place: int) -> None:
+        """Close the elements from a place of the stack on, and closed ones that come to stand on top."""
+        while self.stack and (len(self.stack) > place or not self.stack[-1][0]):
+            tag = self.stack.pop()[0]
+            if tag:
+                self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
     def open_region(self, around: int) -> int:
         self.regions += 1
         self.around.append(around)
         return self.regions
 
-    def counts(self, region: int, cores: set[int]) -> bool:
-        """Whether a region has a core, or is a nested block of one that has."""
-        while region not in cores:
-            outer = self.around[region]
-            if region in self.rooted or region in self.whole or outer in self.whole and region not in self.inset:
-                return False
-            region = outer
-        return True
+    def content_regions(self, cores: set[int]) -> list[bool]:
+        """By region, whether it has a core or is a nested block of one that has."""
+        counts: list[bool] = []
+        for region, outer in enumerate(self.around):  # what a region stands in has a smaller number
+            own = region in self.rooted or region in self.whole or outer in self.whole and region not in self.inset
+            counts.append(region in cores or not own and counts[outer])
+        return counts
 
     def close_open(self, tag: str, barrier: frozenset) -> None:
         """Close an element whose end tag may be left out, unless a barrier element stands between."""
-        for n in range(len(self.stack) - 1, -1, -1):
-            if self.stack[n][0] == tag:
-                self.cut()
-                del self.stack[n:]
-                return
-            if self.stack[n][0] in barrier:
-                return
+        places = self.places.get(tag)
+        if places and not any(self.places[other][-1] > places[-1] for other in barrier if self.places.get(other)):
+            self.cut()
+            self.drop(places[-1])
 
     def handle_endtag(self, tag):
         self.tags += 1
-        if tag in VOID or not any(name == tag for name, _, _ in self.stack):
+        places = self.places.get(tag)
+        if tag in VOID or not places:
             if tag in BLOCK:
                 self.cut()
             return
-        depth = max(n for n, (name, _, _) in enumerate(self.stack) if name == tag)
-        if tag not in BLOCK and any(name in BLOCK for name, _, _ in self.stack[depth + 1 :]):
+        place = places[-1]
+        if tag not in BLOCK and self.blocks and self.blocks[-1] > place:
             # a misplaced end tag of a run-on element such as b: blocks above stay open
-            self.stack.pop(depth)
+            places.pop()
+            self.stack[place] = ("", *self.stack[place][1:])
             return
         if tag in BLOCK:
             self.cut()
-        del self.stack[depth:]
+        self.drop(place)
+
+    def parse_marked_section(self, i, report=1):
+        """A marked section of a kind the parser does not know is a comment."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
 
     def handle_data(self, data):
         if not self.top()[2]:
@@ -197,7 +217,8 @@ def main_text(html: str | None) -> str:
     core = upper_cluster(smooth)
     core &= ratios >= smooth[core].min() - 1e-9
     cores = {region for (_, _, region), kept in zip(parser.lines, core, strict=True) if kept}
-    return "\n".join(text for text, _, region in parser.lines if parser.counts(region, cores))
+    counts = parser.content_regions(cores)
+    return "\n".join(text for text, _, region in parser.lines if counts[region])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +233,8 @@ def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
     Character references are decoded, white space (ASCII) inside a block becomes one space, blocks
     are trimmed and joined by newline in page order. A line break element counts as white space. Null and
     empty pages, and pages without content, have the empty text. Rows are read one by one: repeated
-    rows repeat, very long pages are read whole, unclosed elements end with their container. All
+    rows repeat, very long pages are read whole, unclosed elements end with their container, and unknown
+    marked sections are comments; the work is linear in the page however deep it nests. All
     other columns pass through; a column of the input named text is replaced. An empty table gives
     an empty one.
     """
