@@ -12,7 +12,9 @@ left out at the join, without loss. Larger sets have a second sketch that grows
 overlaps are counted per pair and fragment, and summed per pair. Equal sets are one class, of which
 only one takes part. Under a key, every class first meets the smallest one only, and is verified
 with the one it meets most often. What these links connect needs no further pair; only classes of
-different components under one key are paired in the second round, which loses none.
+different components under one key are paired in the second round, which loses none. There every row
+carries the few keys that its class has just before; two classes that have one of these in common have
+met there already, so that a pair hardly comes out again under its later keys.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.llm.base import release, scratch, settle, sized
@@ -32,7 +34,8 @@ from tillsight.operators.matching import many_to_one
 BUCKETS = 1 << 20  # of the shingle counts; their levels, a byte each, are all that is broadcast
 PARTS = 256  # in which the counts are summed
 SLICES = 4  # fragments in which overlaps are counted
-GROUP = 1_000  # about so many partners meet one copy of their centre's fragment
+GROUP = 100  # about so many partners meet one copy of their centre's fragment
+BEFORE = 4  # keys of a class that travel with its next one
 BITS = 512  # of a sketch
 SKETCH = [f"s{i}" for i in range(BITS // 64)]
 
@@ -355,15 +358,6 @@ class NgramJoin:
         release(wanted, pairs)
         return good
 
-    def enough(self):
-        """Whether two sets may reach the threshold, going by their sizes and the prefix shingles they share.
-
-        Beyond the prefix that ends first, at most what its set has left can be common.
-        """
-        a, b = F.col("n_shingles_a"), F.col("n_shingles_b")
-        left = F.ceil(F.greatest(a, b) * self.num / self.den) - 1
-        return (F.col("keys") + left) * (self.den + self.num) >= (a + b) * self.num
-
     def links(self) -> DataFrame:
         """Verified links between classes; their components are those of all links."""
         keys = self.shared_keys()
@@ -390,14 +384,18 @@ class NgramJoin:
         rest = settle(many_to_one(placed, open_keys, ["key"], "left_semi"), "open")
         release(placed)
         # Under an open key, a component's classes meet those of other components only.
-        sketched = settle(self.sketched(rest, "node", "_a"), "sketched")
+        own_keys = Window.partitionBy("node").orderBy("key")  # as many rows as one text's prefix
+        before = F.collect_list("key").over(own_keys.rowsBetween(-BEFORE, -1))
+        sketched = settle(self.sketched(rest.withColumn("before_a", before), "node", "_a"), "sketched")
         release(rest)
-        other = sketched.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"),
-                            *[F.col(c + "_a").alias(c + "_b") for c in ("n_shingles", *SKETCH)]).withColumnRenamed("key", "key_b")
+        other = sketched.select(
+            F.col("key").alias("key_b"), F.col("node").alias("b"), F.col("label").alias("label_b"),
+            *[F.col(c + "_a").alias(c + "_b") for c in ("n_shingles", "before", *SKETCH)])
         meet = (F.col("key") == F.col("key_b")) & (F.col("label") != F.col("label_b")) & (F.col("node") < F.col("b"))
-        pairs = sketched.join(other, meet & self.able("_a", "_b")).groupBy(F.col("node").alias("a"), "b").agg(
-            F.count("*").alias("keys"), *[F.first(c).alias(c) for c in ("n_shingles_a", "n_shingles_b")])
-        pairs = self.sieved(pairs.filter(self.enough()).join(stars, ["a", "b"], "left_anti"))
+        # The first common key has no common one before it, so every pair comes out there at least.
+        pairs = sketched.join(other, meet & self.able("_a", "_b") & ~F.arrays_overlap("before_a", "before_b")).groupBy(
+            F.col("node").alias("a"), "b").agg(*[F.first(c).alias(c) for c in ("n_shingles_a", "n_shingles_b")])
+        pairs = self.sieved(pairs.join(stars, ["a", "b"], "left_anti"))
         links = first.unionByName(self.verified(pairs))
         release(stars, sketched)
         return links
