@@ -10,10 +10,12 @@ from decimal import Decimal
 from itertools import pairwise
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillsight.session import settle
+
 # The error conditions that mean "no such table".
 MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -82,19 +84,38 @@ def split_predicates(column: str, bounds: Iterable) -> list[str]:
     return [f"{column} IS NULL", f"{column} < {cuts[0]}", *middle, f"{column} >= {cuts[-1]}"]
 
 
+def bounds(rows: DataFrame, column: str, parts: int) -> list:
+    """The keys of ``bounds_query``, found by Spark: no task sees more than a range of the distinct keys.
+
+    A key is a cut if one of its rows, counted in key order, is the first of a part.
+    """
+    counts = rows.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("split_key")).agg(F.count("*").alias("rows"))
+    ranged = settle(counts.repartitionByRange("split_key").withColumn("slot", F.spark_partition_id()), "split-keys")
+    before = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    sizes = ranged.groupBy("slot").agg(F.sum("rows").alias("size"))
+    starts = sizes.select("slot", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    total = sizes.agg(F.sum("size")).scalar()
+    upto = F.col("start") + F.sum("rows").over(Window.partitionBy("slot").orderBy("split_key"))
+    ends = ranged.join(starts, "slot").select("split_key", "rows", upto.alias("end"))
+    first, last = F.greatest(F.col("end") - F.col("rows"), F.lit(1)) - 1, F.col("end") - 1
+    later = F.floor(last * parts / total) > F.floor(first * parts / total)
+    return [row[0] for row in ends.filter(later).select("split_key").collect()]  # fewer than ``parts``
+
+
 def read_split(spark: SparkSession, source: Source, name: str, column: str, parts: int) -> DataFrame:
     """Read a table or query in splits of about equal depth by a key column, one partition each.
 
-    One bounded query asks the source for the cuts. A JDBC source then runs one query per split; any other is
-    read once, with the split's rows in the partition of its number.
+    A JDBC source is asked for the cuts by one bounded query and then runs one query per split; any other is
+    read for the cuts by Spark and once more for the rows, with a split's rows in the partition of its number.
     """
-    bounds = [row[0] for row in read_table(spark, source, bounds_query(name, column, parts)).collect()]
-    predicates = split_predicates(column, bounds)
     if source.format == "jdbc":
+        cuts = [row[0] for row in read_table(spark, source, bounds_query(name, column, parts)).collect()]
+        predicates = split_predicates(column, cuts)
         options = {**jdbc_options(Source("jdbc", options=source.options, fetch_size=source.fetch_size), name)}
         table = options.pop("query", None)
         table = f"({table}) AS source_query" if table else options.pop("dbtable")
         return spark.read.jdbc(options.pop("url"), table, predicates=predicates, properties=options)
+    predicates = split_predicates(column, bounds(read_table(spark, source, name), column, parts))
     number = F.lit(None).cast("int")
     for i, predicate in enumerate(predicates):
         number = F.when(F.expr(predicate), i).otherwise(number)
