@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What cleaning strips, what parts tokens, and the least length of a token.
-NOT_LETTERS = r"[^A-Za-z\s]+"
+NOT_LETTERS = r"[^\p{Alpha}\s]+"
 BETWEEN_TOKENS = r"[^\p{L}\p{N}_]+"
 MIN_TOKEN = 2
 
