@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tillsight.functions.scalars import hash_below
-from tillsight.operators.factors import BLOCK, CELLS, SMALL_BLOCK, SPREAD, factor_scores
+from tillsight.operators.factors import BLOCK, CELLS, block_counts, factor_scores
 from tillsight.operators.filters import known_pairs
 from tillsight.session import settle
 
@@ -96,10 +96,7 @@ def held_out_auc(users: DataFrame, items: DataFrame, user_item: DataFrame, share
         popularity, "item", "left").withColumn("popularity", F.coalesce("popularity", F.lit(0.0))), "goods")
     held = truth.filter("held").select("user", "item")
     scored = factor_scores(held, users, goods.select("item", "factors")).join(goods.select("item", "popularity"), "item")
-    rows = F.count("*")
-    needed = F.greatest(F.ceil(rows / block), F.lit(1)).cast("int")
-    spread = F.least(F.ceil(rows / SMALL_BLOCK), F.lit(SPREAD)).cast("int")
-    user_blocks, item_blocks = users.agg(F.greatest(needed, spread)).scalar(), goods.agg(needed).scalar()
+    user_blocks, item_blocks = block_counts(users, goods, block)
     user_type, item_type = users.schema["user"].dataType, items.schema["item"].dataType
 
     def every(count: Column) -> Column:
