@@ -21,6 +21,7 @@ from tillsight.llm.mixing import mix
 from tillsight.llm.ngram_join import _met, keep_one, near_duplicates, sketches_apart, wide_sketch
 from tillsight.llm.quality import kth_largest, select_quality
 from tillsight.llm.topk_search import top_k
+from tillsight.llm import toxicity
 from tillsight.llm.toxicity import fit_toxicity
 from tillsight.llm.url_rules import judge
 
@@ -394,6 +395,21 @@ def test_toxicity_generalises(spark):
     assert fit_toxicity(frame, labels.limit(0)).score(frame.limit(3)).first().score == 0.5
 
 
+def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 200)
+    rng = np.random.default_rng(8)
+    seen, step = [], toxicity.fit_on
+    monkeypatch.setattr(toxicity, "fit_on", lambda rows, state, counts: seen.append((rows.count(), sum(counts.values()))) or step(rows, state, counts))
+    rows = [doc(i, prose(i, int(rng.integers(5, 40))) + (" vile" if i % 3 == 0 else "")) for i in range(900)]
+    marks = [(i, 1, int(i % 3 == 0)) for i in range(900)]
+    frame, labels = spark.createDataFrame(rows, DOCS), spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    scores = {r.doc_id: r.score for r in fit_toxicity(frame, labels, sample=200).score(frame).collect()}
+    import zlib
+    fitted = [i for i in range(900) if zlib.crc32(str(i).encode()) % 5 > 1]
+    assert seen == [(len(fitted), len(fitted))]  # 200 at most before
+    assert sum((scores[i] >= 0.5) == (t == 1) for i, _, t in marks) >= 0.95 * 900
+
+
 @pytest.mark.parametrize("size", [1.0, 1e7, 1e15])
 def test_top_k_equals_brute_force(spark, size):
     rng = np.random.default_rng(5)

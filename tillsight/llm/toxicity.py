@@ -3,8 +3,8 @@
 A word's embedding is the sum of two hashed ones, of the word and of its first four bytes, so that
 inflected forms share what they learn. Filters of several widths run over the words of the whole
 text; each filter's largest response, with a floor of zero, is a feature of a logistic output. Only
-the positions of those maxima carry gradients. The model is fitted on a bounded sample of labelled
-documents and small enough to be sent to every task; scores use the text alone. Thresholds per
+the positions of those maxima carry gradients. The model is fitted first on some labelled
+documents, then by all tasks at once on every one, and small enough to be sent to each; scores use the text alone. Thresholds per
 language are calibrated on labelled documents kept out of the fit, and reported beside the score.
 """
 
@@ -26,8 +26,11 @@ STEM_BYTES = 4
 SIZE = 16  # of an embedding
 WIDTHS = (1, 2, 3)
 FILTERS = 8  # of each width
-SAMPLE = 6_000  # labelled documents that the model is fitted on, at most; half of them toxic if there are so many
+SAMPLE = 6_000  # labelled documents that the first fit takes, at most; half of them toxic if there are so many
 STEPS, EPOCHS = 30_000, (6, 40)  # documents seen while fitting, and the least and most passes that takes
+ROUNDS, MOST_PARTS = 2, 64  # passes over all labelled documents where there are more, and the most partitions of one
+MOVE_BLOCKS = 32
+BINS = 64  # of the log odds, a unit, in which calibration documents are counted
 RATE = 0.08
 SCORE_BYTES = 1 << 19  # of text scored at once
 HELD_OUT = "crc32(cast(doc_id as string)) % 5 = 0"
@@ -92,54 +95,131 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(tall.astype(np.float64) @ self.out + self.shift, -40, 40)))
 
 
-def fit(sample: list[tuple[np.ndarray, np.ndarray, int]], epochs: int | None = None, rate: float = RATE) -> Network:
-    """Fit by AdaGrad, one document at a time; classes weigh the same."""
-    net = Network.fresh()
+def fresh_sums(net: Network) -> dict:
+    """AdaGrad's sums of squares before the first step."""
+    return {"table": np.full(len(net.table), 1e-2, np.float32), "out": np.full(len(net.out), 1e-2), "shift": 1e-2,
+            "bias": np.full(len(net.bias), 1e-2), "filters": [np.full(f.shape, 1e-2, np.float32) for f in net.filters]}
+
+
+def learn(net: Network, grads: dict, words: np.ndarray, stems: np.ndarray, y: int, share: dict, rate: float) -> None:
+    """One AdaGrad step on one document."""
+    tall, where, embedded = net.responses(words, stems, np.array([0, len(words)]))
+    p = 1 / (1 + np.exp(-np.clip(float(tall[0] @ net.out) + net.shift, -40, 40)))
+    error = (p - y) * share[y]
+    if abs(error) < 1e-3:
+        return
+    back = error * net.out
+    step = error * tall[0]
+    grads["out"] += step * step
+    net.out -= (rate * step / np.sqrt(grads["out"])).astype(np.float32)
+    grads["shift"] += error * error
+    net.shift -= rate * error / np.sqrt(grads["shift"])
+    for n, width in enumerate(WIDTHS):
+        for f in range(FILTERS):
+            col = n * FILTERS + f
+            at = int(where[0, col])
+            if at < 0:
+                continue
+            g = np.float32(back[col])
+            reach = min(width, len(words) - at)
+            span = embedded[at : at + reach]
+            kernel = net.filters[n][:reach, :, f].copy()
+            step = g * span
+            grads["filters"][n][:reach, :, f] += step * step
+            net.filters[n][:reach, :, f] -= rate * step / np.sqrt(grads["filters"][n][:reach, :, f])
+            grads["bias"][col] += g * g
+            net.bias[col] -= rate * g / np.sqrt(grads["bias"][col])
+            for k in range(reach):
+                move = g * kernel[k]
+                for row in (words[at + k], stems[at + k]):
+                    grads["table"][row] += float(move @ move) / SIZE
+                    net.table[row] -= rate * move / np.sqrt(grads["table"][row])
+
+
+def fit(sample: list[tuple[np.ndarray, np.ndarray, int]], epochs: int | None = None, rate: float = RATE,
+        state: tuple[Network, dict] | None = None, share: dict | None = None) -> Network:
+    """Fit by AdaGrad, one document at a time; classes weigh the same. A ``state`` of network and sums is fitted on, in place."""
+    net, grads = state or ((start := Network.fresh()), fresh_sums(start))
     rng = np.random.default_rng(9)
-    grads = {"table": np.full(len(net.table), 1e-2, np.float32), "out": np.full(len(net.out), 1e-2), "shift": 1e-2,
-             "bias": np.full(len(net.bias), 1e-2), "filters": [np.full(f.shape, 1e-2, np.float32) for f in net.filters]}
     positive = sum(y for *_, y in sample)
-    share = {1: len(sample) / (2 * max(1, positive)), 0: len(sample) / (2 * max(1, len(sample) - positive))}
+    share = share or {1: len(sample) / (2 * max(1, positive)), 0: len(sample) / (2 * max(1, len(sample) - positive))}
     passes = epochs or min(max(STEPS // len(sample), EPOCHS[0]), EPOCHS[1])
     for _ in range(passes):
         for i in rng.permutation(len(sample)):
             words, stems, y = sample[i]
-            if not len(words):
-                continue
-            tall, where, embedded = net.responses(words, stems, np.array([0, len(words)]))
-            p = 1 / (1 + np.exp(-np.clip(float(tall[0] @ net.out) + net.shift, -40, 40)))
-            error = (p - y) * share[y]
-            if abs(error) < 1e-3:
-                continue
-            back = error * net.out
-            step = error * tall[0]
-            grads["out"] += step * step
-            net.out -= (rate * step / np.sqrt(grads["out"])).astype(np.float32)
-            grads["shift"] += error * error
-            net.shift -= rate * error / np.sqrt(grads["shift"])
-            for n, width in enumerate(WIDTHS):
-                for f in range(FILTERS):
-                    col = n * FILTERS + f
-                    at = int(where[0, col])
-                    if at < 0:
-                        continue
-                    g = np.float32(back[col])
-                    reach = min(width, len(words) - at)
-                    span = embedded[at : at + reach]
-                    kernel = net.filters[n][:reach, :, f].copy()
-                    step = g * span
-                    grads["filters"][n][:reach, :, f] += step * step
-                    net.filters[n][:reach, :, f] -= rate * step / np.sqrt(grads["filters"][n][:reach, :, f])
-                    grads["bias"][col] += g * g
-                    net.bias[col] -= rate * g / np.sqrt(grads["bias"][col])
-                    for k in range(reach):
-                        move = g * kernel[k]
-                        for row in (words[at + k], stems[at + k]):
-                            grads["table"][row] += float(move @ move) / SIZE
-                            net.table[row] -= rate * move / np.sqrt(grads["table"][row])
+            if len(words):
+                learn(net, grads, words, stems, y, share, rate)
     return net
 
 
+def packed(net: Network, grads: dict) -> np.ndarray:
+    """All numbers of a network and its sums, as one row."""
+    parts = [net.table, *net.filters, net.bias, net.out, net.shift, grads["table"], *grads["filters"], grads["bias"], grads["out"], grads["shift"]]
+    return np.concatenate([np.ravel(np.asarray(p, np.float32)) for p in parts])
+
+
+def unpacked(row: np.ndarray) -> tuple[Network, dict]:
+    """The network and the sums of ``packed``."""
+    net = Network.fresh()
+    grads, at = fresh_sums(net), 0
+
+    def take(like):
+        nonlocal at
+        at += np.size(like)
+        return row[at - np.size(like) : at].reshape(np.shape(like)).copy()
+
+    net.table, net.filters = take(net.table), [take(f) for f in net.filters]
+    net.bias, net.out, net.shift = take(net.bias), take(net.out), float(take(0.0))
+    grads["table"], grads["filters"] = take(grads["table"]), [take(f) for f in grads["filters"]]
+    grads["bias"], grads["out"], grads["shift"] = take(grads["bias"]).astype(float), take(grads["out"]).astype(float), float(take(0.0))
+    return net, grads
+
+
+def _one_pass(shared, share: dict):
+    """Task code: fit on the partition's (text, toxic) rows as they come; the moves of all numbers, cut into blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, seen = None, 0
+        for batch in batches:
+            marks = batch.column(1).to_pylist()
+            for row, texts in chunks(batch.column(0)):
+                words, stems, first = word_rows(texts)
+                state = state or unpacked(shared.value)
+                bags = [(words[a:b], stems[a:b], marks[row + n]) for n, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True))]
+                fit(bags, 1, state=state, share=share)
+                seen += len(bags)
+        if seen:
+            moves = np.array_split(packed(*state) - shared.value, MOVE_BLOCKS)
+            yield pa.RecordBatch.from_arrays([pa.array(range(MOVE_BLOCKS), pa.int32()), pa.array([m.tobytes() for m in moves], pa.binary())], ["block", "moves"])
+
+    return run
+
+
+def _mean_moves(group: pa.Table) -> pa.Table:
+    """Task code: a number's mean move over the partitions that moved it."""
+    total, times = 0.0, 0
+    for moves in group["moves"]:
+        move = np.frombuffer(moves.as_buffer(), np.float32)
+        total, times = total + move.astype(np.float64), times + (move != 0)
+    mean = (total / np.maximum(times, 1)).astype(np.float32)
+    return pa.table([group["block"].slice(0, 1), pa.array([mean.tobytes()], pa.binary())], names=["block", "moves"])
+
+
+def fit_on(rows: DataFrame, state: tuple[Network, dict], counts: dict) -> Network:
+    """Fit a network on all (i, text, toxic) rows: passes over partitions at once, whose moves are averaged after each."""
+    total = sum(counts.values())
+    share = {y: total / (2 * max(1, counts.get(y, 0))) for y in (0, 1)}
+    parts = min(-(-total // SAMPLE), MOST_PARTS)
+    dealt = settle(rows.repartition(parts, F.xxhash64("i", "text")).sortWithinPartitions(F.xxhash64("text", "i")).select("text", "toxic"), "train")
+    context, row = rows.sparkSession.sparkContext, packed(*state)
+    for _ in range(ROUNDS):
+        shared = context.broadcast(row)
+        moved = dealt.mapInArrow(_one_pass(shared, share), "block int, moves binary").groupBy("block").applyInArrow(
+            _mean_moves, "block int, moves binary").orderBy("block").collect()
+        row = row + np.concatenate([np.frombuffer(m.moves, np.float32) for m in moved])
+        shared.unpersist()
+    return unpacked(row)[0]
+
+
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
@@ -165,6 +245,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str, text_col
         picked, F.col("i") == F.col(mark)).select("i", "text", "toxic", "lang").orderBy("i", "text").collect()
 
 
+def labelled(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, part: str) -> DataFrame:
+    """(i, text, toxic) of all labelled documents that ``part`` selects."""
+    known = labels.filter("toxic in (0, 1) and doc_id is not null").filter(f"not ({HELD_OUT})").filter(part)
+    known = known.groupBy(F.col("doc_id").alias("i")).agg(F.max("toxic").alias("toxic"))
+    return docs.select(F.col(id_column).alias("i"), F.col(text_column).alias("text"), *[c for c in ("lang",) if c in docs.columns]).join(known, "i")
+
+
 class ToxicityModel:
     """A fitted network with a threshold per language; language None is for all others."""
 
@@ -191,21 +278,25 @@ class ToxicityModel:
         return out
 
 
-def calibrated(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The threshold of fewest errors, both classes weighing the same; of several the middle one nearest 0.5."""
-    good, bad = np.sort(scores[labels == 0]), np.sort(scores[labels == 1])
-    if not len(good) or not len(bad):
-        return 0.5
-    edges = np.unique(np.concatenate((good, bad)))
-    middles = np.concatenate(([0.5], (edges[1:] + edges[:-1]) / 2))
-    cost = (1 - np.searchsorted(good, middles) / len(good)) + np.searchsorted(bad, middles) / len(bad)
+def calibrated(places: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> float:
+    """The place between bins of fewest errors, both classes weighing the same; of several the one nearest 0.
+
+    A bin spans its place and the next whole step above; ``counts`` are its documents.
+    """
+    edges, at = np.unique(places, return_inverse=True)
+    below = {y: np.concatenate(([0], np.cumsum(np.bincount(at, counts * (labels == y), len(edges))))) for y in (0, 1)}
+    if not len(edges) or not below[0][-1] or not below[1][-1]:
+        return 0.0
+    middles = np.concatenate(([0.0], (edges[:-1] + 1 + edges[1:]) / 2))
+    before = np.searchsorted(edges, middles)
+    cost = 1 - below[0][before] / below[0][-1] + below[1][before] / below[1][-1]
     best = middles[cost <= cost.min() + 1e-12]
-    return float(best[np.abs(best - 0.5).argmin()])
+    return float(best[np.abs(best).argmin()])
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id",
                  text_column: str = "text") -> ToxicityModel:
-    """Fit on at most ``sample`` labelled documents, calibrate per language on at most a third as many others.
+    """Fit on all labelled documents, after a first fit on at most ``sample``; calibrate per language on all others.
 
     Labels come only from rows whose crc32(doc_id as text) mod 5 is not 0; of those remainder 1 is
     for calibration. ``labels`` has doc_id and toxic; null ids and other labels are left out, of
@@ -216,21 +307,28 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_co
     train = labelled_sample(docs, labels, id_column, text_column, f"{remainder} <> 1", sample)
     bags = [(words[a:b], stems[a:b], int(train[row + n].toxic)) for row, texts in chunks(pa.array([r.text for r in train], pa.string()))
             for words, stems, first in [word_rows(texts)] for n, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True))]
-    net = fit(bags) if bags else Network.fresh()
-    if not bags:
+    net = Network.fresh()
+    sums = fresh_sums(net)
+    if bags:
+        fit(bags, state=(net, sums))
+    else:
         net.out[:] = 0
-    held = labelled_sample(docs, labels, id_column, text_column, f"{remainder} = 1", sample // 3)
-    parts = [net.probability(*word_rows(texts)) for _, texts in chunks(pa.array([r.text for r in held], pa.string()), SCORE_BYTES)]
-    scores = np.concatenate(parts) if parts else np.empty(0)
-    marks = np.array([r.toxic for r in held], int)
-    thresholds = {None: calibrated(scores, marks)}
+    rows = labelled(docs, labels, id_column, text_column, f"{remainder} <> 1")
+    counts = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if sum(counts.values()) > len(bags):
+        net = fit_on(rows, (net, sums), counts)
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    held = labelled(docs.withColumn("lang", lang), labels, id_column, text_column, f"{remainder} = 1")
+    odds = F.ln(F.col("score") / (1 - F.col("score")))
+    place = F.floor(F.least(F.greatest(odds, F.lit(-40.0)), F.lit(40.0)) * BINS).cast("int")
+    # every calibration document counts; what comes back is a row per language, label and bin
+    found = ToxicityModel(net, {}).score(held).groupBy("lang", "toxic", place.alias("place")).agg(F.count("*").alias("n")).collect()
+    places, marks, counts = (np.array([r[c] for r in found], float) for c in ("place", "toxic", "n"))
     # The score itself is moved so that the threshold for all languages together is one half.
-    edge = min(max(thresholds[None], 1e-6), 1 - 1e-6)
-    move = np.log(edge / (1 - edge))
-    net.shift -= move
-    moved = 1 / (1 + (1 - scores) / np.maximum(scores, 1e-300) * np.exp(move))
-    for lang in sorted({r.lang for r in held if r.lang is not None}):
-        own = np.array([r.lang == lang for r in held])
-        thresholds[lang] = calibrated(moved[own], marks[own])
-    thresholds[None] = 0.5
+    move = calibrated(places, marks, counts)
+    net.shift -= move / BINS
+    thresholds = {None: 0.5}
+    for name in sorted({r.lang for r in found if r.lang is not None}):
+        own = np.array([r.lang == name for r in found])
+        thresholds[name] = float(1 / (1 + np.exp(-calibrated(places[own] - move, marks[own], counts[own]) / BINS)))
     return ToxicityModel(net, thresholds)
