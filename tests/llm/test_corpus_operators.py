@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from conftest import plan
 from tillsight.llm import chat
 from tillsight.llm.base import prepare
 from tillsight.llm.components import components
@@ -395,6 +396,18 @@ def test_toxicity_generalises(spark):
     assert fit_toxicity(frame, labels.limit(0)).score(frame.limit(3)).first().score == 0.5
 
 
+def test_toxicity_attaches_labels_without_shuffling_texts(spark, no_broadcast):
+    import zlib
+
+    docs = spark.createDataFrame([doc(i, f"words {i}") for i in range(40)], DOCS)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(0, 40, 2)] + [(4, 1, 1)], "doc_id bigint, quality int, toxic int")
+    rows = toxicity.labelled(docs, labels, "doc_id", "text", "true")
+    text = plan(rows)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    known = {i for i in range(0, 40, 2) if zlib.crc32(str(i).encode()) % 5}
+    assert {(r.i, r.text) for r in rows.collect()} == {(i, f"words {i}") for i in known} and rows.count() == len(known)
+
+
 def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "SAMPLE", 200)
     rng = np.random.default_rng(8)

@@ -246,9 +246,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str, text_col
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, part: str) -> DataFrame:
-    """(i, text, toxic) of all labelled documents that ``part`` selects."""
+    """(i, text, toxic) of all labelled documents that ``part`` selects; texts are shuffled only where labels are too many to broadcast."""
     known = labels.filter("toxic in (0, 1) and doc_id is not null").filter(f"not ({HELD_OUT})").filter(part)
     known = known.groupBy(F.col("doc_id").alias("i")).agg(F.max("toxic").alias("toxic"))
+    known = sized(settle(known, "known"))  # ids and labels alone: the texts stay where they lie
     return docs.select(F.col(id_column).alias("i"), F.col(text_column).alias("text"), *[c for c in ("lang",) if c in docs.columns]).join(known, "i")
 
 
