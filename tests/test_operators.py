@@ -311,3 +311,29 @@ def test_the_classifier_learns_stems(spark):
     stems = spark.createDataFrame([("tills", "till"), ("tills", "tillx")], "token string, stem string")
     assert values(naive_bayes_label(train, rest), "label") == [("goods",)]
     assert values(naive_bayes_label(train, rest, stems=stems), "label") == [("till",)]
+
+
+def test_naive_bayes_rare_and_frequent_tokens_score_alike(frame, monkeypatch):
+    """Rare tokens meet their weights by a shuffle, frequent ones by a broadcast: scores are those of either way alone."""
+    train = frame([("a", "till queue queue was", "slow"), ("b", "till fine fine are", "good"), ("c", None, "good"), ("d", "odd", None)],
+                  "text_id string, response string, label string")
+    rest = frame([("x", "queue queue till odd unheard"), ("y", "fine are till are till"), ("y", "queue"), ("z", None), (None, "till")],
+                 "text_id string, response string")
+    stems = frame([("are", "was"), ("unheard", "queue")], "token string, stem string")
+    for lookup in (None, stems):
+        found = []
+        for terms in (1, 6, 1 << 18):  # none, some and all tokens are frequent
+            monkeypatch.setattr(T, "COMMON_TERMS", terms)
+            found.append(values(T.naive_bayes_scores(train, rest, stems=lookup).selectExpr("text_id", "label", "round(score, 9) AS score"),
+                                "text_id", "label", "score"))
+        assert found[0] == found[1] == found[2] and len(found[0]) == 5 * 3
+
+
+def test_naive_bayes_shuffles_no_row_per_text_and_token(spark, monkeypatch, no_broadcast):
+    train = spark.range(200).selectExpr("cast(id AS string) AS text_id", "concat('till queue w', id % 7) AS response", "cast(id % 2 AS string) AS label")
+    rest = spark.range(300).selectExpr("cast(id AS string) AS text_id", "concat('till queue w', id % 9, ' z', id) AS response")
+    counts = T.token_counts(train, rest)
+    _, weights = T.class_statistics(train, counts)
+    monkeypatch.setattr(T, "COMMON_TERMS", 100)
+    text = plan(T.weighed_tokens(rest, "text_id", counts, weights)).replace("\n", " ")
+    assert "BroadcastHashJoin" in text and "HashAggregate(keys=[text_id" not in text

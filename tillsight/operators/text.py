@@ -18,6 +18,7 @@ from tillsight.operators.ranking import first_match
 from tillsight.session import settle
 
 TERM_BUCKETS = 1 << 20  # of tokens by hash, each with one count
+COMMON_TERMS = 1 << 18  # tokens that are sent to all texts, at most: each is this share of all tokens or more
 
 
 @dataclass(frozen=True)
@@ -161,18 +162,23 @@ def _stemmed(token_rows: DataFrame, stems: DataFrame | None) -> DataFrame:
     return token_rows if stems is None else stem_tokens(token_rows, stems)
 
 
-def class_statistics(train: DataFrame, rest: DataFrame, stems: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Per class: log prior and log denominator; per class and token: log count weight.
-
-    Multinomial model with add-one smoothing over the joint vocabulary, of stems if a (token, stem) table is given. The
-    prior is the plain share of a class.
-    """
+def token_counts(train: DataFrame, rest: DataFrame) -> DataFrame:
+    """Written (label, token, n) of both sets, as the tokens stand; a null label marks the rest."""
     everything = train.select("label", "response").unionByName(
         rest.select(F.lit(None).cast("string").alias("label"), "response")
     )
-    counts = _stemmed(tokens(everything, keep=("label",)).groupBy("label", "token").agg(F.count("*").alias("n")), stems)
-    counts = counts.groupBy("label", "token").agg(F.sum("n").alias("n"))
-    counts = settle(counts, "token-counts")  # far smaller than the texts, and read three times
+    counts = tokens(everything, keep=("label",)).groupBy("label", "token").agg(F.count("*").alias("n"))
+    return settle(counts, "token-counts")  # far smaller than the texts, and read several times
+
+
+def class_statistics(train: DataFrame, counts: DataFrame, stems: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Per class: log prior and log denominator; per class and token: log count weight.
+
+    Multinomial model with add-one smoothing over the joint vocabulary of ``counts``, of stems if a (token, stem) table is
+    given. The prior is the plain share of a class.
+    """
+    if stems is not None:
+        counts = settle(_stemmed(counts, stems).groupBy("label", "token").agg(F.sum("n").alias("n")), "stem-counts")
     vocabulary = counts.agg(F.countDistinct("token")).scalar()
     learned = counts.filter("label is not null")
     totals = learned.groupBy("label").agg(F.sum("n").alias("total"))
@@ -187,11 +193,35 @@ def class_statistics(train: DataFrame, rest: DataFrame, stems: DataFrame | None
     return classes, weights
 
 
+def weighed_tokens(rest: DataFrame, key: str, counts: DataFrame, weights: DataFrame, stems: DataFrame | None = None) -> DataFrame:
+    """(key, label, hit): a row per class for each token of the rest that has weights, copies included.
+
+    A token's weights are those of its stem. Frequent tokens, no more than ``COMMON_TERMS`` by their share of all, get
+    their weights where the texts lie; only rows of rarer tokens that may have weights are shuffled.
+    """
+    spoken = counts.filter("label is null").select("token", "n")
+    stemmed = _stemmed(spoken.withColumn("spoken", F.col("token")), stems)
+    merits = F.collect_list(F.struct("label", "weight")).alias("merits")  # as many as there are classes
+    lookup = stemmed.join(weights, "token").groupBy(F.col("spoken").alias("token"), "n").agg(merits)
+    lookup = settle(lookup, "token-weights")
+    least = spoken.agg((F.sum("n") / COMMON_TERMS).alias("least")).scalar()
+    common = F.broadcast(lookup.filter(F.col("n") >= least).select("token", "merits"))
+    scarce = lookup.filter(F.col("n") < least).select("token", "merits")
+    bucket, rows = "term_bucket", tokens(rest, keep=(key,))
+    buckets = F.broadcast(scarce.select(_term_bucket().alias(bucket)).distinct())
+    # frequent tokens may fall in a bucket too: they find nothing among the rare ones, but would be shuffled for it
+    candidates = rows.withColumn(bucket, _term_bucket()).join(buckets, bucket, "left_semi").join(
+        common.select("token"), "token", "left_anti")
+    found = rows.join(common, "token").select(key, "merits").unionByName(
+        many_to_one(candidates, scarce, ["token"]).select(key, "merits"))
+    return found.select(key, F.inline("merits").alias("label", "hit"))
+
+
 def naive_bayes_scores(train: DataFrame, rest: DataFrame, key: str = "text_id", stems: DataFrame | None = None) -> DataFrame:
     """Log score of every class for each response of the rest."""
-    classes, weights = class_statistics(train, rest, stems)
-    bag = _stemmed(tokens(rest, keep=(key,)).groupBy(key, "token").agg(F.count("*").alias("n")), stems)
-    hits = bag.join(weights, "token").groupBy(key, "label").agg(F.sum(F.col("n") * F.col("weight")).alias("hit"))
+    counts = token_counts(train, rest)
+    classes, weights = class_statistics(train, counts, stems)
+    hits = weighed_tokens(rest, key, counts, weights, stems).groupBy(key, "label").agg(F.sum("hit").alias("hit"))
     # the classes are as few as the labels, so they come in as one array per response
     table = classes.agg(F.collect_list(F.struct("label", "log_prior", "log_size"))).scalar()
     docs = rest.select(key, F.size(token_array("response")).alias("words"))
