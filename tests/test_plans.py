@@ -4,10 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan
+from tillsight.llm.base import prepare
 from tillsight.operators import joins as J
 from tillsight.operators import ranking as W
 from tillsight.operators.aggregates import average_ticket, member_profile
 from tillsight.operators.filters import trailing_window
+from tillsight.session import tune
 from tillsight.workload.views import Views
 
 FOLDER = "/root/testdata/sf0.001"
@@ -81,3 +83,23 @@ def test_hot_partition_is_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_retail_tasks_read_little(spark):
+    """Groupings of all lines hold a multiple of what a task reads, so plans of the retail tables read less per task."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name in names:
+            spark.conf.unset(name)
+        usual = [spark.conf.get(name) for name in names]
+        tune(spark)
+        assert [spark.conf.get(name) for name in names] == ["32MB", "16MB"]
+        prepare(spark)  # corpus operators keep the session's own sizes
+        assert [spark.conf.get(name) for name in names] == usual
+        spark.conf.set(names[0], "1048576b")
+        tune(spark)
+        assert [spark.conf.get(name) for name in names] == ["1048576b", "16MB"]  # a smaller size is the caller's
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -16,7 +16,7 @@ ARROW_BATCH = "16m"  # bytes handed to a Python worker at once
 
 def prepare(spark: SparkSession) -> None:
     """Settings the operators rely on."""
-    tune(spark)
+    tune(spark, small_tasks=False)  # they hold no more than a batch of what a task reads
     shared_folder(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
 
