@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tillsight.operators import features as M
 from tillsight.plans import churn as C
+from tillsight.operators.aggregates import member_profile
 from tillsight.operators.boosting import grow, prefix, trials, with_validation
-from tillsight.operators.linear import NONE, Table, areas, points_of, search_linear, solve_grid
+from tillsight.operators.linear import NONE, Table, _loss, areas, points_of, search_linear, solve_grid
 from tillsight.sources.writers import load_model, save_model
 
 SMALL_GRIDS = {
@@ -251,3 +252,20 @@ def test_folds_follow_the_member(spark):
     folds = dict(values(M.with_fold(df, 5), "mobile", "fold"))
     assert folds == dict(values(M.with_fold(df.repartition(7), 5), "mobile", "fold"))
     assert sorted(set(folds.values())) == [0, 1, 2, 3, 4]
+
+
+def test_losses_of_mixed_columns_at_far_margins():
+    margin = np.array([[-800.0, -2.0, 0.0], [0.0, 0.5, 900.0], [3.0, 1.0, -1.0]])
+    for hinge in ([False] * 3, [True] * 3, [False, True, False]):
+        loss, pull = _loss(margin, np.array(hinge))
+        assert np.allclose(loss, np.where(hinge, np.maximum(0, 1 - margin), np.logaddexp(0, -margin)), rtol=1e-14)
+        assert np.allclose(pull, np.where(hinge, margin < 1, np.exp(-np.logaddexp(0, margin))), rtol=1e-14)
+
+
+def test_member_without_a_number_has_a_profile(spark):
+    day = dt.date(2001, 1, 1)
+    rows = [(None, 1, day, 5, 1), (None, 2, None, 6, 1), ("a", 3, day, 7, 1), ("a", 3, day, 8, 2), ("a", 4, day + dt.timedelta(9), 9, 2)]
+    txn = spark.createDataFrame(rows, "mobile string, bill long, txn_date date, amount long, store long").selectExpr(
+        "*", "1L AS lapsed", "2L AS available", "3L AS collected")
+    found = {r.mobile: (r.total_amount, r.total_visits, r.max_latency, r.total_txn, r.nstores) for r in member_profile(txn).collect()}
+    assert found == {None: (11.0, 1, None, 2, 1), "a": (24.0, 2, 9, 2, 2)}

@@ -194,6 +194,19 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _loss(margin: np.ndarray, hinge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Loss of each margin, and its slope without the sign: hinge or logistic by column, one exponential for both."""
+    if hinge.all():
+        return np.maximum(0.0, 1 - margin), (margin < 1).astype(float)
+    tail = np.exp(-np.abs(margin))
+    loss = np.maximum(0.0, -margin) + np.log1p(tail)
+    pull = np.where(margin > 0, tail, 1.0) / (1 + tail)
+    if hinge.any():
+        loss = np.where(hinge, np.maximum(0.0, 1 - margin), loss)
+        pull = np.where(hinge, (margin < 1).astype(float), pull)
+    return loss, pull
+
+
 def _gradients(shared):
     """Losses and gradients of all columns over the task's rows, as one row of numbers."""
 
@@ -207,8 +220,7 @@ def _gradients(shared):
                 sign = (2.0 * y[part] - 1)[:, None]
                 seen = fold[part][:, None] != left_out[None]
                 margin = sign * (x[part] @ weights[:-1] + weights[-1])
-                loss = np.where(hinge, np.maximum(0.0, 1 - margin), np.logaddexp(0.0, -margin))
-                pull = np.where(hinge, (margin < 1).astype(float), np.exp(-np.logaddexp(0.0, margin)))
+                loss, pull = _loss(margin, hinge)
                 pull = np.where(seen, -sign * pull, 0.0)
                 total[0] += np.where(seen, loss, 0.0).sum(axis=0)
                 total[1:-1] += x[part].T @ pull
