@@ -2,13 +2,16 @@
 
 Vectors become integers, floor(scale * x). An orthogonal rotation, from the singular value
 decomposition of all vectors' Gram matrix, puts the most of every product into the first dimensions.
-Candidates are range-partitioned by falling length into blocks, one matrix each. A block of queries goes to those
-blocks only whose longest vector can still reach a query's k-th best score; within a block, tiles follow falling length. For each tile the bound
-is partial product over the first dimensions plus the product of both residual lengths. Only
-pairs whose bound reaches the query's k-th best score so far get their exact integer product. That
-score starts from the longest vectors, which every query is compared with first.
-
-Results of blocks are merged per query; each has at most k rows per query, so the merge is small.
+Candidates are range-partitioned by falling length and packed into blocks, one matrix each. Groups of query
+blocks meet groups of candidate blocks, a pair of groups a task: the queries stay in the task, the candidates pass by in
+falling length. Rows are copied once per group of the other side, and there are few groups: pairs of blocks are never rows.
+A query block goes to those groups only whose longest vector can still reach a query's k-th best score. Within a block, tiles
+follow falling length. For each tile the bound is partial product over the first dimensions plus the product of both residual
+lengths. Only pairs whose bound reaches the query's k-th best score so far get their exact integer product; after a tile
+whose bounds left most pairs open, some tiles get products without bounds. The k-th best score starts from the longest
+vectors, which every query is compared with first.
+
+Results of groups are merged per query; each has at most k rows per query, so the merge is small.
 """
 
 from __future__ import annotations
@@ -21,11 +24,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.llm.base import settle
+from tillsight.operators.nearest import Best
 
 BLOCK_ROWS = 16_384  # candidates of a block, about
-QUERY_ROWS = 1_024  # queries of a block, about
+QUERY_ROWS = 512  # queries of a block, about
+QUERY_GROUP = 131_072  # queries a task holds, about
+GROUPS = 64  # of candidates: a query goes to so many tasks, or as many as there are cores
 TILE = 2_048
 LEAD = 16  # rotated dimensions of the partial products
+OPEN, MOST_WAIT = 0.5, 63  # a share of open pairs that bounds are not worth; tiles that then follow without them, at most
 SAFE = 2**62
 
 
@@ -36,11 +43,16 @@ def scaled(column: str, scale: int):
     return F.when(~F.coalesce(bad, F.lit(True)), F.transform(wide, lambda x: F.floor(x * scale).cast("bigint")))
 
 
+def _rows(column: pa.Array, dim: int) -> np.ndarray:
+    """A list column of ``dim`` numbers each as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
 def _gram(dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((dim, dim))
         for batch in batches:
-            rows = np.array(batch.column(0).to_pylist(), float).reshape(-1, dim)
+            rows = _rows(batch.column(0), dim).astype(float)
             total += rows.T @ rows
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim)), pa.array(list(total))], ["i", "row"])
 
@@ -58,41 +70,65 @@ def rotation(vectors: DataFrame, dim: int) -> np.ndarray:
     return turned.T
 
 
-PACKED = "ids binary, matrix binary, longest double"
+PACKED = "ids binary, matrix binary, n int, longest double"
+
 
+def _lengths(rows: np.ndarray) -> np.ndarray:
+    return np.sqrt((rows.astype(float) ** 2).sum(axis=1))
 
-def _pack(rows: int):
-    """(id, vec) in order to one (ids, matrix, longest length) row per run of at most ``rows``."""
+
+def _pack(dim: int, rows: int):
+    """(id, vec) in order to one (ids, matrix, row count, longest length) row per run of at most ``rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(ids, matrix):
-            longest = float(np.sqrt((np.asarray(matrix, float) ** 2).sum(axis=1)).max())
+            most = max(int(matrix.max()), -int(matrix.min()) - 1)
+            kind = next(x for x in (np.int16, np.int32, np.int64) if most <= np.iinfo(x).max)
             return pa.RecordBatch.from_arrays(
-                [pa.array([np.asarray(ids, np.int64).tobytes()]), pa.array([np.asarray(matrix, np.int64).tobytes()]),
-                 pa.array([longest])], ["ids", "matrix", "longest"])
+                [pa.array([ids.tobytes()]), pa.array([matrix.astype(kind).tobytes()]), pa.array([len(ids)], pa.int32()),
+                 pa.array([float(_lengths(matrix).max())])], ["ids", "matrix", "n", "longest"])
 
-        ids, matrix = [], []
+        ids, matrix = np.empty(0, np.int64), np.empty((0, dim), np.int64)
         for batch in batches:
-            names, vectors = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for name, vector in zip(names, vectors, strict=True):
-                ids.append(name)
-                matrix.append(vector)
-                if len(ids) == rows:
-                    yield flush(ids, matrix)
-                    ids, matrix = [], []
-        if ids:
+            ids = np.concatenate((ids, batch.column(0).to_numpy(zero_copy_only=False)))
+            matrix = np.concatenate((matrix, _rows(batch.column(1), dim)))
+            for _ in range(len(ids) // rows):
+                yield flush(ids[:rows], matrix[:rows])
+                ids, matrix = ids[rows:], matrix[rows:]
+        if len(ids):
             yield flush(ids, matrix)
 
     return run
 
 
-def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Integer products; exact in floating point while sums stay below 2**53, in Python's integers beyond."""
-    most = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * queries.shape[1]
-    if most < 2**53:
-        return (queries.astype(float) @ rows.astype(float).T).astype(np.int64)
+def _unpack(line: dict, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of a packed row, whose integers are as wide as the largest asks for."""
+    kind = {2: np.int16, 4: np.int32, 8: np.int64}[len(line["matrix"]) // (line["n"] * dim)]
+    return np.frombuffer(line["ids"], np.int64), np.frombuffer(line["matrix"], kind).reshape(-1, dim)
+
+
+class Vectors:
+    """Integer vectors, and for the bounds their first rotated dimensions with the length of the rest."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, turned: np.ndarray):
+        wide = rows.astype(float)
+        rotated = wide @ turned
+        rest = np.sqrt((rotated[:, LEAD:] ** 2).sum(axis=1))
+        self.ids, self.rows, self.size = ids, rows, _lengths(rows)
+        self.most = float(np.abs(wide).max(initial=0))
+        self.bounds, self.kinds = np.column_stack((rotated[:, :LEAD], rest)), {}
+
+    def of(self, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        """(vectors, bounds) as floating point numbers."""
+        if kind not in self.kinds:
+            self.kinds[kind] = self.rows.astype(kind), self.bounds.astype(kind)
+        return self.kinds[kind]
+
+
+def _products(queries: np.ndarray, rows: np.ndarray, most: float) -> np.ndarray:
+    """Integer products of 2**53 or more, in Python's integers where sums may leave 64 bits."""
     if most < SAFE:
-        return queries @ rows.T
+        return queries.astype(np.int64) @ rows.astype(np.int64).T
     exact = queries.astype(object) @ rows.astype(object).T
     return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
 
@@ -100,129 +136,147 @@ def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 class Search:
     """Best k of the candidates seen so far for a block of queries; k rows at most per query."""
 
-    def __init__(self, ids: np.ndarray, queries: np.ndarray, turned: np.ndarray, k: int, floor: np.ndarray | None = None):
-        self.ids, self.queries, self.turned, self.k = ids, queries, turned, k
-        self.scores = np.full((len(ids), k), np.iinfo(np.int64).min)
-        self.names = np.full((len(ids), k), np.iinfo(np.int64).max)
-        self.filled = np.zeros((len(ids), k), bool)
-        rotated = queries.astype(float) @ turned
-        self.lead, self.rest = rotated[:, :LEAD], np.sqrt((rotated[:, LEAD:] ** 2).sum(axis=1))
-        self.floor = np.full(len(ids), -np.inf) if floor is None else floor
-
-    def offer(self, names: np.ndarray, rows: np.ndarray) -> None:
-        """Tiles of candidates in falling length."""
-        rotated = rows.astype(float) @ self.turned
-        rest = np.sqrt((rotated[:, LEAD:] ** 2).sum(axis=1))
-        size = np.sqrt((self.queries.astype(float) ** 2).sum(axis=1))
-        for start in range(0, len(names), TILE):
+    def __init__(self, queries: Vectors, k: int, floor: np.ndarray | None = None):
+        self.queries, self.best = queries, Best(len(queries.ids), k, np.int64, floor)
+        self.wait = self.pause = 0
+
+    def offer(self, block: Vectors) -> None:
+        """Candidates in falling length."""
+        asked, ids = self.queries, self.queries.ids
+        most = asked.most * block.most * block.rows.shape[1]
+        # sums below 2**24 are exact in single precision, below 2**53 in double
+        kind, error = (np.float32, 1e-4) if most < 2**24 else (float, 1e-9)
+        (left, left_bound), (right, right_bound) = asked.of(kind), block.of(kind)
+        for start in range(0, len(block.ids), TILE):
             part = slice(start, start + TILE)
-            length = np.sqrt((rotated[part] ** 2).sum(axis=1)).max()
-            full = self.filled.all(axis=1)
-            least = np.where(full, self.scores[:, -1].astype(float), -np.inf)
-            least = np.maximum(least, self.floor)
-            slack = 1e-9 * (size * length) + 1e-6  # rounding of the bounds
-            open_ = np.flatnonzero(size * length + slack >= least)  # others: the whole rest of the block is shorter
-            if not len(open_):
-                return
-            bound = self.lead[open_] @ rotated[part, :LEAD].T + np.outer(self.rest[open_], rest[part])
-            able = bound + slack[open_, None] >= least[open_, None]
-            columns = np.flatnonzero(able.any(axis=0))
-            lines = np.flatnonzero(able.any(axis=1))
-            if not len(columns):
-                continue
-            able = able[np.ix_(lines, columns)]
-            queries = open_[lines]
-            exact = products(self.queries[queries], rows[part][columns])
-            own = self.ids[queries, None] == names[part][columns][None]
-            self.keep(queries, exact, names[part][columns], able & ~own)
-
-    def keep(self, queries, exact, names, able) -> None:
-        for n, q in enumerate(queries.tolist()):
-            some = np.flatnonzero(able[n])
-            if self.filled[q].all():
-                some = some[exact[n, some] >= self.scores[q, -1]]
-            if not len(some):
-                continue
-            scores = np.concatenate((self.scores[q][self.filled[q]], exact[n, some]))
-            ids = np.concatenate((self.names[q][self.filled[q]], names[some]))
-            best = np.lexsort((ids, ~scores))[: self.k]  # ~ reverses the order without overflow
-            self.scores[q, : len(best)], self.names[q, : len(best)] = scores[best], ids[best]
-            self.filled[q, : len(best)] = True
-
-
-def _matrix(raw: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(raw, np.int64).reshape(-1, dim)
-
-
-def _compare(dim: int, k: int, turned: np.ndarray, with_floor: bool):
-    """(query_ids, queries, ids, matrix[, floor]) to (query_id, vec_id, score)."""
+            slack = error * (asked.size * block.size[part].max()) + 1e-6  # rounding of the bounds
+            least = self.best.limit.astype(float) - slack
+            lines = np.flatnonzero(asked.size * block.size[part].max() >= least)
+            if not len(lines):
+                return  # the whole rest of the block is shorter
+            some = slice(None) if len(lines) == len(ids) else lines
+            columns = np.arange(start, min(start + TILE, len(block.ids)))
+            if self.wait:
+                self.wait -= 1
+            else:
+                able = left_bound[some] @ right_bound[part].T >= least[some, None]
+                if np.count_nonzero(able) > OPEN * able.size:
+                    self.wait = self.pause = min(2 * self.pause + 1, MOST_WAIT)
+                else:
+                    self.pause = 0
+                    columns, lines = columns[able.any(axis=0)], lines[able.any(axis=1)]
+                    if not len(columns):
+                        continue
+                    some = lines
+            seen = part if len(columns) == len(right[part]) else columns
+            exact = left[some] @ right[seen].T if most < 2**53 else _products(asked.rows[some], block.rows[seen], most)
+            at, column = self.best.reaching(lines, exact, self.best.limit[lines].astype(exact.dtype),
+                                            lambda q, names=block.ids[seen]: ids[q, None] == names)
+            score, name = exact[at, column].astype(np.int64), block.ids[columns[column]]
+            other = ids[lines[at]] != name
+            self.best.keep(lines[at][other], score[other], name[other])
+
+
+def _compare(dim: int, k: int, turned: np.ndarray):
+    """(pair, kind, block, ids, matrix, n, floor) in order of the first three to (query_id, vec_id, score): for each pair of groups
+    the blocks of queries, of kind 0, then those of candidates."""
+
+    def found(searches: list[Search]) -> Iterator[pa.RecordBatch]:
+        for search in searches:
+            q, n = search.best.entries()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(search.queries.ids[q]), pa.array(search.best.names[q, n]), pa.array(search.best.scores[q, n])],
+                ["query_id", "vec_id", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, searches = None, []
         for batch in batches:
-            for line in batch.to_pylist():
-                names = np.frombuffer(line["query_ids"], np.int64)
-                floor = np.frombuffer(line["floor"], float) if with_floor and line["floor"] else None
-                search = Search(names, _matrix(line["queries"], dim), turned, k, floor)
-                search.offer(np.frombuffer(line["ids"], np.int64), _matrix(line["matrix"], dim))
-                q, n = np.nonzero(search.filled)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[q]), pa.array(search.names[q, n]), pa.array(search.scores[q, n])],
-                    ["query_id", "vec_id", "score"])
+            for i in range(batch.num_rows):
+                line = batch.slice(i, 1).to_pylist()[0]
+                if line["pair"] != pair:
+                    yield from found(searches)
+                    pair, searches = line["pair"], []
+                if line["kind"] and not searches:
+                    continue
+                vectors = Vectors(*_unpack(line, dim), turned)
+                if line["kind"]:
+                    for search in searches:
+                        search.offer(vectors)
+                else:
+                    searches.append(Search(vectors, k, np.frombuffer(line["floor"], np.int64)))
+        yield from found(searches)
 
     return run
 
 
-def _floors(k: int, dim: int, turned: np.ndarray, longest):
-    """(query_ids, queries) to the k-th score of each query among the longest vectors, or -inf, and the length below
-    which no block of candidates can matter to any of the queries."""
+def _floors(dim: int, k: int, turned: np.ndarray, longest):
+    """Packed queries with the k-th score of each query among the longest vectors, or the least integer, and the length below
+    which no candidate can matter to any of the queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = longest.value
+        first = Vectors(*longest.value, turned)
         for batch in batches:
             for line in batch.to_pylist():
-                names = np.frombuffer(line["query_ids"], np.int64)
-                search = Search(names, _matrix(line["queries"], dim), turned, k)
-                search.offer(ids, matrix)
-                floor = np.where(search.filled.all(axis=1), search.scores[:, -1].astype(float), -np.inf)
-                size = np.sqrt((search.queries.astype(float) ** 2).sum(axis=1))
-                # the same slack as in the search: size * length * (1 + 1e-9) + 1e-6 reaches the floor
-                least = np.full(len(size), -np.inf)
-                np.divide(floor - 1e-6, size * (1 + 1e-9), out=least, where=size > 0)
+                queries = Vectors(*_unpack(line, dim), turned)
+                search = Search(queries, k)
+                search.offer(first)
+                floor = search.best.limit
+                reach = np.where(search.best.count == k, floor.astype(float), -np.inf)
+                # the same slack as in the search: size * length * (1 + 1e-4) + 1e-6 reaches the floor
+                least = np.full(len(floor), -np.inf)
+                np.divide(reach - 1e-6, queries.size * (1 + 1e-4), out=least, where=(queries.size > 0) & (reach > 0))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([line["query_ids"]]), pa.array([line["queries"]]), pa.array([floor.tobytes()]),
-                     pa.array([float(least.min())])], ["query_ids", "queries", "floor", "least"])
+                    [pa.array([line["ids"]]), pa.array([line["matrix"]]), pa.array([line["n"]], pa.int32()),
+                     pa.array([floor.tobytes()]), pa.array([float(least.min())])], ["ids", "matrix", "n", "floor", "least"])
 
     return run
 
 
 def _one_dimension(candidates: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFrame:
     """Top k for vectors of one dimension; both frames are (vec_id, vec)."""
+    context = candidates.sparkSession.sparkContext
     turned = rotation(candidates, dim)
     length = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    count = candidates.count()
+    count, asking = candidates.count(), queries.count()
     parts = max(1, -(-count // BLOCK_ROWS))
     ordered = candidates.withColumn("length", -length).repartitionByRange(parts, "length", "vec_id")
     packed = ordered.sortWithinPartitions("length", "vec_id").select("length", "vec_id", "vec")
-    blocks = settle(packed.select("vec_id", "vec").mapInArrow(_pack(BLOCK_ROWS), PACKED)
+    blocks = settle(packed.select("vec_id", "vec").mapInArrow(_pack(dim, BLOCK_ROWS), PACKED)
                     .withColumn("block", F.monotonically_increasing_id()), "blocks")
-    groups = max(1, -(-queries.count() // QUERY_ROWS))
-    asked = settle(queries.repartition(groups, "vec_id").sortWithinPartitions("vec_id").mapInArrow(
-        _pack(QUERY_ROWS), PACKED).select(F.col("ids").alias("query_ids"), F.col("matrix").alias("queries")), "queries")
+    asked = queries.repartition(max(1, -(-asking // QUERY_ROWS)), "vec_id").sortWithinPartitions("vec_id")
+    asked = settle(asked.select("vec_id", "vec").mapInArrow(_pack(dim, QUERY_ROWS), PACKED).select("ids", "matrix", "n"), "queries")
+    # a row per BLOCK_ROWS candidates, longest first
+    sizes = blocks.select("block", "n", "longest").orderBy("block").collect()
     # The longest vectors first, TILE of them: they set the score each query must reach.
-    first = candidates.withColumn("length", -length).orderBy("length", "vec_id").limit(TILE).collect()
-    shared = candidates.sparkSession.sparkContext.broadcast(
-        (np.array([r["vec_id"] for r in first], np.int64), np.array([r["vec"] for r in first], np.int64).reshape(-1, dim)))
-    floors = settle(asked.mapInArrow(
-        _floors(k, dim, turned, shared), "query_ids binary, queries binary, floor binary, least double"), "floors")
-    # A stated query set against all rows, in blocks: queries go to the blocks whose longest vector can reach a floor.
-    # The table of lengths has a row per BLOCK_ROWS candidates.
-    lengths = blocks.agg(F.collect_list(F.struct("block", "longest"))).scalar()
-    sent = floors.withColumn("to", F.explode(lengths)).filter("to.longest >= least").select(
-        "query_ids", "queries", "floor", F.col("to.block").alias("block"))
-    meetings = sent.join(blocks, "block").select("query_ids", "queries", "floor", "ids", "matrix")
-    # one meeting of matrices a task, or a few
-    meetings = meetings.repartition(F.xxhash64("query_ids"), F.xxhash64("ids"))
-    return meetings.mapInArrow(_compare(dim, k, turned, True), "query_id bigint, vec_id bigint, score bigint")
+    before = np.cumsum([0] + [r["n"] for r in sizes])
+    first = [r["block"] for r, b in zip(sizes, before, strict=False) if b < TILE]
+    head = [_unpack(r.asDict(), dim) for r in blocks.filter(F.col("block").isin(first)).orderBy("block").collect()]
+    ids, rows = (np.concatenate(x)[:TILE] for x in zip(*head, strict=True))
+    floors = settle(asked.mapInArrow(_floors(dim, k, turned, context.broadcast((ids, rows))),
+                                     "ids binary, matrix binary, n int, floor binary, least double")
+                    .withColumn("asked", F.xxhash64("ids")), "floors")
+    # Groups of candidates are runs of blocks of about as many rows; a few numbers each.
+    groups = min(len(sizes), max(GROUPS, context.defaultParallelism))
+    group_of = [int(b) * groups // int(before[-1]) for b in before[:-1]]
+    starts = [r for i, r in enumerate(sizes) if not i or group_of[i] != group_of[i - 1]]
+    cuts, longest = (F.array(*[F.lit(r[c]) for r in starts]) for c in ("block", "longest"))
+    crowds = max(1, -(-asking // QUERY_GROUP))
+    floors = floors.withColumn("crowd", F.pmod("asked", F.lit(crowds)).cast("int"))
+    needed = {r["crowd"]: r["least"] for r in floors.groupBy("crowd").agg(F.min("least").alias("least")).collect()}
+    needed = F.array(*[F.lit(needed.get(c, float("inf"))) for c in range(crowds)])
+    # A stated query set against all rows: queries go to the groups whose longest vector can reach a floor, candidates to
+    # the crowds of queries that they can matter to.
+    sent = floors.select("ids", "matrix", "n", "floor", "least", "crowd", F.posexplode(longest).alias("group", "longest"))
+    sent = sent.filter("longest >= least").select("crowd", "group", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("block"),
+                                                  "ids", "matrix", "n", "floor")
+    met = blocks.select("ids", "matrix", "n", "block", "longest", F.posexplode(needed).alias("crowd", "least"),
+                        (F.size(F.filter(cuts, lambda c: c <= F.col("block"))) - 1).alias("group"))
+    met = met.filter("longest >= least").select("crowd", "group", F.lit(1).alias("kind"), "block", "ids", "matrix", "n",
+                                                F.lit(None).cast("binary").alias("floor"))
+    pair = (F.col("crowd") * len(starts) + F.col("group")).alias("pair")
+    meetings = sent.union(met).select(pair, "kind", "block", "ids", "matrix", "n", "floor")
+    meetings = meetings.repartitionById(crowds * len(starts), "pair").sortWithinPartitions("pair", "kind", "block")
+    return meetings.mapInArrow(_compare(dim, k, turned), "query_id bigint, vec_id bigint, score bigint")
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_column: str = "vec_id",
