@@ -138,3 +138,19 @@ def test_partitioning_does_not_change_results(shop, feed, frame, spark):
     few, many = [values(FB.feedback_reply(f, lexicon, replies, RULES), "mobile", "label")
                  for f in (feed.coalesce(1), feed.repartition(5))]
     assert few == many
+
+
+def test_favourites_are_computed_once(spark, frame):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    favourites = frame([("a", "x", 1), ("a", "y", 2), ("b", "x", 2), ("c", "z", 9)], "mobile string, item string, txns bigint")
+    members = frame([("a", 30, "f", "t1"), ("b", 30, "f", "t2"), ("c", None, None, "t2")], "mobile string, age int, gender string, tier string")
+    counting = favourites.mapInArrow(counted, favourites.schema)
+    got = R.cohort_recommend(counting, members, 2, within=["tier"], everyone=True)
+    assert values(got, "mobile", "items") == [("a", "y,x"), ("b", "x"), ("c", "z")]
+    assert seen.value == 4  # each list and the members' lookup computed them again before

@@ -18,15 +18,19 @@ class Best:
         self.count = np.zeros(lines, np.int64)
         self.limit = np.full(lines, low, kind) if limit is None else limit.astype(kind)
 
-    def reaching(self, lines: np.ndarray, tile: np.ndarray, limit: np.ndarray, hidden=None) -> tuple[np.ndarray, np.ndarray]:
-        """(place in ``lines``, column) of what reaches the limits. ``hidden`` gives the mask of entries that do not count."""
+    def reaching(self, lines: np.ndarray, tile: np.ndarray, limit: np.ndarray, hidden=None,
+                 slack: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``lines``, column) of what reaches the limits. ``hidden`` gives the mask of entries that do not count.
+
+        ``slack`` is by how much two entries of a line must differ to be told apart, if the tile is not exact.
+        """
         some = np.flatnonzero(tile.max(axis=1) >= limit)
         part = tile if len(some) == len(tile) else tile[some]
         able = part >= limit[some, None]
         if part.shape[1] > self.n and np.count_nonzero(able) > MANY * self.n * len(some):
             if hidden is not None:
                 part = np.where(hidden(lines[some]), -np.inf if part.dtype.kind == "f" else np.iinfo(part.dtype).min, part)
-            cut = np.partition(part, -self.n, axis=1)[:, -self.n]
+            cut = np.partition(part, -self.n, axis=1)[:, -self.n] - np.broadcast_to(slack, len(tile))[some]
             able &= part >= cut[:, None]
         at = np.flatnonzero(able)
         return some[at // part.shape[1]], at % part.shape[1]
